@@ -11,31 +11,40 @@ from pyspark.sql import types as T
 from bantin.functions.documents import drop_nulls_deep
 
 
-def _leaves(name: str, value: Callable[[Column], Column], dtype: T.DataType) -> Iterator[tuple[str, Callable, T.DataType]]:
-    """(dotted name, how to reach it from the outer value, type) of every leaf."""
+Reach = Callable[[Column], Column]
+
+
+def _field_of(reach: Reach, name: str) -> Reach:
+    return lambda v: reach(v).getField(name)
+
+
+def _last_of(reach: Reach, item_reach: Reach) -> Reach:
+    return lambda v: F.try_element_at(
+        F.filter(F.transform(reach(v), lambda x: item_reach(x)), lambda x: x.isNotNull()), F.lit(-1)
+    )
+
+
+def _leaves(name: str, reach: Reach, dtype: T.DataType) -> Iterator[tuple[str, Reach]]:
+    """(dotted name, how to reach it from the outer value) of every leaf."""
     if isinstance(dtype, T.StructType):
         for field in dtype.fields:
-            step = lambda v, f=field.name: value(v).getField(f)
-            yield from _leaves(f"{name}.{field.name}", step, field.dataType)
+            yield from _leaves(f"{name}.{field.name}", _field_of(reach, field.name), field.dataType)
     elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
         # A list of documents: per sub-field the last document that has it wins.
-        for leaf, reach, leaf_type in _leaves(name, lambda x: x, dtype.elementType):
-            last = lambda v, r=reach: F.try_element_at(
-                F.filter(F.transform(value(v), r), lambda x: x.isNotNull()), F.lit(-1)
-            )
-            yield leaf, last, leaf_type
+        for leaf, item_reach in _leaves(name, lambda x: x, dtype.elementType):
+            yield leaf, _last_of(reach, item_reach)
     elif isinstance(dtype, T.ArrayType):
         # An empty list leaves no trace.
-        yield name, lambda v: F.when(F.size(value(v)) > 0, value(v)), dtype
+        yield name, lambda v: F.when(F.size(reach(v)) > 0, reach(v))
     else:
-        yield name, value, dtype
+        yield name, reach
 
 
 def flatten(df: DataFrame) -> DataFrame:
     """Structs become dotted columns; lists of structs keep, per sub-field, their last value."""
     columns = []
     for field in df.schema.fields:
-        for name, reach, _ in _leaves(field.name, lambda v: v, field.dataType):
+        for name, reach in _leaves(field.name, lambda v: v, field.dataType):
             columns.append(reach(F.col(f"`{field.name}`")).alias(name))
     return df.select(*columns)
 

@@ -136,15 +136,17 @@ SQL_CLEAN_DATE = """CASE journal
 
 # --- messages -------------------------------------------------------------------------
 
-def message_columns(rows: DataFrame, broken_every: int = 13) -> DataFrame:
+def message_columns(rows: DataFrame, broken_every: int | None = 13) -> DataFrame:
     """Articles as queue messages (doc_id, topic, value); some messages are cut short."""
     style = rows.withColumn("ts", F.col("crawled")).withColumn("date", raw_date())
     body = F.to_json(F.struct("id", "journal", "type", "title", "attract", "author", "date", "content", "tags"))
-    value = F.when(F.col("doc_id") % broken_every == 0, F.left(body, F.lit(20))).otherwise(body)
+    value = body
+    if broken_every:
+        value = F.when(F.col("doc_id") % broken_every == 0, F.left(body, F.lit(20))).otherwise(body)
     return style.select("doc_id", F.col("journal").alias("topic"), value.alias("value"))
 
 
-def messages(spark: SparkSession, sf_dir: str, broken_every: int = 13) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, broken_every: int | None = 13) -> DataFrame:
     return message_columns(articles(spark, sf_dir), broken_every)
 
 
