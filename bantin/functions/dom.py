@@ -25,13 +25,15 @@ VOID_TAGS = set("area base br col embed hr img input keygen link menuitem meta p
 _HIDDEN_TEXT = {"script", "style", "template"}
 _KEEPS_SPACE = {"pre", "textarea"}
 
-# A node covers nodes pos..last and the page text from t0 to t1.
+# A node covers nodes pos..last and the page text from t0 to t1. `words` is the class attribute
+# with one space around each word.
 NODE_TYPE = T.StructType([
     T.StructField("pos", T.IntegerType()),
     T.StructField("last", T.IntegerType()),
     T.StructField("tag", T.StringType()),
     T.StructField("ident", T.StringType()),
     T.StructField("cls", T.StringType()),
+    T.StructField("words", T.StringType()),
     T.StructField("href", T.StringType()),
     T.StructField("src", T.StringType()),
     T.StructField("data_src", T.StringType()),
@@ -67,7 +69,9 @@ class _PageReader(HTMLParser):
             given[name] = value or ""
         node = {
             "pos": len(self.nodes), "last": len(self.nodes), "tag": tag,
-            "ident": given.get("id"), "cls": given.get("class"), "href": given.get("href"),
+            "ident": given.get("id"), "cls": given.get("class"),
+            "words": f" {' '.join(given['class'].split())} " if "class" in given else None,
+            "href": given.get("href"),
             "src": given.get("src"), "data_src": given.get("data-src"),
             "datetime": given.get("datetime"), "t0": self.length, "t1": self.length,
         }
@@ -133,44 +137,50 @@ def page_nodes(html) -> Column:
     return read(as_column(html))
 
 
-def matches(node: Column, step: Column) -> Column:
-    """Whether a node fits a selector step struct<tag, cls, ident>; NULL parts match anything."""
-    class_fits = (
-        step["cls"].isNull()
-        | (node["cls"] == step["cls"])
-        | F.array_contains(F.split(node["cls"], r"\s+"), step["cls"])
-    )
-    return F.coalesce(
-        (step["tag"].isNull() | (node["tag"] == step["tag"]))
-        & (step["ident"].isNull() | (node["ident"] == step["ident"]))
-        & class_fits,
-        F.lit(False),
-    )
+# A selector step: `cls` must be the whole class attribute, or `word` one padded word of it.
+STEP = "struct<tag:string,cls:string,word:string,ident:string>"
+
+
+def step_of(tag: str | None = None, cls: str | None = None, ident: str | None = None) -> tuple:
+    return (tag, cls, f" {cls} " if cls else None, ident)
+
 
+# The lookups below give SQL text: a page needs dozens of them, and one parsed expression is
+# much quicker to build than hundreds of Column calls. `nodes`, `step` and `within` are SQL too.
+
+def _fits(step: str | None, tag: str | None) -> str:
+    if tag is not None:
+        return f"n.tag = '{tag}'"
+    return (
+        f"({step} is not null and ({step}.tag is null or n.tag = {step}.tag)"
+        f" and ({step}.ident is null or n.ident = {step}.ident)"
+        f" and ({step}.cls is null or n.cls = {step}.cls or contains(n.words, {step}.word)))"
+    )
 
-def inside(node: Column, outer: Column) -> Column:
-    return (node["pos"] > outer["pos"]) & (node["pos"] <= outer["last"])
 
+def find_all(nodes: str, step: str | None = None, tag: str | None = None, within: str | None = None) -> str:
+    """Nodes that fit a selector step or have a tag, in page order; NULL parts of a step fit all.
 
-def find_all(nodes: Column, step: Column, within: Column | None = None) -> Column:
-    """Nodes that fit the step, in page order; only those below `within` when it is given."""
-    if within is None:
-        return F.filter(nodes, lambda n: matches(n, step))
-    return F.filter(nodes, lambda n: F.coalesce(inside(n, within), F.lit(False)) & matches(n, step))
+    With `within` only nodes below that node count.
+    """
+    below = f"n.pos > {within}.pos and n.pos <= {within}.last and " if within else ""
+    return f"filter({nodes}, n -> coalesce({below}{_fits(step, tag)}, false))"
 
 
-def find(nodes: Column, step: Column, within: Column | None = None) -> Column:
+def find(nodes: str, step: str | None = None, tag: str | None = None, within: str | None = None) -> str:
     """The first such node, else NULL."""
-    return F.get(find_all(nodes, step, within), F.lit(0))
+    return f"get({find_all(nodes, step, tag, within)}, 0)"
 
 
-def node_text(text: Column, node: Column) -> Column:
-    """Text of the node and everything below it."""
-    return F.substring(text, node["t0"] + 1, node["t1"] - node["t0"])
+def find_path(nodes: str, path: str) -> str:
+    """The node a selector path struct<outer, step, attribute> leads to."""
+    return (
+        f"case when {path}.outer is null then {find(nodes, f'{path}.step')}"
+        f" else get(transform(array({find(nodes, f'{path}.outer')}),"
+        f" o -> {find(nodes, f'{path}.step', within='o')}), 0) end"
+    )
 
 
-def constant_step(tag: str | None = None, cls: str | None = None, ident: str | None = None) -> Column:
-    """A selector step written in code."""
-    return F.struct(*[
-        F.lit(v).cast("string").alias(k) for k, v in (("tag", tag), ("cls", cls), ("ident", ident))
-    ])
+def node_text(text: str, node: str) -> str:
+    """Text of the node and everything below it."""
+    return f"get(transform(array({node}), t -> substring({text}, t.t0 + 1, t.t1 - t.t0)), 0)"

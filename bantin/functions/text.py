@@ -14,6 +14,8 @@ _CP1252_CODES = (
     "\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f"
 )
 
+_LOOKS_BROKEN = f"[\xc2-\xf4][\x80-\xbf{_CP1252_PRINTED}]"
+
 # Journals that throw away empty paragraphs.
 DROPS_EMPTY_PARAGRAPHS = ["vneconomy", "diendandoanhnghiep", "nhipcaudautu", "saigontimes"]
 # Journals that throw away empty tags.
@@ -33,10 +35,17 @@ def repair_encoding(text) -> Column:
 
     Only text that fits the single-byte range and turns into valid UTF-8 is changed.
     """
-    single_bytes = F.translate(as_column(text), _CP1252_PRINTED, _CP1252_CODES)
-    looks_broken = single_bytes.rlike(r"^[\x00-\xff]*$") & single_bytes.rlike(r"[\xc2-\xf4][\x80-\xbf]")
-    decoded = F.try_validate_utf8(F.encode(single_bytes, "ISO-8859-1").cast("string"))
-    return F.when(looks_broken, F.coalesce(decoded, as_column(text))).otherwise(as_column(text))
+
+
+    def repair(raw: Column) -> Column:
+        as_bytes = F.translate(raw, _CP1252_PRINTED, _CP1252_CODES)
+        decoded = bind(as_bytes, lambda b: F.when(
+            b.rlike(r"^[\x00-\xff]*$"), F.try_validate_utf8(F.encode(b, "ISO-8859-1").cast("string"))
+        ))
+        # Broken text shows a lead character (Â to ô) before a printed continuation byte.
+        return F.when(raw.rlike(_LOOKS_BROKEN), F.coalesce(decoded, raw)).otherwise(raw)
+
+    return bind(as_column(text), repair)
 
 
 def clean_text(text) -> Column:

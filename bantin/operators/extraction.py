@@ -4,25 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bantin.catalogue import section_catalogue
 from bantin.functions import dom
-from bantin.functions.columns import bind, case_of
+from bantin.functions.columns import case_of
 from bantin.functions.dates import clean_date_text
 from bantin.functions.text import body_paragraphs, clean_author, clean_tags, clean_text
 from bantin.functions.urls import absolute_image_url, absolute_url, article_key, keep_link
 from bantin.site_rules import article_selectors, listing_selectors
 
+_NODES = "dom.nodes"
 
-def _find_path(nodes: Column, path: Column) -> Column:
-    outer = dom.find(nodes, path["outer"])
-    return F.when(
-        path.isNotNull(),
-        F.when(path["outer"].isNull(), dom.find(nodes, path["step"])).otherwise(
-            dom.find(nodes, path["step"], outer)
-        ),
-    )
+# Sites whose articles may lack a date.
+DATE_OPTIONAL = ["cafef", "cafebiz", "vietstock"]
 
 
 def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -36,46 +30,33 @@ def extract_articles(pages: DataFrame, html: str = "html") -> DataFrame:
     The page never leaves its row: there is no shuffle, and the selector table is a constant.
     `reject_reason` is NULL for good articles; see `require_nodes`.
     """
-    spark = pages.sparkSession
-    rules = article_selectors(spark).select("journal", F.struct("*").dropFields("journal").alias("rule"))
+    rules = article_selectors(pages.sparkSession).select("journal", F.struct("*").dropFields("journal").alias("rule"))
     found = parse_pages(pages, html).join(F.broadcast(rules), "journal", "left")
-    nodes, text, rule = F.col("dom.nodes"), F.col("dom.text"), F.col("rule")
     fields = ["title", "attract", "author", "date", "body", "tags"]
-    found = found.withColumns({f"_{f}": _find_path(nodes, rule[f]) for f in fields})
-
-    def text_of(node: Column) -> Column:
-        return clean_text(dom.node_text(text, node))
-
-    p_step = dom.constant_step("p")
-    missing = F.get(
-        F.filter(rule["required"], lambda r: _find_path(nodes, r["path"]).isNull()), F.lit(0)
-    )["name"]
-    raw = found.withColumns({
-        "_paragraph_nodes": F.when(F.col("_body").isNotNull(), dom.find_all(nodes, p_step, F.col("_body"))),
-        "_missing": missing,
+    found = found.withColumns({f"_{f}": F.expr(dom.find_path(_NODES, f"rule.{f}")) for f in fields})
+    found = found.withColumns({
+        "_ps": F.expr(f"if(_body is null, null, {dom.find_all(_NODES, tag='p', within='_body')})"),
+        "_tag_nodes": F.expr(f"if(_tags is null, null, {dom.find_all(_NODES, 'rule.tag.step', within='_tags')})"),
+        "_missing": F.expr(f"get(filter(rule.required, r -> isnull({dom.find_path(_NODES, 'r.path')})), 0).name"),
     })
-    date_node = F.col("_date")
-    raw = raw.withColumns({
-        "_paragraphs": F.transform(F.col("_paragraph_nodes"), text_of),
-        "_date_text": F.when(rule["date"]["attribute"].isNotNull(), date_node["datetime"]).otherwise(text_of(date_node)),
-        "_strong": bind(
-            F.try_element_at(F.col("_paragraph_nodes"), F.lit(-2)),
-            lambda p: text_of(dom.find(nodes, dom.constant_step("strong"), p)),
+    signature = dom.find(_NODES, tag="strong", within="p")
+    raw = found.withColumns({
+        "_paragraphs": _texts("_ps"),
+        "_tag_texts": F.coalesce(_texts("_tag_nodes"), F.array().cast("array<string>")),
+        "_date_text": F.when(F.expr("rule.date.attribute is not null"), F.col("_date.datetime")).otherwise(_text("_date")),
+        "_author_text": case_of(
+            "journal",
+            [(["phapluatdoisong"], _text(f"get(transform(array(try_element_at(_ps, -2)), p -> {signature}), 0)"))],
+            otherwise=_text("_author"),
         ),
     })
     journal = F.col("journal")
-    author = case_of(journal, [(["phapluatdoisong"], F.col("_strong"))], otherwise=text_of(F.col("_author")))
-    tag_list = F.when(
-        F.col("_tags").isNotNull(),
-        F.transform(dom.find_all(nodes, rule["tag"]["step"], F.col("_tags")), text_of),
-    ).otherwise(F.array().cast("array<string>"))
     date_text = clean_date_text(journal, F.col("_date_text"))
-    date_required = ~journal.isin("cafef", "cafebiz", "vietstock")
     reason = (
-        F.when(rule.isNull(), F.lit("unknown journal"))
+        F.when(F.col("rule").isNull(), F.lit("unknown journal"))
         .when(F.col("_missing").isNotNull(), F.concat(F.lit("missing "), F.col("_missing")))
-        .when(date_required & date_text.isNull(), F.lit("no date in text"))
-        .when((journal == "phapluatdoisong") & (F.size("_paragraphs") < 2), F.lit("fewer than two paragraphs"))
+        .when(~journal.isin(*DATE_OPTIONAL) & date_text.isNull(), F.lit("no date in text"))
+        .when((journal == "phapluatdoisong") & (F.size("_ps") < 2), F.lit("fewer than two paragraphs"))
     )
     kept = [c for c in pages.columns if c not in (html, "journal", "url")]
     return raw.select(
@@ -83,35 +64,46 @@ def extract_articles(pages: DataFrame, html: str = "html") -> DataFrame:
         "journal",
         "url",
         *kept,
-        text_of(F.col("_title")).alias("title"),
-        text_of(F.col("_attract")).alias("attract"),
-        clean_author("journal", author, F.col("_paragraphs")).alias("author"),
+        _text("_title").alias("title"),
+        _text("_attract").alias("attract"),
+        clean_author("journal", "_author_text", "_paragraphs").alias("author"),
         date_text.alias("date_text"),
-        body_paragraphs("journal", F.col("_paragraphs")).alias("content"),
-        _images(nodes, text, rule, F.col("_body")).alias("image"),
-        clean_tags("journal", tag_list).alias("tags"),
+        body_paragraphs("journal", "_paragraphs").alias("content"),
+        _images().alias("image"),
+        clean_tags("journal", "_tag_texts").alias("tags"),
         reason.alias("reject_reason"),
     )
 
 
-def _images(nodes: Column, text: Column, rule: Column, body: Column) -> Column:
-    """array<struct<url, title>> of the images in the body; image bytes are not fetched."""
-    in_table = rule["caption"]["step"]["tag"] == "td"
+def _text(node: str) -> Column:
+    return clean_text(F.expr(dom.node_text("dom.text", node)))
+
 
-    def image(block: Column) -> Column:
-        picture = dom.find(nodes, dom.constant_step("img"), block)
-        captions = dom.find_all(nodes, rule["caption"]["step"], block)
-        caption = F.when(in_table, F.get(captions, F.lit(1))).otherwise(F.get(captions, F.lit(0)))
-        link = F.when(rule["image_attribute"] == "data-src", picture["data_src"]).otherwise(picture["src"])
-        return F.struct(
-            absolute_image_url("journal", link).alias("url"),
-            F.coalesce(clean_text(dom.node_text(text, caption)), F.lit("")).alias("title"),
-        )
+def _texts(nodes: str) -> Column:
+    return F.transform(F.expr(f"transform({nodes}, m -> {dom.node_text('dom.text', 'm')})"), lambda t: clean_text(t))
 
-    blocks = F.when(body.isNotNull(), dom.find_all(nodes, rule["image"]["step"], body)).otherwise(
-        F.array().cast(T.ArrayType(dom.NODE_TYPE))
+
+def _images() -> Column:
+    """array<struct<url, title>> of the images in the body; image bytes are not fetched.
+
+    A caption in a table is the second cell, otherwise the first node the caption rule finds.
+    """
+    blocks = dom.find_all(_NODES, "rule.image.step", within="_body")
+    captions = dom.find_all(_NODES, "rule.caption.step", within="b")
+    caption = f"get({captions}, if(rule.caption.step.tag = 'td', 1, 0))"
+    picture = dom.find(_NODES, tag="img", within="b")
+    link = f"get(transform(array({picture}), i -> if(rule.image_attribute = 'data-src', i.data_src, i.src)), 0)"
+    found = F.expr(
+        f"transform(if(_body is null, array(), {blocks}),"
+        f" b -> struct({link} as link, {dom.node_text('dom.text', caption)} as caption))"
+    )
+    return F.transform(
+        F.filter(found, lambda i: i["link"].isNotNull()),
+        lambda i: F.struct(
+            absolute_image_url("journal", i["link"]).alias("url"),
+            F.coalesce(clean_text(i["caption"]), F.lit("")).alias("title"),
+        ),
     )
-    return F.filter(F.transform(blocks, image), lambda i: i["url"].isNotNull())
 
 
 def image_refs(articles: DataFrame) -> DataFrame:
@@ -140,22 +132,19 @@ def extract_links(listings: DataFrame, html: str = "html") -> DataFrame:
         "journal", F.struct("*").dropFields("journal").alias("rule")
     )
     found = parse_pages(listings, html).join(F.broadcast(rules), "journal")
-    nodes, rule = F.col("dom.nodes"), F.col("rule")
-    found = found.withColumn("_root", dom.find(nodes, rule["root"]))
-    in_root = lambda step: F.when(rule["root"].isNull(), dom.find_all(nodes, step)).otherwise(
-        dom.find_all(nodes, step, F.col("_root"))
-    )
+    found = found.withColumn("_root", F.expr(dom.find(_NODES, "rule.root")))
     # Of a group (a box per article) sites take every item, or only the first one.
-    first_only = F.col("journal") == "saigontimes"
+    in_group = dom.find_all(_NODES, "rule.item", within="g")
+    of_group = f"if(journal = 'saigontimes', slice({in_group}, 1, 1), {in_group})"
 
-    def items_of(group: Column) -> Column:
-        items = dom.find_all(nodes, rule["item"], group)
-        return F.when(first_only, F.slice(items, 1, 1)).otherwise(items)
+    def in_root(step: str) -> str:
+        return f"if(rule.root is null, {dom.find_all(_NODES, step)}, {dom.find_all(_NODES, step, within='_root')})"
 
-    items = F.when(rule["group"].isNull(), in_root(rule["item"])).otherwise(
-        F.flatten(F.transform(in_root(rule["group"]), items_of))
+    items = (
+        f"if(rule.`group` is null, {in_root('rule.item')},"
+        f" flatten(transform({in_root('rule.`group`')}, g -> {of_group})))"
     )
-    links = F.transform(items, lambda i: dom.find(nodes, dom.constant_step("a"), i)["href"])
+    links = F.expr(f"transform({items}, i -> {dom.find(_NODES, tag='a', within='i')}.href)")
     kept = [c for c in listings.columns if c != html]
     section = "section_url" if "section_url" in listings.columns else None
     out = found.select(*kept, F.posexplode(links).alias("pos", "href"))
@@ -166,11 +155,12 @@ def extract_links(listings: DataFrame, html: str = "html") -> DataFrame:
 
 def page_links(pages: DataFrame, container: str = "nav", html: str = "html") -> DataFrame:
     """One row per link below the first `container` tag of any page."""
-    nodes = F.col("dom.nodes")
-    anchors = dom.find_all(nodes, dom.constant_step("a"), dom.find(nodes, dom.constant_step(container)))
-    links = F.filter(F.transform(anchors, lambda a: a["href"]), lambda h: h.isNotNull() & (h != ""))
+    box = dom.find(_NODES, tag=container)
+    parsed = parse_pages(pages, html).withColumn("_box", F.expr(box))
+    anchors = dom.find_all(_NODES, tag="a", within="_box")
+    links = F.expr(f"filter(transform({anchors}, a -> a.href), h -> h is not null and h <> '')")
     kept = [c for c in pages.columns if c != html]
-    return parse_pages(pages, html).select(*kept, F.posexplode(links).alias("pos", "href"))
+    return parsed.select(*kept, F.posexplode(links).alias("pos", "href"))
 
 
 def label_sections(articles: DataFrame) -> DataFrame:

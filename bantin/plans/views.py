@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from bantin.catalogue import JOURNALS
 from bantin.functions.columns import case_of, string_array
 from bantin.site_rules import ARTICLE_SELECTORS, LISTING_SELECTORS
+from bantin.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work that is heavy per row: all cores take part however few the files."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def journal_of(number) -> Column:
     return F.element_at(string_array(JOURNALS), (F.col(number) % 10 + 1).cast("int"))
 
@@ -220,7 +226,7 @@ def _page_of(name: str) -> Column:
     if rule["caption"] == "td":
         figure = _element(rule["image"], F.concat(F.lit("<td>"), picture, F.lit("</td><td>"), caption, F.lit("</td>")))
     else:
-        figure = _element(rule["image"], F.concat(picture, _element(rule["caption"].replace("p.", "div."), caption)))
+        figure = _element(rule["image"], F.concat(picture, _element(rule["caption"], caption)))
     signed = {
         "vietnamnet": F.concat(F.lit("<p>"), author, F.lit("</p>")),
         "phapluatdoisong": F.concat(F.lit("<p><strong>"), author, F.lit("</strong></p><p>End</p>")),
@@ -249,7 +255,7 @@ def _page_of(name: str) -> Column:
 
 def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every article as a page of its site; each 17th page lacks its date."""
-    rows = articles(spark, sf_dir).withColumn("ts", F.col("crawled"))
+    rows = article_columns(spread_documents(spark, sf_dir)).withColumn("ts", F.col("crawled"))
     return rows.select(
         "doc_id",
         "journal",

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bantin.functions.dom import STEP, step_of
+
 # Selectors of article pages.
 ARTICLE_SELECTORS = {
     "baodautu": {
@@ -203,18 +205,15 @@ LISTING_SELECTORS = {
     "vietstock": {"root": None, "group": None, "item": "h4"},
 }
 
-_STEP = "struct<tag:string,cls:string,ident:string>"
-_PATH = f"struct<outer:{_STEP},step:{_STEP},attribute:string>"
+_PATH = f"struct<outer:{STEP},step:{STEP},attribute:string>"
 
 
 def _step(text: str):
-    for mark, place in (("#", 2), (".", 1)):
-        if mark in text:
-            tag, name = text.split(mark, 1)
-            step = [tag or None, None, None]
-            step[place] = name
-            return tuple(step)
-    return (text, None, None)
+    if "#" in text:
+        tag, name = text.split("#", 1)
+        return step_of(tag or None, ident=name)
+    tag, _, name = text.partition(".")
+    return step_of(tag or None, name or None)
 
 
 def _path(text: str | None):
@@ -246,4 +245,4 @@ def listing_selectors(spark: SparkSession) -> DataFrame:
         (name, *[_step(s[p]) if s[p] else None for p in ("root", "group", "item")])
         for name, s in LISTING_SELECTORS.items()
     ]
-    return spark.createDataFrame(rows, f"journal string, root {_STEP}, `group` {_STEP}, item {_STEP}")
+    return spark.createDataFrame(rows, f"journal string, root {STEP}, `group` {STEP}, item {STEP}")
