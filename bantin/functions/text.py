@@ -21,8 +21,9 @@ DROPS_EMPTY_PARAGRAPHS = ["vneconomy", "diendandoanhnghiep", "nhipcaudautu", "sa
 # Journals that throw away empty tags.
 DROPS_EMPTY_TAGS = ["baodautu", "vneconomy", "saigontimes", "diendandoanhnghiep", "nhipcaudautu"]
 
-# A word is a run of basic Latin and Latin-1 letters.
-NOT_A_WORD = "[^a-zà-öø-ÿ]+"
+# A word is a run of basic Latin and Latin-1 letters. Looking for words is many times quicker
+# than splitting at what is not one: Java is slow at negated classes of this form.
+WORD = "[a-zà-öø-ÿ]+"
 
 
 def unicode_trim(text) -> Column:
@@ -96,7 +97,7 @@ def body_text(content) -> Column:
 
 def tokens(text) -> Column:
     """Lower-case words of the whole text, in order."""
-    return F.filter(F.split(F.lower(as_column(text)), NOT_A_WORD), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(as_column(text)), F.lit(WORD), F.lit(0))
 
 
 def lemmatise(words, lemmas: dict[str, str]) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from bantin.functions.columns import as_column
 from bantin.functions.documents import split_list_string
+from bantin.operators.once import with_computed
 from bantin.schema import INDEX_COLUMNS, RAW_MESSAGE_SCHEMA
 
 _CORRUPT = "_corrupt_record"
@@ -25,7 +26,8 @@ def decode_payload(messages: DataFrame, schema: T.StructType = RAW_MESSAGE_SCHEM
         F.col(value).cast("string"), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
     kept = [c for c in messages.columns if c != value]
-    return messages.select(*kept, body.alias("_body")).select(*kept, "_body.*")
+    decoded = with_computed(messages, {"_body": body}, kept)
+    return decoded.select(*kept, "_body.*")
 
 
 def good_messages(decoded: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from bantin.functions.columns import case_of
 from bantin.functions.dates import clean_date_text
 from bantin.functions.text import body_paragraphs, clean_author, clean_tags, clean_text
 from bantin.functions.urls import absolute_image_url, absolute_url, article_key, keep_link
+from bantin.operators.once import explode_rows, with_computed
 from bantin.site_rules import article_selectors, listing_selectors
 
 _NODES = "dom.nodes"
@@ -59,20 +60,19 @@ def extract_articles(pages: DataFrame, html: str = "html") -> DataFrame:
         .when((journal == "phapluatdoisong") & (F.size("_ps") < 2), F.lit("fewer than two paragraphs"))
     )
     kept = [c for c in pages.columns if c not in (html, "journal", "url")]
-    return raw.select(
-        article_key("journal", "url").alias("id"),
-        "journal",
-        "url",
-        *kept,
-        _text("_title").alias("title"),
-        _text("_attract").alias("attract"),
-        clean_author("journal", "_author_text", "_paragraphs").alias("author"),
-        date_text.alias("date_text"),
-        body_paragraphs("journal", "_paragraphs").alias("content"),
-        _images().alias("image"),
-        clean_tags("journal", "_tag_texts").alias("tags"),
-        reason.alias("reject_reason"),
-    )
+    columns = {
+        "id": article_key("journal", "url"),
+        "title": _text("_title"),
+        "attract": _text("_attract"),
+        "author": clean_author("journal", "_author_text", "_paragraphs"),
+        "date_text": date_text,
+        "content": body_paragraphs("journal", "_paragraphs"),
+        "image": _images(),
+        "tags": clean_tags("journal", "_tag_texts"),
+        "reject_reason": reason,
+    }
+    articles = with_computed(raw, columns, ["journal", "url", *kept])
+    return articles.select("id", "journal", "url", *kept, *[c for c in columns if c != "id"])
 
 
 def _text(node: str) -> Column:
@@ -108,7 +108,7 @@ def _images() -> Column:
 
 def image_refs(articles: DataFrame) -> DataFrame:
     """One row per image of an article."""
-    return articles.select("id", F.posexplode("image").alias("pos", "image")).select(
+    return explode_rows(articles, ["id"], F.col("image"), "image", "pos").select(
         "id", "pos", F.col("image.url").alias("image_url"), F.col("image.title").alias("image_title")
     )
 
@@ -147,7 +147,7 @@ def extract_links(listings: DataFrame, html: str = "html") -> DataFrame:
     links = F.expr(f"transform({items}, i -> {dom.find(_NODES, tag='a', within='i')}.href)")
     kept = [c for c in listings.columns if c != html]
     section = "section_url" if "section_url" in listings.columns else None
-    out = found.select(*kept, F.posexplode(links).alias("pos", "href"))
+    out = explode_rows(found, kept, links, "href", "pos")
     return out.where(keep_link("journal", "href", section)).select(
         *kept, "pos", absolute_url("journal", "href").alias("link")
     )
@@ -160,7 +160,7 @@ def page_links(pages: DataFrame, container: str = "nav", html: str = "html") ->
     anchors = dom.find_all(_NODES, tag="a", within="_box")
     links = F.expr(f"filter(transform({anchors}, a -> a.href), h -> h is not null and h <> '')")
     kept = [c for c in pages.columns if c != html]
-    return parsed.select(*kept, F.posexplode(links).alias("pos", "href"))
+    return explode_rows(parsed, kept, links, "href", "pos")
 
 
 def label_sections(articles: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from bantin.functions import text as TX
 from bantin.functions.columns import as_column
 from bantin.functions.dates import parse_date_any, to_epoch_millis, year_month
 from bantin.operators.filters import keyword_filter
+from bantin.operators.once import explode_rows
 from bantin.operators.skew import lookup_join
 from bantin.schema import KEYWORDS_TYPE
 
@@ -34,7 +35,7 @@ def lemmatise_by_join(docs: DataFrame, lemmas: DataFrame, doc: str = "doc_id", w
     Frequent words are answered from a broadcast of bounded size, see `lookup_join`.
     Documents without words keep an empty list.
     """
-    exploded = docs.select(doc, F.posexplode(words).alias("_pos", "word"))
+    exploded = explode_rows(docs, [doc], F.col(words), "word", "_pos")
     table = lemmas.groupBy("word").agg(F.min("lemma").alias("lemma"))
     found = lookup_join(exploded, table, "word")
     regrouped = found.groupBy(doc).agg(
@@ -63,10 +64,8 @@ def candidate_phrases(
     if lemmas:
         words = TX.lemmatise(words, lemmas)
     phrases = TX.word_runs(words, tuple(lengths), list(stop_words))
-    counted = docs.select(doc, TX.count_values(phrases).alias("_counted"))
-    return counted.select(doc, F.explode("_counted").alias("_c")).select(
-        doc, F.col("_c.value").alias("phrase"), F.col("_c.n").alias("tf")
-    )
+    counted = explode_rows(docs, [doc], TX.count_values(phrases), "_c")
+    return counted.select(doc, F.col("_c.value").alias("phrase"), F.col("_c.n").alias("tf"))
 
 
 def score_tfidf(candidates: DataFrame, documents: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
@@ -188,7 +187,7 @@ def mmr_select(
                 picked.append(_select_diverse(relevance, similarity_to, n, diversity))
             yield pa.array(picked, type=pa.list_(pa.int32()))
 
-    chosen = groups.withColumn("p", choose("c")).select(doc, "c", F.posexplode("p").alias("r", "i"))
+    chosen = explode_rows(groups.withColumn("p", choose("c")), [doc, "c"], F.col("p"), "i", "r")
     best = F.get("c", "i")
     return chosen.select(
         doc, (F.col("r") + 1).alias("rank"), best["phrase"].alias("phrase"), best["score"].alias("score")
