@@ -71,15 +71,16 @@ def candidate_phrases(
 def score_tfidf(candidates: DataFrame, documents: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
     """Add `score` = tf * ln((1 + N) / (1 + df)); N is the number of documents.
 
-    df is reduced in every task before it is shuffled. The lookup of df is safe against
-    phrases that stand in a large part of all documents: df itself is their row count.
+    df is reduced in every task before it is shuffled. Most phrases stand in one document
+    only; they are left out of the df table, and a phrase not found there has df 1. The join
+    is safe against phrases of a large part of all documents: df itself is their row count.
     """
-    df = candidates.groupBy("phrase").agg(F.count("*").alias("df"))
+    df = candidates.groupBy("phrase").agg(F.count("*").alias("df")).where("df > 1")
     source = documents if documents is not None else candidates.select(doc).distinct()
     n = source.agg(F.count("*").alias("n")).scalar()
-    counts = df.select("phrase", F.col("df").alias("n"))
-    scored = lookup_join(candidates, df, "phrase", counts=counts)
-    return scored.withColumn("score", F.col("tf") * F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))))
+    found = lookup_join(candidates, df, "phrase", count_column="df")
+    found = found.withColumn("df", F.coalesce("df", F.lit(1)).cast("long"))
+    return found.withColumn("score", F.col("tf") * F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))))
 
 
 def top_n(scored: DataFrame, n: int = TOP_N, doc: str = "doc_id") -> DataFrame:

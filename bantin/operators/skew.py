@@ -15,7 +15,7 @@ def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
     key: str,
-    counts: DataFrame | None = None,
+    count_column: str | None = None,
     hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Left join of `big` with `lookup`, which holds each key at most once.
@@ -23,26 +23,31 @@ def lookup_join(
     Keys with more than 1/hot_keys of all rows are answered from a broadcast table (there
     can be no more than `hot_keys` of them); their rows are then spread over the shuffle by
     a salt that matches nothing. All other keys go through an ordinary shuffle join.
-    `counts` (key, n) may be given when the row count per key is already known.
+    `count_column` names a lookup column that already holds the number of rows per key; keys
+    the lookup lacks then count as rare. Without it the rows are counted here.
 
     AQE alone is not enough here: it splits a skewed join partition only when both join
     inputs are plain shuffles, and a lookup made by groupBy has an aggregate in between.
     """
-    if counts is None:
-        counts = big.groupBy(key).agg(F.count("*").alias("n"))
     values = [c for c in lookup.columns if c != key]
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
-    hot = counts.where(F.col("n") * F.lit(hot_keys) > total).select(key)
-    # Keep the hot keys that the lookup lacks as well: their rows must be spread too.
-    hot_values = hot.join(lookup, key, "left").select(
-        F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot")
-    )
+    if count_column is not None:
+        counted, n = lookup, F.col(count_column)
+    else:
+        counted, n = big.groupBy(key).agg(F.count("*").alias("_n")), F.col("_n")
+    total = counted.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).scalar()
+    hot = counted.where(n * F.lit(hot_keys) > total)
+    if count_column is None:
+        # Hot keys the lookup lacks are kept as well: their rows must be spread too.
+        hot = hot.select(key).join(lookup, key, "left")
+    hot_values = hot.select(F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
     marked = big.join(F.broadcast(hot_values), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
     is_hot = F.col("_hot").isNotNull()
     spread = F.when(is_hot, F.lit(1) + F.pmod(F.spark_partition_id(), F.lit(_SALTS))).otherwise(F.lit(0))
     # Always 0, but not a constant to the optimizer: the salt must stay part of the join key.
     no_salt = F.pmod(F.hash(F.col(key)), F.lit(1))
     cold_values = lookup.select(F.col(key), no_salt.alias("_salt"), F.struct(*values).alias("_cold"))
-    joined = marked.withColumn("_salt", spread).join(cold_values, [key, "_salt"], "left")
+    # A lookup made from exploded text is far larger than Spark's estimate, which goes by file
+    # size: without the hint it could be broadcast whole.
+    joined = marked.withColumn("_salt", spread).join(cold_values.hint("merge"), [key, "_salt"], "left")
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
     return joined.select(*big.columns, *[found[v].alias(v) for v in values])
