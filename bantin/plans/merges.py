@@ -8,6 +8,7 @@ from bantin.operators import merge
 from bantin.plans import views
 from bantin.plans.registry import query
 from bantin.plans.views import ARTICLES, UPDATES, with_views
+from bantin.sources.files import read_articles_json, read_collection
 from bantin.sources.tables import DocumentTable, write_append, write_article_files
 from bantin.sources.workspace import new_folder
 
@@ -144,12 +145,21 @@ def article_files(spark, sf_dir):
     return stored.select("id", "title", "version", F.size("content").cast("long").alias("n_content"))
 
 
+@query(with_views("""SELECT id, journal, title, CAST(NULL AS VARCHAR) AS author, len(content) AS n_content,
+  array_to_string(list_sort(tags), ' ') AS tags FROM articles""", ARTICLES))
+def article_json(spark, sf_dir):
+    """Articles written as JSON lines with a key too many, read back by the fixed schema."""
+    rows = views.articles(spark, sf_dir).select("id", "journal", "title", "content", "tags", F.lit(1).alias("unknown"))
+    path = new_folder(spark, "json")
+    rows.write.json(path)
+    stored = read_articles_json(spark, path, one_per_file=False)
+    return _shown(stored.select("id", "journal", "title", "author", F.size("content").cast("long").alias("n_content"), "tags"))
+
+
 @query(with_views("""SELECT id, journal, title FROM articles WHERE journal = 'dantri'
 UNION ALL SELECT id, journal, title FROM articles WHERE journal = 'dantri' AND type = 'en'""", ARTICLES))
 def append_table(spark, sf_dir):
     """Two appends to a table by journal, then one journal read back."""
-    from bantin.sources.files import read_collection
-
     rows = views.articles(spark, sf_dir).select("id", "journal", "title", "type")
     path = new_folder(spark, "appended")
     write_append(rows, path, mode="error")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bantin.sources.workspace import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +19,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, with its SQL twin if SQL can say it."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn

@@ -24,6 +24,14 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="bantin-")
 
 
+def tune(spark: SparkSession) -> None:
+    """Settings for rows that are large: pages and phrase lists go to Python in small batches.
+
+    The default batch of 10,000 rows would be a gigabyte of HTML at 100 KB a page.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder name not used before, below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
