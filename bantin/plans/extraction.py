@@ -19,7 +19,7 @@ _UNESCAPED = "replace(replace(replace({0}, '&quot;', '\"'), '&lt;', '<'), '&amp;
 
 @query(f"""SELECT page_id, trim({_UNESCAPED.format("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")}) AS title FROM pages""")
 def page_titles(spark, sf_dir):
-    parsed = X.parse_pages(views.table(spark, sf_dir, "pages"))
+    parsed = X.parse_pages(views.spread_pages(spark, sf_dir))
     title = F.expr(dom.node_text("dom.text", dom.find("dom.nodes", tag="h1")))
     return parsed.select("page_id", TX.clean_text(title).alias("title"))
 
@@ -27,7 +27,7 @@ def page_titles(spark, sf_dir):
 @query("""SELECT page_id, CAST((length(a) - length(replace(a, '<p>', ''))) / 3 AS BIGINT) AS n_paragraphs
 FROM (SELECT page_id, regexp_extract(html, '<article>(.*?)(</article>|$)', 1, 's') AS a FROM pages)""")
 def page_paragraphs(spark, sf_dir):
-    parsed = X.parse_pages(views.table(spark, sf_dir, "pages"))
+    parsed = X.parse_pages(views.spread_pages(spark, sf_dir))
     parsed = parsed.withColumn("article", F.expr(dom.find("dom.nodes", tag="article")))
     paragraphs = F.expr(dom.find_all("dom.nodes", tag="p", within="article"))
     return parsed.select("page_id", F.size(paragraphs).cast("long").alias("n_paragraphs"))
@@ -37,13 +37,13 @@ def page_paragraphs(spark, sf_dir):
   SELECT page_id, unnest(links) AS href, unnest(range(0, len(links))) AS pos FROM (
     SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="([^"]+)"', 1) AS links FROM pages))""")
 def page_links(spark, sf_dir):
-    return X.page_links(views.table(spark, sf_dir, "pages")).select("page_id", "pos", "href")
+    return X.page_links(views.spread_pages(spark, sf_dir)).select("page_id", "pos", "href")
 
 
 @query("""SELECT DISTINCT page_id, href FROM (
   SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="([^"]+)"', 1)) AS href FROM pages)""")
 def distinct_links(spark, sf_dir):
-    links = X.page_links(views.table(spark, sf_dir, "pages")).drop("url")
+    links = X.page_links(views.spread_pages(spark, sf_dir)).drop("url")
     return frontier.distinct_links(links).select("page_id", "href")
 
 
@@ -54,7 +54,7 @@ _LINKS = """links AS (
 @query(with_views("""SELECT url, min(page_id) AS page_id FROM links
 WHERE url NOT IN (SELECT url FROM links WHERE page_id % 10 = 0) GROUP BY url""", _LINKS))
 def unseen_links(spark, sf_dir):
-    links = X.page_links(views.table(spark, sf_dir, "pages")).select(F.col("href").alias("url"), "page_id")
+    links = X.page_links(views.spread_pages(spark, sf_dir)).select(F.col("href").alias("url"), "page_id")
     return frontier.unseen_links(links, links.where("page_id % 10 = 0"))
 
 
@@ -126,7 +126,7 @@ def clean_text(spark, sf_dir):
     """Whole texts read with the wrong encoding and padded with no-break spaces, put right."""
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     padded = F.concat(F.lit(" Â "), broken, F.lit("Â \t"))
-    return views.table(spark, sf_dir, "documents").select("doc_id", F.md5(TX.clean_text(padded)).alias("body"))
+    return views.spread_documents(spark, sf_dir).select("doc_id", F.md5(TX.clean_text(padded)).alias("body"))
 
 
 @query(with_views("""SELECT doc_id, journal, CASE journal WHEN 'vneconomy' THEN 'By ' || type

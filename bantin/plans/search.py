@@ -38,12 +38,12 @@ def date_histogram(spark, sf_dir):
 
 @query(f"SELECT doc_id, lang FROM documents WHERE list_has_all({_WORDS}, ['the', 'and', 'this'])")
 def match_all_words(spark, sf_dir):
-    return search.match(views.table(spark, sf_dir, "documents"), "text", ["the", "and", "This"], "and").select("doc_id", "lang")
+    return search.match(views.spread_documents(spark, sf_dir), "text", ["the", "and", "This"], "and").select("doc_id", "lang")
 
 
 @query(f"SELECT doc_id, lang FROM documents WHERE list_has_any({_WORDS}, ['markt', 'und', 'avec'])")
 def match_any_word(spark, sf_dir):
-    return search.match(views.table(spark, sf_dir, "documents"), "text", ["markt", "und", "avec"]).select("doc_id", "lang")
+    return search.match(views.spread_documents(spark, sf_dir), "text", ["markt", "und", "avec"]).select("doc_id", "lang")
 
 
 @query(with_views("""SELECT id, journal, type, title FROM articles WHERE journal = 'vtc' AND type = 'en'

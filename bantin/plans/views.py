@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents for work that is heavy per row: all cores take part however few the files."""
     return spread(table(spark, sf_dir, "documents"), "doc_id")
@@ -153,7 +157,7 @@ def message_columns(rows: DataFrame, broken_every: int | None = 13) -> DataFrame
 
 
 def messages(spark: SparkSession, sf_dir: str, broken_every: int | None = 13) -> DataFrame:
-    return message_columns(articles(spark, sf_dir), broken_every)
+    return message_columns(article_columns(spread_documents(spark, sf_dir)), broken_every)
 
 
 # --- keyworded articles ---------------------------------------------------------------
@@ -199,89 +203,98 @@ def _escape(text: Column) -> Column:
     return F.replace(F.replace(amp, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def _element(selector: str, inner: Column, attributes: str = "") -> Column:
+def _element(selector: str, inner: str, attributes: str = "") -> str:
     """Markup that the selector finds."""
-    selector, _, _ = selector.partition("@")
-    outer, _, own = selector.rpartition(" > ")
-    tag, mark, name = own, "", ""
-    for m, attribute in (("#", "id"), (".", "class")):
-        if m in own:
-            tag, name = own.split(m, 1)
+    outer, _, own = selector.partition("@")[0].rpartition(" > ")
+    mark, tag = "", own
+    for sign, attribute in (("#", "id"), (".", "class")):
+        if sign in own:
+            tag, name = own.split(sign, 1)
             mark = f' {attribute}="{name}"'
             break
-    tag = tag or "div"
-    made = F.concat(F.lit(f"<{tag}{mark}{attributes}>"), inner, F.lit(f"</{tag}>"))
+    made = f"<{tag or 'div'}{mark}{attributes}>{inner}</{tag or 'div'}>"
     return _element(outer, made) if outer and outer != "article" else made
 
 
-def _page_of(name: str) -> Column:
+def _page_template(name: str) -> str:
+    """A page of the site with a place for each part, such as {title}."""
     rule = ARTICLE_SELECTORS[name]
-    author = F.concat(F.lit("Author "), (F.col("doc_id") % 50).cast("string"))
-    shown = {"vneconomy": F.concat(author, F.lit(" -")), "diendandoanhnghiep": F.concat(author, F.lit(" | Desk"))}
-    paragraphs = F.array_join(F.transform("content", lambda p: F.concat(F.lit("<p>"), _escape(p), F.lit("</p>"))), "")
-    picture = F.concat(
-        F.lit(f'<img {rule["image_attribute"]}="/img/'), F.col("doc_id").cast("string"), F.lit('.png">')
-    )
-    caption = F.concat(F.lit("Photo "), F.col("doc_id").cast("string"))
+    shown = {"vneconomy": "{author} -", "diendandoanhnghiep": "{author} | Desk"}.get(name, "{author}")
+    picture = f'<img {rule["image_attribute"]}="/img/{{number}}.png">'
     if rule["caption"] == "td":
-        figure = _element(rule["image"], F.concat(F.lit("<td>"), picture, F.lit("</td><td>"), caption, F.lit("</td>")))
-    else:
-        figure = _element(rule["image"], F.concat(picture, _element(rule["caption"], caption)))
-    signed = {
-        "vietnamnet": F.concat(F.lit("<p>"), author, F.lit("</p>")),
-        "phapluatdoisong": F.concat(F.lit("<p><strong>"), author, F.lit("</strong></p><p>End</p>")),
-    }
-    lead = _escape(F.coalesce("attract", F.lit("")))
-    attract = _element("h6", lead) if name == "saigontimes" else F.lit("")
-    body = F.concat(attract, paragraphs, signed.get(name, F.lit("")), figure)
-    tags = _element(rule["tags"], F.array_join(F.transform("tags", lambda t: _element(rule["tag"], _escape(t))), ""))
-    if "@" in rule["date"]:
-        opened = rule["date"].partition("@")[0]
-        date = F.concat(F.lit(f'<{opened.split(".")[0]}' + (f' class="{opened.split(".")[1]}"' if "." in opened else "") + ' datetime="'), decorated_date(), F.lit('"></time>'))
+        figure = _element(rule["image"], f"<td>{picture}</td><td>Photo {{number}}</td>")
     else:
-        date = _element(rule["date"], _escape(decorated_date()))
-    parts = [_element(rule["title"], _escape(F.col("title")))]
-    if name != "saigontimes":
-        parts.append(_element(rule["attract"], lead))
-    parts.append(F.when(F.col("doc_id") % 17 == 0, F.lit("")).otherwise(date))
+        figure = _element(rule["image"], picture + _element(rule["caption"], "Photo {number}"))
+    signed = {"vietnamnet": "<p>{author}</p>", "phapluatdoisong": "<p><strong>{author}</strong></p><p>End</p>"}.get(name, "")
+    lead_in_body = name == "saigontimes"
+    body = (_element("h6", "{attract}") if lead_in_body else "") + "{paragraphs}" + signed + figure
+    parts = [_element(rule["title"], "{title}")]
+    if not lead_in_body:
+        parts.append(_element(rule["attract"], "{attract}"))
+    parts.append("{dated}")
     if rule["author"]:
-        parts.append(_element(rule["author"], shown.get(name, author)))
+        parts.append(_element(rule["author"], shown))
+    tags = _element(rule["tags"], "{tags}")
     if name == "laodong":
-        page = F.concat(F.lit("<article>"), *parts, body, F.lit("</article>"), tags)
+        page = f"<article>{''.join(parts)}{body}</article>{tags}"
     else:
-        page = F.concat(*parts, _element(rule["body"], body), tags)
-    return F.concat(F.lit("<!DOCTYPE html><html><body>"), page, F.lit("</body></html>"))
+        page = "".join(parts) + _element(rule["body"], body) + tags
+    return f"<!DOCTYPE html><html><body>{page}</body></html>"
+
+
+def _date_template(name: str) -> str:
+    selector = ARTICLE_SELECTORS[name]["date"]
+    return _element(selector, "", ' datetime="{date}"') if "@" in selector else _element(selector, "{date}")
+
+
+def _by_journal(template) -> Column:
+    return F.element_at(string_array([template(j) for j in JOURNALS]), (F.col("doc_id") % 10 + 1).cast("int"))
+
+
+def _fill(template: Column, parts: dict[str, Column]) -> Column:
+    for name, value in parts.items():
+        template = F.replace(template, F.lit("{" + name + "}"), value)
+    return template
 
 
 def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every article as a page of its site; each 17th page lacks its date."""
     rows = article_columns(spread_documents(spark, sf_dir)).withColumn("ts", F.col("crawled"))
-    return rows.select(
-        "doc_id",
-        "journal",
-        F.concat(F.lit("https://site.example/news/"), "id", F.lit(".html/index.htm")).alias("url"),
-        case_of("journal", [([j], _page_of(j)) for j in JOURNALS]).alias("html"),
+    dated = F.when(F.col("doc_id") % 17 == 0, F.lit("")).otherwise(
+        _fill(_by_journal(_date_template), {"date": _escape(decorated_date())})
     )
+    rows = rows.withColumn("tag", _by_journal(lambda j: _element(ARTICLE_SELECTORS[j]["tag"], "{tag}")))
+    paragraphs = F.transform("content", lambda p: F.concat(F.lit("<p>"), _escape(p), F.lit("</p>")))
+    tags = F.transform("tags", lambda t: F.replace("tag", F.lit("{tag}"), _escape(t)))
+    html = _fill(_by_journal(_page_template), {
+        "dated": dated,
+        "author": F.concat(F.lit("Author "), (F.col("doc_id") % 50).cast("string")),
+        "number": F.col("doc_id").cast("string"),
+        "title": _escape(F.col("title")),
+        "attract": _escape(F.coalesce("attract", F.lit(""))),
+        "tags": F.array_join(tags, ""),
+        "paragraphs": F.array_join(paragraphs, ""),
+    })
+    url = F.concat(F.lit("https://site.example/news/"), "id", F.lit(".html/index.htm"))
+    return rows.select("doc_id", "journal", url.alias("url"), html.alias("html"))
+
+
+def _listing_template(name: str) -> str:
+    rule = LISTING_SELECTORS[name]
+    host = "https://laodong.vn" if name == "laodong" else ""
+    items = ""
+    for part in "ab":
+        item = _element(rule["item"], f'<a href="{host}/{part}/{{number}}">more</a>')
+        items += _element(rule["group"], item) if rule["group"] else item
+    return _element(rule["root"], items) if rule["root"] else items
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every article as a listing page with the links /a/<doc_id>, /b/<doc_id>."""
-
-    def page(name: str) -> Column:
-        rule = LISTING_SELECTORS[name]
-        items = F.lit("")
-        for part in "ab":
-            href = F.concat(F.lit(f"/{part}/"), F.col("doc_id").cast("string"))
-            if name == "laodong":
-                href = F.concat(F.lit("https://laodong.vn"), href)
-            item = _element(rule["item"], F.concat(F.lit('<a href="'), href, F.lit('">more</a>')))
-            items = F.concat(items, _element(rule["group"], item) if rule["group"] else item)
-        return _element(rule["root"], items) if rule["root"] else items
-
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        journal_of("doc_id").alias("journal"),
-    ).select("*", case_of("journal", [([j], page(j)) for j in JOURNALS]).alias("html"))
+    html = _fill(_by_journal(_listing_template), {"number": F.col("doc_id").cast("string")})
+    return spread(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select(
+        "doc_id", journal_of("doc_id").alias("journal"), html.alias("html")
+    )
 
 
 def with_views(body: str, *views: str) -> str:
