@@ -48,14 +48,17 @@ def distinct_links(spark, sf_dir):
 
 
 _LINKS = """links AS (
-  SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="([^"]+)"', 1)) AS url FROM pages)"""
+  SELECT page_id, url LIKE 'https://www.%' AS visited,
+    unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="([^"]+)"', 1)) AS url FROM pages)"""
 
 
 @query(with_views("""SELECT url, min(page_id) AS page_id FROM links
-WHERE url NOT IN (SELECT url FROM links WHERE page_id % 10 = 0) GROUP BY url""", _LINKS))
+WHERE url NOT IN (SELECT url FROM links WHERE visited) GROUP BY url""", _LINKS))
 def unseen_links(spark, sf_dir):
-    links = X.page_links(views.spread_pages(spark, sf_dir)).select(F.col("href").alias("url"), "page_id")
-    return frontier.unseen_links(links, links.where("page_id % 10 = 0"))
+    """Links of all pages that no page of a https://www. site has."""
+    links = X.page_links(views.spread_pages(spark, sf_dir))
+    seen = links.where(F.col("url").startswith("https://www.")).select(F.col("href").alias("url"))
+    return frontier.unseen_links(links.select(F.col("href").alias("url"), "page_id"), seen)
 
 
 _AUTHOR = "'Author ' || (doc_id % 50)"
