@@ -39,7 +39,7 @@ def lemmatise_by_join(docs: DataFrame, lemmas: DataFrame, doc: str = "doc_id", w
     table = lemmas.groupBy("word").agg(F.min("lemma").alias("lemma"))
     found = lookup_join(exploded, table, "word")
     regrouped = found.groupBy(doc).agg(
-        F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("lemma", "word").alias("w")))).alias("_ws")
+        F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "word").alias("w")))).alias("_ws")
     )
     lemmatised = regrouped.select(doc, F.transform("_ws", lambda x: x["w"]).alias("_lemmas"))
     empty = F.array().cast("array<string>")
@@ -172,7 +172,7 @@ def mmr_select(
     fields = [F.col(score).alias("score"), F.col("phrase")]
     if vector is not None:
         fields.append(F.col(vector).alias("vector"))
-    groups = scored.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("phrase", *fields[:1], *fields[2:]))).alias("c"))
+    groups = scored.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("phrase", *fields[:1], *fields[2:]))).alias("c"))
 
     @F.arrow_udf("array<int>")
     def choose(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -198,7 +198,7 @@ def mmr_select(
 def attach_keywords(articles: DataFrame, phrases: DataFrame, key: str = "doc_id", score: str = "score") -> DataFrame:
     """Articles with `keywords`, best first; an article without phrases gets an empty list."""
     by_score = F.struct((-F.col(score)).alias("o"), F.col("phrase"), F.col(score).alias("s"))
-    grouped = phrases.groupBy(key).agg(F.array_sort(F.collect_list(by_score)).alias("_k"))
+    grouped = phrases.groupBy(key).agg(F.sort_array(F.collect_list(by_score)).alias("_k"))
     keywords = F.transform("_k", lambda k: F.struct(k["phrase"].alias("keyword"), k["s"].alias("score")))
     return articles.join(grouped.select(key, keywords.alias("keywords")), key, "left").withColumn(
         "keywords", F.coalesce("keywords", F.array().cast(KEYWORDS_TYPE))

@@ -202,7 +202,7 @@ def fold_updates(
             items = _after_last_unset(items, updates, keys, name, arrival)
         first = items.groupBy(*keys, "_item").agg(F.min(F.struct("_at", "_pos")).alias("_first"))
         ordered = first.groupBy(*keys).agg(
-            F.array_sort(F.collect_list(F.struct("_first", "_item"))).alias("_items")
+            F.sort_array(F.collect_list(F.struct("_first", "_item"))).alias("_items")
         )
         column = F.transform("_items", lambda x: x["_item"]).alias(f"_l_{name}")
         folded = folded.join(ordered.select(*keys, column), keys, "left")

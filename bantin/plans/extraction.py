@@ -93,7 +93,7 @@ def extract_articles(spark, sf_dir):
         "id", "doc_id", "journal", "title", "attract", "author", "date_text",
         F.md5(F.array_join("content", "\n")).alias("body"),
         F.size("content").cast("long").alias("n_paragraphs"),
-        F.array_join(F.array_sort("tags"), "|").alias("tags"),
+        F.array_join(F.sort_array("tags"), "|").alias("tags"),
     )
 
 

@@ -90,7 +90,7 @@ def candidate_phrases(spark, sf_dir):
     text = F.concat("phrase", F.lit(":"), F.col("tf").cast("string"))
     grouped = phrases.groupBy("doc_id").agg(
         F.count("*").alias("n_phrases"), F.sum("tf").alias("n_runs"),
-        F.array_sort(F.collect_list(F.struct("phrase", text.alias("t")))).alias("ts"),
+        F.sort_array(F.collect_list(F.struct("phrase", text.alias("t")))).alias("ts"),
     )
     return grouped.select("doc_id", "n_phrases", "n_runs", F.md5(F.array_join(F.transform("ts", lambda x: x["t"]), ",")).alias("phrases"))
 
@@ -131,7 +131,7 @@ def embedding_cosine(spark, sf_dir):
     vectors = views.table(spark, sf_dir, "embeddings")
     parts = vectors.select("label", F.posexplode("embedding").alias("pos", "x"))
     means = parts.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    centers = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("c"))
+    centers = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("c"))
     centers = centers.select("label", F.transform("c", lambda x: x["m"]).alias("center"))
     paired = K.lookup_join(vectors, centers, "label")
     scored = K.score_embeddings(paired, "center", "embedding")

@@ -23,7 +23,7 @@ def _stored(spark, sf_dir):
 
 
 def _shown(df):
-    return df.withColumn("tags", F.array_join(F.array_sort("tags"), " "))
+    return df.withColumn("tags", F.array_join(F.sort_array("tags"), " "))
 
 
 @query(with_views(f"""SELECT id, CASE WHEN title IS NULL THEN 'title' ELSE '' END AS unset, title AS set_title,

@@ -75,7 +75,7 @@ def project_articles(spark, sf_dir):
     rows = views.articles(spark, sf_dir).withColumn("date", F.date_format("crawled", "yyyy-MM-dd HH:mm:ss"))
     return envelope.project_article(rows).withColumns({
         "content": F.md5(F.array_join("content", "\n")),
-        "tags": F.array_join(F.array_sort("tags"), " "),
+        "tags": F.array_join(F.sort_array("tags"), " "),
     })
 
 
@@ -111,7 +111,7 @@ def publish_round_trip(spark, sf_dir):
     return decoded.select(
         "key", "topic", "title",
         F.md5(F.array_join("content", "\n")).alias("body"),
-        F.array_join(F.array_sort("tags"), " ").alias("tags"),
+        F.array_join(F.sort_array("tags"), " ").alias("tags"),
     )
 
 
@@ -125,14 +125,14 @@ def _article_maps(spark, sf_dir):
 FROM articles""", ARTICLES))
 def drop_null_entries(spark, sf_dir):
     kept = _article_maps(spark, sf_dir).select("doc_id", D.drop_null_entries("m").alias("m"))
-    return kept.select("doc_id", F.array_join(F.array_sort(F.map_keys("m")), " ").alias("keys"))
+    return kept.select("doc_id", F.array_join(F.sort_array(F.map_keys("m")), " ").alias("keys"))
 
 
 @query(with_views("SELECT doc_id, 'journal title' AS keys, title FROM articles", ARTICLES))
 def keep_keys(spark, sf_dir):
     kept = _article_maps(spark, sf_dir).select("doc_id", D.keep_keys("m", ["title", "journal", "nowhere"]).alias("m"))
     return kept.select(
-        "doc_id", F.array_join(F.array_sort(F.map_keys("m")), " ").alias("keys"), F.element_at("m", "title").alias("title")
+        "doc_id", F.array_join(F.sort_array(F.map_keys("m")), " ").alias("keys"), F.element_at("m", "title").alias("title")
     )
 
 
@@ -159,7 +159,7 @@ def _nested_articles(spark, sf_dir):
 def flatten_documents(spark, sf_dir):
     flat = nested.flatten(_nested_articles(spark, sf_dir))
     flat = flat.toDF(*[c.replace(".", "__") for c in flat.columns])
-    return flat.withColumn("tags", F.array_join(F.array_sort("tags"), " "))
+    return flat.withColumn("tags", F.array_join(F.sort_array("tags"), " "))
 
 
 @query(with_views("SELECT doc_id, title, journal, attract, type FROM articles", ARTICLES))
@@ -181,7 +181,7 @@ def drop_nulls_deep(spark, sf_dir):
 
     def keys(path: str):
         part = F.col("doc") if path == "$" else F.get_json_object("doc", path)
-        return F.array_join(F.array_sort(F.json_object_keys(part)), " ")
+        return F.array_join(F.sort_array(F.json_object_keys(part)), " ")
 
     return docs.select(
         F.get_json_object("doc", "$.doc_id").cast("long").alias("doc_id"),
