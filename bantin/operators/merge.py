@@ -55,22 +55,28 @@ def _given(c: str) -> Column:
     return F.col(f"`_u_{c}`")
 
 
-def _join_updates(target: DataFrame, updates: DataFrame, keys: list[str], merged: dict[str, Column]) -> DataFrame:
+def _join_updates(
+    target: DataFrame, updates: DataFrame, keys: list[str], merged: dict[str, Column], rewrite: bool
+) -> DataFrame:
     """`merged` per stored row (left join), plus the updates whose key is not stored yet.
 
     A left join, not a full outer join: Spark can broadcast small updates and leave the
-    stored table where it is. Only the key columns of the stored table are read twice.
+    stored table where it is. Only the key columns of the stored table are read twice, but
+    the updates three times; `rewrite` shuffles both sides and reads each once.
     """
     u_cols = [c for c in updates.columns if c not in keys]
     t_cols = [c for c in target.columns if c not in keys]
     given = updates.select(*keys, F.lit(True).alias("_is_given"), *[F.col(f"`{c}`").alias(f"_u_{c}") for c in u_cols])
     stored = target.select(*keys, *[F.col(f"`{c}`").alias(f"_t_{c}") for c in t_cols])
+    columns = [*target.columns, *[c for c in u_cols if c not in t_cols and c != CLEARED]]
+    result = [F.col(c) if c in keys else merged[c].alias(c) for c in columns]
+    if rewrite:
+        return stored.join(given, keys, "full_outer").select(*result)
     both = stored.join(given, keys, "left")
     stored_keys = updates.select(*keys).join(target.select(*keys), keys, "left_semi")
     nothing_stored = [F.lit(None).cast(target.schema[c].dataType).alias(f"_t_{c}") for c in t_cols]
     new = given.join(stored_keys, keys, "left_anti").select("*", *nothing_stored)
-    columns = [*target.columns, *[c for c in u_cols if c not in t_cols and c != CLEARED]]
-    return both.unionByName(new).select(*[F.col(c) if c in keys else merged[c].alias(c) for c in columns])
+    return both.unionByName(new).select(*result)
 
 
 def upsert_merge(
@@ -78,11 +84,13 @@ def upsert_merge(
     updates: DataFrame,
     key: str | Sequence[str] = "id",
     unset_nulls: bool = True,
+    rewrite: bool = False,
 ) -> DataFrame:
     """Merge updates into the table: scalars are set, lists gain new items, NULLs unset.
 
     A typed row cannot tell NULL from missing; with `unset_nulls=False` a NULL means missing
-    and leaves the stored value. New keys are inserted, new columns are added.
+    and leaves the stored value. New keys are inserted, new columns are added. `rewrite` is
+    for updates about as large as the table, or costly to compute: each side is read once.
     """
     keys = _keys(key)
     types = {f.name: f.dataType for f in [*updates.schema.fields, *target.schema.fields]}
@@ -110,7 +118,7 @@ def upsert_merge(
         else:
             value = F.when(new.isNull(), on_null).otherwise(new)
         merged[c] = F.when(given, value).otherwise(stored)
-    return _join_updates(target, updates, keys, merged)
+    return _join_updates(target, updates, keys, merged, rewrite)
 
 
 def upsert_replace(
@@ -149,7 +157,7 @@ def _overwrite(target: DataFrame, updates: DataFrame, keys: list[str], null_is_m
         new = _given(c)
         value = F.coalesce(new, stored) if null_is_missing else new
         merged[c] = F.when(F.col("_is_given").isNotNull(), value).otherwise(stored)
-    return _join_updates(target, updates, keys, merged)
+    return _join_updates(target, updates, keys, merged, rewrite=False)
 
 
 def keep_last(rows: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:

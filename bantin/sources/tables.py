@@ -64,7 +64,7 @@ class DocumentTable:
         self.unset_nulls = unset_nulls
 
     def write_changes(self, changes: DataFrame, epoch: int) -> None:
-        """Log one batch; writing the same epoch again replaces it."""
+        """Log one batch; writing the same epoch again replaces it. All batches have the same columns."""
         changes.write.mode("overwrite").parquet(f"{self.path}/changes/epoch={epoch:012d}")
 
     def _committed(self, kind: str) -> list[int]:
@@ -89,8 +89,8 @@ class DocumentTable:
         rows = self.spark.read.option("basePath", f"{self.path}/changes").parquet(*paths)
         return rows.withColumn("_epoch", F.col("epoch").cast("long")).drop("epoch")
 
-    def read(self, through: int | None = None) -> DataFrame:
-        """The current documents."""
+    def read(self, through: int | None = None, rewrite: bool = False) -> DataFrame:
+        """The current documents; see `upsert_merge` for `rewrite`."""
         base = self.base_epoch()
         stored = None if base is None else self.spark.read.parquet(f"{self.path}/base/through={base:012d}")
         pending = self.changes(through)
@@ -101,8 +101,8 @@ class DocumentTable:
         folded = fold_updates(pending, self.keys, ["_epoch", *self.order], self.unset_nulls).drop("_epoch")
         if stored is None:
             empty = self.spark.createDataFrame([], folded.drop(CLEARED).schema)
-            return upsert_merge(empty, folded, self.keys, self.unset_nulls)
-        return upsert_merge(stored, folded, self.keys, self.unset_nulls)
+            return upsert_merge(empty, folded, self.keys, self.unset_nulls, rewrite=True)
+        return upsert_merge(stored, folded, self.keys, self.unset_nulls, rewrite)
 
     def compact(self) -> int:
         """Write a base that covers all committed changes; readers switch when it is complete."""
@@ -112,5 +112,5 @@ class DocumentTable:
         last = epochs[-1]
         target = f"{self.path}/base/through={last:012d}"
         if not exists(self.spark, f"{target}/_SUCCESS"):
-            self.read(through=last).write.mode("overwrite").parquet(target)
+            self.read(last, rewrite=True).write.mode("overwrite").parquet(target)
         return last

@@ -36,6 +36,14 @@ def test_merge_twice_is_merge_once(spark):
     assert as_dict(M.upsert_merge(once, updates(spark))) == as_dict(once)
 
 
+def test_one_pass_merge_gives_the_same(spark):
+    new = updates(spark).withColumn("views", F.lit(1))
+    for unset in (True, False):
+        usual = M.upsert_merge(target(spark), new, unset_nulls=unset)
+        one_pass = M.upsert_merge(target(spark), new, unset_nulls=unset, rewrite=True)
+        assert one_pass.columns == usual.columns and as_dict(one_pass) == as_dict(usual)
+
+
 def test_null_as_missing(spark):
     got = as_dict(M.upsert_merge(target(spark), updates(spark), unset_nulls=False))
     assert got["a"] == ("A", ["x", "x", "y", "n"])
