@@ -100,7 +100,8 @@ FOLD = "id string, n int, title string, tags array<string>"
 def sequential(spark, base, batch):
     """The updates applied one by one, in order."""
     for row in sorted(batch, key=lambda r: r[1]):
-        base = M.upsert_merge(base, docs(spark, row, schema=FOLD).drop("n"))
+        merged = M.upsert_merge(base, docs(spark, row, schema=FOLD).drop("n"), rewrite=True)
+        base = docs(spark, *[tuple(r) for r in merged.collect()])
     return as_dict(base)
 
 
