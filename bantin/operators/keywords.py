@@ -162,17 +162,25 @@ def mmr_select(
     doc: str = "doc_id",
     score: str = "score",
     vector: str | None = None,
+    relative: bool = False,
 ) -> DataFrame:
     """(doc, rank, phrase, score): n phrases per document that are relevant and differ.
 
     All phrases of the document compete. They come from one document row, so a group is
     never larger than a document. Similarity is the cosine of the phrases' word sets, or of
-    their vectors when a vector column is given.
+    their vectors when a vector column is given. With `relative` scores are first divided by
+    the document's best, as `relative_score` does, but within the collected list.
     """
-    fields = [F.col(score).alias("score"), F.col("phrase")]
+    fields = [F.col("phrase"), F.col(score).alias("score")]
     if vector is not None:
         fields.append(F.col(vector).alias("vector"))
-    groups = scored.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("phrase", *fields[:1], *fields[2:]))).alias("c"))
+    groups = scored.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("c"))
+    if relative:
+        groups = groups.withColumn("best", F.array_max(F.transform("c", lambda x: x["score"])))
+        scaled = F.transform("c", lambda x: x.withField(
+            "score", F.when(F.col("best") > 0, x["score"] / F.col("best")).otherwise(F.lit(0.0))
+        ))
+        groups = groups.select(doc, scaled.alias("c"))
 
     @F.arrow_udf("array<int>")
     def choose(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -216,8 +224,8 @@ def extract_keywords(
     """Body text to `keywords`, end to end. Scores are TF-IDF scaled to 0..1 per article."""
     docs = articles.select(key, TX.body_text(content).alias("_text"))
     phrases = candidate_phrases(docs, "_text", key, lemmas=lemmas)
-    scored = relative_score(score_tfidf(phrases, docs, key), key)
-    return attach_keywords(articles, mmr_select(scored, n, diversity, key, "rel"), key)
+    chosen = mmr_select(score_tfidf(phrases, docs, key), n, diversity, key, relative=True)
+    return attach_keywords(articles, chosen, key)
 
 
 def refine_keywords(articles: DataFrame, min_score: float = 0.5) -> DataFrame:

@@ -141,8 +141,7 @@ def embedding_cosine(spark, sf_dir):
 @query()
 def mmr_select(spark, sf_dir):
     """Twenty relevant and different phrases per document; every phrase of the text competes."""
-    scored = K.relative_score(_scored(spark, sf_dir))
-    return K.mmr_select(scored, 20, score="rel").select("doc_id", "rank", "phrase", F.round("score", 6).alias("score"))
+    return K.mmr_select(_scored(spark, sf_dir), 20, relative=True).select("doc_id", "rank", "phrase", F.round("score", 6).alias("score"))
 
 
 @query()

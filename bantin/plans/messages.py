@@ -13,9 +13,6 @@ from bantin.plans.views import ARTICLES, with_views
 from bantin.schema import RAW_MESSAGE_SCHEMA
 from bantin.sources.files import split_csv_payload
 
-_SHORT = "coalesce(array_to_string(list_sort({0}), ' '), '')"
-
-
 @query(with_views("""SELECT doc_id, id, journal, title, len(content) AS n_paragraphs,
   md5(array_to_string(content, chr(10))) AS body FROM articles WHERE doc_id % 13 <> 0""", ARTICLES))
 def decode_payload(spark, sf_dir):
