@@ -10,7 +10,6 @@ several sets and the documents pass them one after another, each pass adding to
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
