@@ -1,4 +1,4 @@
 """Imports every module of this package, so that its queries are registered."""
 
-from bantin.llm import decontamination, line_dedup  # noqa: F401
+from bantin.llm import decontamination, line_dedup, packing, token_files  # noqa: F401
 from bantin.llm.common import QUERIES, SQL  # noqa: F401
