@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +61,14 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def with_fields(schema: T.StructType, **fields: str) -> T.StructType:
+    """The schema with more columns; `schema` itself stays as it is."""
+    more = T.StructType()
+    for name, kind in fields.items():
+        more.add(name, kind)
+    return T.StructType([*schema.fields, *more.fields])
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """A string column as UTF-8 bytes, without decoding."""
     if pa.types.is_large_string(column.type):

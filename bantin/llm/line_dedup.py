@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import as_bytes, query, stored, table, whole_text
+from bantin.llm.common import as_bytes, query, stored, table, whole_text, with_fields
 from bantin.llm.seen_twice import BITS_LOG2, seen_twice
 
 MIN_CHARS = 20
@@ -106,7 +106,7 @@ def without_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs:
             )
 
     both = both.select("row", "text", "keys")
-    schema = both.drop("keys").schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = with_fields(both.drop("keys").schema, n_lines="long", n_dropped="long")
     return both.mapInArrow(cut, schema)
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bantin.llm.common import as_bytes, query, stored, table, whole_text
+from bantin.llm.common import as_bytes, query, stored, table, whole_text, with_fields
 from bantin.llm.tokenise import default_tokenizer, encoder
 
 CAPACITY = 4096
@@ -139,7 +139,7 @@ def pack(
             columns += [pa.array(first_sequence[at] + inside_run // each[at]), pa.array(offset[at] + inside_run % each[at] * own)]
             yield pa.RecordBatch.from_arrays(columns, [*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(slots, cut.schema.add("sequence_id", "long").add("offset", "long"))
+    return ranked.mapInArrow(slots, with_fields(cut.schema, sequence_id="long", offset="long"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
