@@ -32,6 +32,9 @@ _HELD_BACK = 4
 _WORD = re.compile(r"[^\W\d_]+")
 _KEPT_WORDS = 500_000
 _START, _END = "<", ">"
+# Evidence of a word within this many natural-log units is no evidence: the classes' samples differ
+# that much in their shares of languages and topics.
+DEAD_ZONE = 2.0
 
 
 def words_of(text: str) -> list[str]:
@@ -106,6 +109,7 @@ class Model:
         self._words: dict[str, float] = {}
 
     def word(self, word: str) -> float:
+        """Evidence of one word, shrunk by `DEAD_ZONE`."""
         known = self._words.get(word)
         if known is None:
             if len(self._words) >= _KEPT_WORDS:
@@ -117,6 +121,7 @@ class Model:
                     known += self.context.get(g[:-1], 0.0)
                     g = g[1:]
                 known += self.seen.get(g, 0.0)
+            known = math.copysign(max(0.0, abs(known) - DEAD_ZONE), known)
             self._words[word] = known
         return known
 
