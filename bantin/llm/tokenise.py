@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import functools
 import os
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# Words remembered in a worker, forgotten all at once beyond this; only speed depends on it.
-_KEPT_WORDS = 400_000
+# Words remembered in a worker: so many recent ones, and as many from before. Only speed depends on it.
+_KEPT_WORDS = 500_000
+# Texts are split into words this many bytes at a time.
+_SLICE_BYTES = 2 << 20
 _TAIL = b".,;:!?"
 
 
@@ -33,9 +36,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, without special tokens, as `dtype`."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= _SLICE_BYTES:
+                yield from self._encode(held)
+                held, size = [], 0
+        yield from self._encode(held)
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
         pieces = [t.split() for t in texts]
         self._learn(set().union(*pieces))
         ids = self.known.__getitem__
@@ -43,15 +57,17 @@ class Encoder:
 
     def _learn(self, pieces: set[bytes]) -> None:
         if len(self.known) > _KEPT_WORDS:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        parts = {p: _parts(p) for p in new}
-        words = list({w for x in parts.values() for w in x if w not in self.known})
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = pieces.difference(known)
+        known.update({p: older[p] for p in new if p in older})
+        parts = {p: _parts(p) for p in new if p not in older}
+        words = list({w for x in parts.values() for w in x if w not in known})
         found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
         for word, x in zip(words, found):
-            self.known[word] = np.array(x.ids, self.dtype).tobytes()
+            known[word] = np.array(x.ids, self.dtype).tobytes()
         for piece, x in parts.items():
-            self.known[piece] = b"".join([self.known[w] for w in x])
+            known[piece] = known[x[0]] if len(x) == 1 else known[x[0]] + known[x[1]]
 
 
 def _parts(piece: bytes) -> tuple[bytes, ...]:
