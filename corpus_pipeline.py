@@ -6,18 +6,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bantin.llm.common import shared_folder, table
 from bantin.llm.decontamination import decontaminate
+from bantin.llm.jaccard_join import drop_near_duplicates
+from bantin.llm.line_dedup import dedup_lines
+from bantin.llm.packing import pack
+from bantin.llm.toxicity import drop_toxic
 
 
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the class-conditional models, learned from all labels, do not call toxic."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that stay in another one."""
+    return dedup_lines(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is linked by 5-word shingles with a similarity of 0.8."""
+    return drop_near_duplicates(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 4096 ids."""
+    return pack(docs)
+
+
 STAGES = [
-    ("benchmark decontamination", drop_contaminated),
+    ("toxicity", without_toxic),
+    ("line dedup", without_shared_lines),
+    ("n-gram Jaccard join", without_near_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("best-fit packing", packed),
 ]
 
-# Learned models and greedy plans are not SQL; tests compare with a brute-force version.
+# Learned models are not SQL; a test compares every stage with a brute-force version.
 ORACLE_SQL = None
 
 
