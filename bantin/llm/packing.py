@@ -22,7 +22,7 @@ from bantin.llm.tokenise import default_tokenizer, encoder
 CAPACITY = 4096
 END_ID = 1
 # Pieces ranked in one window partition, on average.
-_PER_BUCKET = 20_000
+_PER_BUCKET = 2_000
 
 PLAN_COLUMNS = ["length", "first_rank", "n", "first_sequence", "each", "offset"]
 
