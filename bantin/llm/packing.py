@@ -91,8 +91,8 @@ def pieces(
         encode = encoder(path).encode
         for batch in batches:
             rows: list[tuple] = []
-            for doc, ids in zip(batch["doc_id"].to_pylist(), encode(as_bytes(batch["text"]))):
-                ids = np.append(ids, end_id).astype("<u4")
+            for doc, ids in zip(batch["doc_id"].to_pylist(), encode(as_bytes(batch["text"]), end_id)):
+                ids = ids.astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity].tobytes()
                     rows.append((doc, k, start, len(part) // 4, zlib.crc32(part), part if with_ids else None))

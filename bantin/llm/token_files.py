@@ -46,12 +46,15 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> bytes:
-    """A dictionary from the ids of a bounded sample: the short documents with the smallest hashes of doc_id and text.
+    """A dictionary from the ids of a bounded sample: short documents with the smallest hashes of doc_id and text.
 
     With too little to train on, the sample's ids themselves are the dictionary; it may be empty.
     """
-    short = docs.select(whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("h")).where(F.length("text") <= sample_chars)
-    texts = [r.text.encode() for r in short.orderBy("h", "text").limit(sample_docs).collect()]
+    # As large a part of all hashes as makes about `sample_docs`, so that a task sends only its share.
+    highest = -(2**63) + min(1.0, sample_docs / max(1, docs.count())) * 2.0**64
+    low = docs.select(whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("h")).where(F.col("h") <= F.lit(highest))
+    rows = low.where(F.length("text") <= sample_chars).limit(2 * sample_docs).collect()
+    texts = [r.text.encode() for r in sorted(rows, key=lambda r: (r.h, r.text))]
     samples = [x.tobytes() for x in encoder(tokenizer).encode(texts)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -110,9 +113,8 @@ def write_token_files(
         press = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(shared.value), write_content_size=True)
         part, attempt, done, file = TaskContext.get().partitionId(), uuid.uuid4().hex, [], None
         for batch in batches:
-            for doc, ids in zip(batch["doc_id"].to_pylist(), encode.encode(as_bytes(batch["text"]))):
+            for doc, ids in zip(batch["doc_id"].to_pylist(), encode.encode(as_bytes(batch["text"]), end_id)):
                 file = file or _Writer(f"{folder}/ids", f"part-{part:06d}-{len(done):04d}-{attempt}.ids")
-                ids = np.append(ids, end_id).astype(encode.dtype)
                 file.add(doc, press.compress(ids.tobytes()), len(ids))
                 if file.at >= file_bytes:
                     done.append(file.close(encode.dtype.itemsize, digest))
@@ -138,7 +140,9 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     """The listed files, each with the number of ids in all files before it."""
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     files = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
-    return files.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
+    files = files.select("file", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
+    # A row is a whole file: as many tasks as files, and not as few as the size of these rows would make.
+    return files.repartition(max(1, files.count()), "file")
 
 
 class TokenFile:
@@ -185,7 +189,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) ->
                             ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                         )
 
-    files = _files(spark, folder).repartition("file")
+    files = _files(spark, folder)
     out = files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<long>")
     return out if with_ids else out.drop("ids")
 
@@ -210,7 +214,7 @@ def lookup(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
                 ids.append(file.ids(offset, size))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
 
-    places = _files(spark, folder).repartition("file").mapInArrow(index, "doc_id long, offset long, size long, file string")
+    places = _files(spark, folder).mapInArrow(index, "doc_id long, offset long, size long, file string")
     asked = places.join(wanted.select(F.col("doc_id").cast("long")).distinct(), "doc_id")
     return asked.sortWithinPartitions("file", "offset").mapInArrow(fetch, "doc_id long, ids array<long>")
 
