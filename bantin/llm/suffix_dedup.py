@@ -8,7 +8,7 @@ between them hold every two places that may agree:
    equal ones. Neighbouring windows mostly pick the same place, and so form a stretch. A stretch goes
    to the bin of its anchor; stretches whose anchor is met once cannot repeat and end here.
 2. Equal stretches (whole copies inside a passage) collapse to the earliest, natively; the others
-   are removed. What is left of an anchor, if there are different stretches, is sorted.
+   are removed, those of the same text at once. What is left of an anchor, if there are different stretches, is sorted.
 3. A bin's stretches are joined into one text; its suffix array is made by two-stage sorting, and
    windows whose common prefix reaches LENGTH are equal: all but the earliest go.
 
@@ -177,7 +177,12 @@ def _stretch_rows(length: int, anchor: int):
                 if len(text) >= length and same not in met:
                     met.add(same)
                     a, c, first, count = stretches(text, length, anchor)
-                    found.append((a.view(np.int64), c.view(np.int64), np.full(len(a), same, np.int64), first, count))
+                    # What a text repeats of itself goes, whoever else has it: dealt by place, not by anchor.
+                    again = np.ones(len(a), bool)
+                    again[np.unique(a ^ mixed(c), return_index=True)[1]] = False
+                    place = mixed(np.uint64(same & (2**64 - 1)) + first.astype(np.uint64) * np.uint64(_BASE))
+                    a = np.where(again, place, a).view(np.int64)
+                    found.append((a, c.view(np.int64), np.full(len(a), same, np.int64), first, np.where(again, -count, count)))
             if found:
                 columns = [np.concatenate(x) for x in zip(*found)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["anchor", "content", "same", "first", "count"])
@@ -207,16 +212,18 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -
     # Copies of whole documents; hot ones combine in every task.
     texts = stored(documents.groupBy("same", F.hash("text").alias("_check"), F.octet_length("text").alias("_n")).agg(F.min("id").alias("keeper")).select("same", "keeper"))
 
+    # A negative count marks a stretch that its own text has before.
     rows = documents.select("same", "text").mapInArrow(_stretch_rows(length, anchor), "anchor long, content long, same long, first long, count long")
     by_anchor = Window.partitionBy("anchor")
     place = F.struct("same", "first")
-    met = rows.select("*", F.min(place).over(by_anchor).alias("_a"), F.max(place).over(by_anchor).alias("_b")).where("_a <> _b").drop("_a", "_b")
+    met = rows.select("*", F.min(place).over(by_anchor).alias("_a"), F.max(place).over(by_anchor).alias("_b")).where("_a <> _b OR count < 0").drop("_a", "_b")
     known = met.distinct().join(texts, "same")
 
     owners = Window.partitionBy("anchor", "content").orderBy("keeper", "first")
     ranked = known.repartition("anchor").select("*", F.row_number().over(owners).alias("_rank"))
     ranked = ranked.select("*", F.sum(F.when(F.col("_rank") == 1, 1).otherwise(0)).over(by_anchor).alias("kinds"))
-    ranked = stored(ranked.select("anchor", "same", "keeper", "first", "count", "kinds", (F.col("_rank") > 1).alias("copy")))
+    copy = (F.col("_rank") > 1) | (F.col("count") < 0)
+    ranked = stored(ranked.select("anchor", "same", "keeper", "first", F.abs("count").alias("count"), "kinds", copy.alias("copy")))
 
     span = F.struct(F.col("first").alias("a"), (F.col("first") + F.col("count") + length - 1).alias("b"))
     whole = ranked.where("copy").select("same", span.alias("span"))
