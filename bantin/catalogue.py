@@ -90,34 +90,39 @@ LISTING_SUFFIX = {
 }
 
 # Domain stop words and phrases.
-DOMAIN_STOP_WORDS = [w.strip() for w in """
-company, companies, stock, stocks, share, shares, market, markets, exchange, exchanges,
-price, prices, pricing, trade, trades, trading, financial, finance, finances, fiscal,
-monetary, investor, investors, investment, investments, fund, funds, funding, economy,
-economic, economies, bank, banks, banking, revenue, revenues, profit, profits, loss,
-losses, dividend, dividends, quarter, quarterly, annual, annually, report, reports,
-reported, earning, earnings, forecast, forecasts, forecasting, growth, decline,
-percentage, percent, rise, rises, rising, fall, falls, falling, increase, increases,
-increasing, decrease, decreases, decreasing, up, down, gain, gains, gaining, drop, drops,
-dropping, billion, million, trillion, dollar, dollars, year, years, month, months, day,
-days, time, period, vietnamese business, vietnamese enterprise, vietnamese economy,
-vietnamese market, asean, vietnamese exporter, vietnamese export
-""".replace("\n", " ").split(",")]
+DOMAIN_STOP_WORDS = [
+    "company", "companies", "stock", "stocks", "share", "shares", "market", "markets", "exchange",
+    "exchanges", "price", "prices", "pricing", "trade", "trades", "trading", "financial", "finance",
+    "finances", "fiscal", "monetary", "investor", "investors", "investment", "investments", "fund", "funds",
+    "funding", "economy", "economic", "economies", "bank", "banks", "banking", "revenue", "revenues",
+    "profit", "profits", "loss", "losses", "dividend", "dividends", "quarter", "quarterly", "annual",
+    "annually", "report", "reports", "reported", "earning", "earnings", "forecast", "forecasts",
+    "forecasting", "growth", "decline", "percentage", "percent", "rise", "rises", "rising", "fall", "falls",
+    "falling", "increase", "increases", "increasing", "decrease", "decreases", "decreasing", "up", "down",
+    "gain", "gains", "gaining", "drop", "drops", "dropping", "billion", "million", "trillion", "dollar",
+    "dollars", "year", "years", "month", "months", "day", "days", "time", "period", "vietnamese business",
+    "vietnamese enterprise", "vietnamese economy", "vietnamese market", "asean", "vietnamese exporter",
+    "vietnamese export",
+]
 
 # General English stop words (public list), with the three extra words.
-ENGLISH_STOP_WORDS = """
-i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself
-yourselves he him his himself she she's her hers herself it it's its itself they them
-their theirs themselves what which who whom this that that'll these those am is are was
-were be been being have has had having do does did doing a an the and but if or because
-as until while of at by for with about against between into through during before after
-above below to from up down in out on off over under again further then once here there
-when where why how all any both each few more most other some such no nor not only own
-same so than too very s t can will just don don't should should've now d ll m o re ve y
-ain aren aren't couldn couldn't didn didn't doesn doesn't hadn hadn't hasn hasn't haven
-haven't isn isn't ma mightn mightn't mustn mustn't needn needn't shan shan't shouldn
-shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
-""".split()
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've", "you'll", "you'd",
+    "your", "yours", "yourself", "yourselves", "he", "him", "his", "himself", "she", "she's", "her", "hers",
+    "herself", "it", "it's", "its", "itself", "they", "them", "their", "theirs", "themselves", "what",
+    "which", "who", "whom", "this", "that", "that'll", "these", "those", "am", "is", "are", "was", "were",
+    "be", "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "a", "an", "the",
+    "and", "but", "if", "or", "because", "as", "until", "while", "of", "at", "by", "for", "with", "about",
+    "against", "between", "into", "through", "during", "before", "after", "above", "below", "to", "from",
+    "up", "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once", "here",
+    "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more", "most", "other",
+    "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t", "can",
+    "will", "just", "don", "don't", "should", "should've", "now", "d", "ll", "m", "o", "re", "ve", "y", "ain",
+    "aren", "aren't", "couldn", "couldn't", "didn", "didn't", "doesn", "doesn't", "hadn", "hadn't", "hasn",
+    "hasn't", "haven", "haven't", "isn", "isn't", "ma", "mightn", "mightn't", "mustn", "mustn't", "needn",
+    "needn't", "shan", "shan't", "shouldn", "shouldn't", "wasn", "wasn't", "weren", "weren't", "won", "won't",
+    "wouldn", "wouldn't",
+]
 EXTRA_STOP_WORDS = ["from", "re", "also"]
 
 STOP_WORDS = ENGLISH_STOP_WORDS + EXTRA_STOP_WORDS + DOMAIN_STOP_WORDS

@@ -21,9 +21,8 @@ DROPS_EMPTY_PARAGRAPHS = ["vneconomy", "diendandoanhnghiep", "nhipcaudautu", "sa
 # Journals that throw away empty tags.
 DROPS_EMPTY_TAGS = ["baodautu", "vneconomy", "saigontimes", "diendandoanhnghiep", "nhipcaudautu"]
 
-# A word is a run of basic Latin and Latin-1 letters. Looking for words is many times quicker
-# than splitting at what is not one: Java is slow at negated classes of this form.
-WORD = "[a-zà-öø-ÿ]+"
+# A word is a run of letters of any script with their marks, and of digits.
+WORD = r"[\p{L}\p{M}\p{N}]+"
 
 
 def unicode_trim(text) -> Column:

@@ -126,6 +126,7 @@ def rejected_pages(extracted: DataFrame) -> DataFrame:
 def extract_links(listings: DataFrame, html: str = "html") -> DataFrame:
     """One row per article link of a listing page (journal, html), in page order.
 
+    Pages of journals without rules are in `rejected_listings`.
     With a `section_url` column the in-section rule of laodong is applied.
     """
     rules = listing_selectors(listings.sparkSession).select(
@@ -153,6 +154,13 @@ def extract_links(listings: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
+def rejected_listings(listings: DataFrame, html: str = "html") -> DataFrame:
+    """Listing pages of journals without rules, which `extract_links` cannot read, with the reason."""
+    known = listing_selectors(listings.sparkSession).select("journal")
+    reason = F.concat(F.lit("no rules for "), F.coalesce("journal", F.lit("NULL")))
+    return listings.drop(html).join(F.broadcast(known), "journal", "left_anti").withColumn("reject_reason", reason)
+
+
 def page_links(pages: DataFrame, container: str = "nav", html: str = "html") -> DataFrame:
     """One row per link below the first `container` tag of any page."""
     box = dom.find(_NODES, tag=container)
@@ -164,6 +172,9 @@ def page_links(pages: DataFrame, container: str = "nav", html: str = "html") ->
 
 
 def label_sections(articles: DataFrame) -> DataFrame:
-    """Set `type` by (journal, section_url); the section catalogue is a fixed small table."""
+    """Set `type` by (journal, section_url), NULL where the section is not known.
+
+    The section catalogue is a fixed small table.
+    """
     sections = section_catalogue(articles.sparkSession)
-    return articles.drop("type").join(F.broadcast(sections), ["journal", "section_url"])
+    return articles.drop("type").join(F.broadcast(sections), ["journal", "section_url"], "left")

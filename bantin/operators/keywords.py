@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bantin.catalogue import STOP_WORDS
+from bantin.catalogue import ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS
 from bantin.functions import text as TX
 from bantin.functions.columns import as_column
 from bantin.functions.dates import parse_date_any, to_epoch_millis, year_month
@@ -53,11 +53,13 @@ def candidate_phrases(
     text: str = "text",
     doc: str = "doc_id",
     lengths: Sequence[int] = PHRASE_LENGTHS,
-    stop_words: Sequence[str] = tuple(STOP_WORDS),
+    stop_words: Sequence[str] = tuple(ENGLISH_STOP_WORDS + EXTRA_STOP_WORDS),
     lemmas: dict[str, str] | None = None,
 ) -> DataFrame:
     """(doc, phrase, tf): each phrase of each document with its count.
 
+    Only general stop words end a phrase: words of the domain, such as "market", are good in a
+    phrase, and `refine_keywords` drops them where they stand alone.
     Phrases are counted inside the row, so this step has no shuffle.
     """
     words = TX.tokens(text)

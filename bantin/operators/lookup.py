@@ -6,15 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-# A literal key list longer than this is turned into a join.
-_LITERAL_KEYS = 1_000
+from pyspark.sql import types as T
 
 
 def _as_keys(table: DataFrame, keys, key: str) -> DataFrame:
     if isinstance(keys, DataFrame):
         return keys.select(key).distinct()
-    return table.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(keys)], f"{key} string")
+    field = T.StructField(key, table.schema[key].dataType)
+    return table.sparkSession.createDataFrame([(k,) for k in dict.fromkeys(keys)], T.StructType([field]))
 
 
 def find(
@@ -29,15 +28,12 @@ def find(
 
     No keys (None or an empty list) means no key filter. A condition that itself names the
     key column replaces the key list (`condition_names_key`). The key column is always kept.
-    A keys DataFrame is joined: Spark broadcasts it when its measured size allows, else shuffles.
+    Listed keys have the type of the key column and are joined: Spark broadcasts it when its measured size allows, else shuffles.
     """
     found = table
     no_keys = keys is None or (not isinstance(keys, DataFrame) and len(keys) == 0)
     if not no_keys and not condition_names_key:
-        if not isinstance(keys, DataFrame) and len(keys) <= _LITERAL_KEYS:
-            found = found.where(F.col(key).isin(*keys))
-        else:
-            found = found.join(_as_keys(table, keys, key), key, "left_semi")
+        found = found.join(_as_keys(table, keys, key), key, "left_semi")
     if condition is not None:
         found = found.where(condition)
     if projection:
@@ -53,8 +49,9 @@ def find_one(
     key: str = "id",
 ) -> DataFrame:
     """One such document at most; the one with the smallest key, so the answer is stable."""
-    keys = [key_value] if key_value else None
-    return find(table, keys, condition, projection, key).orderBy(key).limit(1)
+    if key_value:
+        table = table.where(F.col(key) == F.lit(key_value))
+    return find(table, None, condition, projection, key).orderBy(key).limit(1)
 
 
 def find_in(
@@ -78,8 +75,6 @@ def delete_by_keys(table: DataFrame, keys: DataFrame | Sequence[str], key: str =
     """What is left after deleting the listed keys."""
     if not isinstance(keys, DataFrame) and len(keys) == 0:
         return table
-    if not isinstance(keys, DataFrame) and len(keys) <= _LITERAL_KEYS:
-        return table.where(~F.coalesce(F.col(key).isin(*keys), F.lit(False)))
     return table.join(_as_keys(table, keys, key), key, "left_anti")
 
 

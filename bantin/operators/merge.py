@@ -85,9 +85,12 @@ def upsert_merge(
     key: str | Sequence[str] = "id",
     unset_nulls: bool = True,
     rewrite: bool = False,
+    replace: Sequence[str] = (),
 ) -> DataFrame:
     """Merge updates into the table: scalars are set, lists gain new items, NULLs unset.
 
+    Lists named in `replace` are set whole, like scalars.
+
     A typed row cannot tell NULL from missing; with `unset_nulls=False` a NULL means missing
     and leaves the stored value. New keys are inserted, new columns are added. `rewrite` is
     for updates about as large as the table, or costly to compute: each side is read once.
@@ -106,7 +109,7 @@ def upsert_merge(
             continue
         new = _given(c)
         on_null = F.lit(None).cast(types[c]) if unset_nulls else stored
-        if isinstance(types[c], T.ArrayType):
+        if isinstance(types[c], T.ArrayType) and c not in replace:
             base = stored
             if has_cleared:
                 base = F.when(~F.array_contains(_given(CLEARED), c), stored)
@@ -174,18 +177,22 @@ def keep_last(rows: DataFrame, key: str | Sequence[str], order: Sequence[str]) -
 
 
 def fold_updates(
-    updates: DataFrame, key: str | Sequence[str], order: Sequence[str], unset_nulls: bool = True
+    updates: DataFrame,
+    key: str | Sequence[str],
+    order: Sequence[str],
+    unset_nulls: bool = True,
+    replace: Sequence[str] = (),
 ) -> DataFrame:
     """One update per key with the effect of applying all of them in `order`.
 
     Scalars: the last one wins (the last non-NULL one with `unset_nulls=False`). Lists: the
     items in order of first arrival; an update that unsets a list drops the items before it
-    and names the list in `_cleared`. All groups are reduced in parts before the shuffle:
+    and names the list in `_cleared`. Lists named in `replace` count as scalars. All groups are reduced in parts before the shuffle:
     lists are aggregated by (key, item), so a hot key is spread by its items.
     """
     keys = _keys(key)
     fields = [f for f in updates.schema.fields if f.name not in keys and f.name not in order]
-    lists = [f.name for f in fields if isinstance(f.dataType, T.ArrayType)]
+    lists = [f.name for f in fields if isinstance(f.dataType, T.ArrayType) and f.name not in replace]
     scalars = [f.name for f in fields if f.name not in lists]
     arrival = F.struct(*[F.col(o) for o in order])
 

@@ -3,30 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bantin.functions.columns import string_array
+from bantin.functions.columns import as_column, string_array
 from bantin.functions.text import tokens
 
-# Exact values longer than this are not indexed.
-IGNORE_ABOVE = 256
 
-
-def terms(articles: DataFrame, fields: str | Sequence[str], k: int | None = None) -> DataFrame:
+def terms(
+    articles: DataFrame, fields: str | Sequence[str], k: int | None = None, ignore_above: int | None = None
+) -> DataFrame:
     """Article counts per exact value, most frequent first when `k` is given.
 
-    A list field counts each of its different values once per article.
+    A list field counts each of its different values once per article. NULL is no value. An index
+    that does not keep values longer than `ignore_above` characters does not count them.
     """
     names = [fields] if isinstance(fields, str) else list(fields)
     rows = articles
     for name in names:
         if isinstance(articles.schema[name].dataType, T.ArrayType):
             rows = rows.withColumn(name, F.explode(F.array_distinct(name)))
-        rows = rows.where(F.length(name) <= IGNORE_ABOVE)
+        rows = rows.where(F.col(name).isNotNull() if ignore_above is None else F.length(name) <= ignore_above)
     counts = rows.groupBy(*names).agg(F.count("*").alias("n"))
     return counts if k is None else counts.orderBy(F.desc("n"), *names).limit(k)
 
@@ -39,12 +41,17 @@ def date_histogram(articles: DataFrame, interval: str = "day", date: str = "date
 
 
 def has_words(text, words: Sequence[str], operator: str = "or") -> Column:
-    """Whether the text holds any (`or`) or all (`and`) of the words."""
-    wanted = string_array([w.lower() for w in dict.fromkeys(words)])
-    found = tokens(text)
+    """Whether the text holds any (`or`) or all (`and`) of the words.
+
+    Only a text that has the letters of the words is split into its own words.
+    """
+    names = list(dict.fromkeys(w.lower() for w in words))
+    wanted = string_array(names)
+    lowered, found = F.lower(as_column(text)), tokens(text)
+    letters = [F.contains(lowered, F.lit(w)) for w in names]
     if operator == "and":
-        return F.size(F.array_except(wanted, found)) == 0
-    return F.arrays_overlap(wanted, found)
+        return reduce(and_, letters, F.lit(True)) & (F.size(F.array_except(wanted, found)) == 0)
+    return reduce(or_, letters, F.lit(False)) & F.arrays_overlap(wanted, found)
 
 
 def match(articles: DataFrame, field: str, words: Sequence[str], operator: str = "or") -> DataFrame:

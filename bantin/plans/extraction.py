@@ -124,6 +124,16 @@ def listing_links(spark, sf_dir):
     return X.extract_links(views.listing_pages(spark, sf_dir)).select("doc_id", "journal", "pos", "link")
 
 
+@query(with_views("""SELECT doc_id, journal, NULL AS reason FROM articles, (VALUES (0), (1)) AS t(i) WHERE doc_id % 9 <> 0
+UNION ALL SELECT doc_id, 'nosuch', 'no rules for nosuch' FROM articles WHERE doc_id % 9 = 0""", ARTICLES))
+def listing_rejects(spark, sf_dir):
+    """Links of the known journals, and the listings of unknown ones with the reason."""
+    journal = F.when(F.col("doc_id") % 9 == 0, F.lit("nosuch")).otherwise(F.col("journal"))
+    listings = views.listing_pages(spark, sf_dir).withColumn("journal", journal)
+    links = X.extract_links(listings).select("doc_id", "journal", F.lit(None).cast("string").alias("reason"))
+    return links.unionByName(X.rejected_listings(listings).select("doc_id", "journal", F.col("reject_reason").alias("reason")))
+
+
 @query("SELECT doc_id, md5(trim(text, ' ' || chr(9) || chr(10) || chr(13))) AS body FROM documents")
 def clean_text(spark, sf_dir):
     """Whole texts read with the wrong encoding and padded with no-break spaces, put right."""
@@ -237,9 +247,9 @@ _SECTION_ROWS = ", ".join(f"({i}, '{j}', '{u}', '{t}')" for i, (j, u, t) in enum
 
 
 @query(with_views(f"""SELECT a.id, s.journal, s.type FROM articles a
-JOIN (VALUES {_SECTION_ROWS}) AS s(n, journal, section_url, type) ON a.doc_id % 25 = s.n""", ARTICLES))
+LEFT JOIN (VALUES {_SECTION_ROWS}) AS s(n, journal, section_url, type) ON a.doc_id % 25 = s.n""", ARTICLES))
 def label_sections(spark, sf_dir):
-    """Three of 25 articles come from no known section."""
+    """Three of 25 articles come from no known section and keep a NULL type."""
     names = F.array(*[F.struct(F.lit(j).alias("journal"), F.lit(u).alias("section_url")) for j, u, _ in SECTIONS])
     rows = views.articles(spark, sf_dir).select("id", F.get(names, (F.col("doc_id") % 25).cast("int")).alias("s"))
     return X.label_sections(rows.select("id", "s.journal", "s.section_url")).select("id", "journal", "type")

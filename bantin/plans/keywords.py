@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bantin.catalogue import DEFAULT_LEMMAS, STOP_WORDS
+from bantin.catalogue import DEFAULT_LEMMAS, ENGLISH_STOP_WORDS, EXTRA_STOP_WORDS, STOP_WORDS
 from bantin.functions import text as TX
 from bantin.operators import keywords as K
 from bantin.plans import views
 from bantin.plans.registry import query
 from bantin.plans.views import ARTICLES, KEYWORDED, with_views
 
-_NAMES = ", ".join("'" + w.replace("'", "''") + "'" for w in dict.fromkeys(STOP_WORDS))
+
+
+def _quoted(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in dict.fromkeys(words))
+
+
+_NAMES = _quoted(STOP_WORDS)
 _LEMMA_ROWS = ", ".join(f"('{w}', '{lemma}')" for w, lemma in DEFAULT_LEMMAS.items())
 
-_WORDS = """words AS MATERIALIZED (
-  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-zà-öø-ÿ]+'), lambda w: w <> '') AS ws FROM documents)"""
-_STOPS = f"stops AS MATERIALIZED (SELECT unnest([{_NAMES}]) AS w)"
+_WORDS = r"""words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS ws FROM documents)"""
+_STOPS = f"stops AS MATERIALIZED (SELECT unnest([{_quoted(ENGLISH_STOP_WORDS + EXTRA_STOP_WORDS)}]) AS w)"
 _FLAT = """flat AS MATERIALIZED (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS pos FROM words),
 marked AS MATERIALIZED (SELECT f.doc_id, f.w, f.pos, s.w IS NOT NULL AS stop FROM flat f LEFT JOIN stops s ON f.w = s.w),
 runs AS (
@@ -163,8 +169,8 @@ def attach_keywords(spark, sf_dir):
 
 
 @query(with_views("""SELECT doc_id, array_to_string(list_transform(
-    list_filter(keywords, lambda k: k.score > 0.5::DOUBLE AND k.keyword <> 'market'), lambda k: k.keyword), '|') AS filtered_keywords,
-  strftime(date, '%Y-%m') AS year_month, epoch_ms(date) AS date_millis FROM keyworded""", ARTICLES, KEYWORDED))
+    list_filter(keywords, lambda k: <kept>), lambda k: k.keyword), '|') AS filtered_keywords,
+  strftime(date, '%Y-%m') AS year_month, epoch_ms(date) AS date_millis FROM keyworded""".replace("<kept>", views.KEPT_KEYWORD), ARTICLES, KEYWORDED))
 def refine_keywords(spark, sf_dir):
     refined = K.refine_keywords(views.keyworded(spark, sf_dir))
     return refined.select("doc_id", F.array_join("filtered_keywords", "|").alias("filtered_keywords"), "year_month", "date_millis")

@@ -80,8 +80,8 @@ def required_columns(spark, sf_dir):
 
 
 @query(with_views("""SELECT doc_id, array_to_string(list_transform(
-  list_filter(keywords, lambda k: k.score > 0.5::DOUBLE AND k.keyword <> 'market'), lambda k: k.keyword), '|') AS kept
-FROM keyworded""", ARTICLES, KEYWORDED))
+  list_filter(keywords, lambda k: <kept>), lambda k: k.keyword), '|') AS kept
+FROM keyworded""".replace("<kept>", views.KEPT_KEYWORD), ARTICLES, KEYWORDED))
 def keyword_filter(spark, sf_dir):
     rows = views.keyworded(spark, sf_dir)
     return rows.select("doc_id", F.array_join(filters.keyword_filter("keywords"), "|").alias("kept"))

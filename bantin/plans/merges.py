@@ -124,12 +124,10 @@ def keep_last(spark, sf_dir):
                   """stored AS (SELECT id, title, journal, list_filter(tags, lambda t: t <> '') AS tags,
                   len(content) AS n_content FROM articles)"""))
 def document_table(spark, sf_dir):
-    """Two logged batches, a compaction between them, then a read that merges the rest."""
+    """Two batches, each making a snapshot."""
     documents = DocumentTable(spark, new_folder(spark, "documents"), "id", ["at"])
-    documents.write_changes(_stored(spark, sf_dir).withColumn("at", F.lit(0)), 0)
-    documents.compact()
-    changes = views.updates(spark, sf_dir).withColumn("at", F.lit(1))
-    documents.write_changes(changes, 1)
+    documents.upsert(_stored(spark, sf_dir).withColumn("at", F.lit(0)), 0)
+    documents.upsert(views.updates(spark, sf_dir).withColumn("at", F.lit(1)), 1)
     return _shown(documents.read().drop("at"))
 
 

@@ -13,7 +13,7 @@ from bantin.plans import views
 from bantin.plans.registry import query
 from bantin.plans.views import ARTICLES, DATED, KEYWORDED, with_views
 
-_WORDS = "list_filter(string_split_regex(lower(text), '[^a-zà-öø-ÿ]+'), lambda w: w <> '')"
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+')"
 
 
 @query(with_views("SELECT journal, type, count(*) AS n FROM articles GROUP BY journal, type", ARTICLES))
@@ -23,7 +23,7 @@ def terms_by_type(spark, sf_dir):
 
 
 @query(with_views("""SELECT tags, count(*) AS n FROM (SELECT unnest(tags) AS tags FROM articles)
-WHERE length(tags) <= 256 GROUP BY tags ORDER BY n DESC, tags LIMIT 20""", ARTICLES))
+GROUP BY tags ORDER BY n DESC, tags LIMIT 20""", ARTICLES))
 def terms_tags_topk(spark, sf_dir):
     return search.terms(views.articles(spark, sf_dir), "tags", 20)
 
@@ -65,10 +65,10 @@ def latest_by_type(spark, sf_dir):
   SELECT *, row_number() OVER (PARTITION BY year_month ORDER BY n DESC, phrase) AS rank FROM (
     SELECT year_month, phrase, count(*) AS n FROM (
       SELECT strftime(date, '%Y-%m') AS year_month, unnest(list_distinct(list_transform(
-        list_filter(keywords, lambda k: k.score > 0.5::DOUBLE AND k.keyword <> 'market'), lambda k: k.keyword))) AS phrase
+        list_filter(keywords, lambda k: <kept>), lambda k: k.keyword))) AS phrase
       FROM keyworded)
     GROUP BY ALL))
-WHERE rank <= 10""", ARTICLES, KEYWORDED))
+WHERE rank <= 10""".replace("<kept>", views.KEPT_KEYWORD), ARTICLES, KEYWORDED))
 def keyword_trend(spark, sf_dir):
     refined = refine_keywords(views.keyworded(spark, sf_dir))
     trend = search.keyword_trend(refined, k=10)

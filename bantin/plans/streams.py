@@ -43,20 +43,55 @@ def index_stream(spark, sf_dir):
     return _indexed(spark.read.parquet(target))
 
 
-@query(with_views("""SELECT id, journal, title, len(list_distinct(list_filter(content, lambda p: p <> ''))) AS n_different,
-  true AS stamped FROM articles WHERE doc_id % 13 <> 0""", ARTICLES))
-def document_stream(spark, sf_dir):
+@query(with_views("""SELECT count(*) FILTER (doc_id % 13 <> 0) AS n_good, count(*) FILTER (doc_id % 13 = 0) AS n_rejected,
+  count(DISTINCT doc_id) FILTER (doc_id % 13 = 0) AS n_texts FROM articles""", ARTICLES))
+def stream_rejects(spark, sf_dir):
+    """Good and rejected messages of one stream add up to all of them."""
+    root = new_folder(spark, "rejects")
+    jobs.start_index_stream(
+        _message_stream(spark, sf_dir), f"{root}/news", jobs.checkpoint_path(f"{root}/checkpoints", "articles", "news")
+    ).awaitTermination()
+    good = spark.read.parquet(f"{root}/news").agg(F.count("*").alias("n_good"))
+    bad = spark.read.parquet(f"{root}/news_rejected").agg(F.count("*").alias("n_rejected"), F.count_distinct("raw").alias("n_texts"))
+    return good.join(bad)
+
+
+def _stored(spark, messages):
+    """The document table after a stream of messages has run to its end."""
     root = new_folder(spark, "store")
-    documents = DocumentTable(spark, f"{root}/documents", "id", ["crawled"])
+    documents = DocumentTable(spark, f"{root}/documents", "id", ["crawled", jobs.ARRIVAL])
     jobs.start_document_stream(
-        _message_stream(spark, sf_dir), documents, jobs.checkpoint_path(f"{root}/checkpoints", "articles", "documents"), None
+        messages, documents, jobs.checkpoint_path(f"{root}/checkpoints", "articles", "documents"), None
     ).awaitTermination()
     return documents.read().select(
-        "id", "journal", "title", F.size("content").cast("long").alias("n_different"),
-        F.col("crawled").isNotNull().alias("stamped"),
+        "id", "journal", "title", F.md5(F.array_join("content", "\n")).alias("body"),
+        F.array_join(F.sort_array("tags"), " ").alias("tags"), F.col("crawled").isNotNull().alias("stamped"),
     )
 
 
+_TAGS = "array_to_string(list_sort(list_filter(list_distinct({}), lambda t: t <> '')), ' ') AS tags"
+
+
+@query(with_views(f"""SELECT id, journal, title, md5(array_to_string(content, chr(10))) AS body, {_TAGS.format('tags')},
+  true AS stamped FROM articles WHERE doc_id % 13 <> 0""", ARTICLES))
+def document_stream(spark, sf_dir):
+    return _stored(spark, _message_stream(spark, sf_dir))
+
+
+@query(with_views(f"""SELECT id, journal, 'aaa ' || title AS title,
+  md5(array_to_string(list_concat(content, ['', content[1]]), chr(10))) AS body, {_TAGS.format("list_concat(tags, ['first', 'last'])")},
+  true AS stamped FROM articles WHERE doc_id % 13 <> 0""", ARTICLES))
+def document_stream_duplicates(spark, sf_dir):
+    """Two messages for each article in one batch; the later one has repeated and empty paragraphs."""
+    rows = views.article_columns(_stream(spark, sf_dir, "documents"))
+    first = F.struct(F.concat(F.lit("zzz "), "title").alias("title"), F.array(F.lit("gone")).alias("content"), F.array_append("tags", F.lit("first")).alias("tags"))
+    later = F.concat("content", F.array(F.lit(""), F.element_at("content", 1)))
+    last = F.struct(F.concat(F.lit("aaa "), "title").alias("title"), later.alias("content"), F.array_append("tags", F.lit("last")).alias("tags"))
+    versions = rows.withColumn("v", F.explode(F.array(first, last)))
+    messages = views.message_columns(versions.withColumns({c: F.col("v")[c] for c in ("title", "content", "tags")}))
+    return _stored(spark, messages.select("topic", "value"))
+
+
 @query(with_views(_INDEXED + " AND journal IN ('vtc', 'vneconomy', 'dantri')", ARTICLES))
 def journal_fan_out(spark, sf_dir):
     root = new_folder(spark, "fanout")

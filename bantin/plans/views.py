@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bantin.catalogue import JOURNALS
+from bantin.catalogue import DOMAIN_STOP_WORDS, JOURNALS
 from bantin.functions.columns import case_of, string_array
 from bantin.site_rules import ARTICLE_SELECTORS, LISTING_SELECTORS
-from bantin.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    """Pages for work that is heavy per row; a test table is one file that cannot be split."""
+    return table(spark, sf_dir, "pages").repartition("page_id")
 
 
 def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents for work that is heavy per row: all cores take part however few the files."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    """Documents for work that is heavy per row; a test table is one file that cannot be split."""
+    return table(spark, sf_dir, "documents").repartition("doc_id")
 
 
 def journal_of(number) -> Column:
@@ -36,7 +36,7 @@ def sql_journal(number: str) -> str:
 
 def article_columns(documents: DataFrame) -> DataFrame:
     """Also works on a stream of documents."""
-    title = F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(80))
+    title = F.split_part("text", F.lit("\n"), F.lit(1))
     minutes = F.make_dt_interval(mins=F.col("doc_id").cast("int"))
     return documents.select(
         "doc_id",
@@ -47,7 +47,7 @@ def article_columns(documents: DataFrame) -> DataFrame:
         F.nullif(F.split_part("text", F.lit("\n"), F.lit(2)), F.lit("")).alias("attract"),
         F.lit(None).cast("string").alias("author"),
         F.split("text", "\n").alias("content"),
-        F.array_distinct(F.slice(F.split(F.lower(title), " "), 1, 3)).alias("tags"),
+        F.array_distinct(F.split(F.lower(title), " ")).alias("tags"),
         (F.expr("timestamp_ntz'2024-01-01 00:00:00'") + minutes).alias("crawled"),
     )
 
@@ -58,11 +58,11 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ARTICLES = f"""articles AS (
   SELECT doc_id, source || '_' || doc_id AS id, {sql_journal('doc_id')} AS journal, lang AS type,
-    left(split_part(text, chr(10), 1), 80) AS title,
+    split_part(text, chr(10), 1) AS title,
     nullif(split_part(text, chr(10), 2), '') AS attract,
     CAST(NULL AS VARCHAR) AS author,
     string_split(text, chr(10)) AS content,
-    list_distinct((string_split(lower(left(split_part(text, chr(10), 1), 80)), ' '))[1:3]) AS tags,
+    list_distinct(string_split(lower(split_part(text, chr(10), 1)), ' ')) AS tags,
     TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id) AS crawled
   FROM documents)"""
 
@@ -174,14 +174,15 @@ def keyworded(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(usual)
     )
 
-    def keyword(line: Column, i: Column) -> Column:
-        words = F.lower(F.split_part(line, F.lit(" "), F.lit(1)))
+    words = F.flatten(F.transform("content", lambda line: F.split(line, " ")))
+
+    def keyword(word: Column, i: Column) -> Column:
         return F.struct(
-            F.when(i % 5 == 0, F.lit("market")).when(i % 5 == 1, F.lit("Market")).otherwise(words).alias("keyword"),
+            F.when(i % 5 == 0, F.lit("market")).when(i % 5 == 1, F.lit("Market")).otherwise(F.lower(word)).alias("keyword"),
             (((F.col("doc_id") + i * 3) % 11).cast("double") / F.lit(10.0)).alias("score"),
         )
 
-    return articles(spark, sf_dir).select("doc_id", "id", "journal", date.alias("date"), F.transform("content", keyword).alias("keywords"))
+    return articles(spark, sf_dir).select("doc_id", "id", "journal", date.alias("date"), F.transform(words, keyword).alias("keywords"))
 
 
 KEYWORDED = """keyworded AS (
@@ -189,11 +190,14 @@ KEYWORDED = """keyworded AS (
     CASE WHEN doc_id % 11 = 0 THEN NULL
          WHEN doc_id % 7 = 0 THEN TIMESTAMP '1970-01-01' + to_seconds(doc_id * 3600 + 1700000000)
          ELSE make_timestamp(2024, doc_id % 12 + 1, doc_id % 28 + 1, 10, 30, 0) END AS date,
-    list_transform(range(0, len(content)), lambda i: {
+    list_transform(range(0, len(words)), lambda i: {
       'keyword': CASE WHEN i % 5 = 0 THEN 'market' WHEN i % 5 = 1 THEN 'Market'
-                      ELSE lower(split_part(content[i + 1], ' ', 1)) END,
+                      ELSE lower(words[i + 1]) END,
       'score': CAST((doc_id + i * 3) % 11 AS DOUBLE) / 10}) AS keywords
-  FROM articles)"""
+  FROM (SELECT *, flatten(list_transform(content, lambda line: string_split(line, ' '))) AS words FROM articles))"""
+
+
+KEPT_KEYWORD = "k.score > 0.5::DOUBLE AND k.keyword NOT IN ({})".format(", ".join(f"'{w}'" for w in DOMAIN_STOP_WORDS))
 
 
 # --- pages of the news sites ----------------------------------------------------------
@@ -292,7 +296,7 @@ def _listing_template(name: str) -> str:
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every article as a listing page with the links /a/<doc_id>, /b/<doc_id>."""
     html = _fill(_by_journal(_listing_template), {"number": F.col("doc_id").cast("string")})
-    return spread(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select("doc_id").repartition("doc_id").select(
         "doc_id", journal_of("doc_id").alias("journal"), html.alias("html")
     )
 

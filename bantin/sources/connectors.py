@@ -52,6 +52,7 @@ def elasticsearch_options(
     user: str | None = None,
     password: str | None = None,
     upsert_by: str | None = None,
+    allow_self_signed: bool = False,
 ) -> dict[str, str]:
     """Index writes; `upsert_by` names the id column and turns appends into upserts."""
     options = {
@@ -60,7 +61,7 @@ def elasticsearch_options(
         "es.resource": index,
         "es.net.ssl": "true",
         "es.nodes.resolve.hostname": "false",
-        "es.net.ssl.cert.allow.self.signed": "true",
+        "es.net.ssl.cert.allow.self.signed": str(allow_self_signed).lower(),
         "es.nodes.wan.only": "true",
         "es.nodes.discovery": "false",
     }

@@ -38,15 +38,6 @@ def load_records(spark: SparkSession, path: str, schema: T.StructType | None = N
     return flatten((reader.schema(schema) if schema is not None else reader).json(path))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share rows out by key when the input has fewer splits than the cluster has cores.
-
-    Meant for heavy work on small inputs; a large table has many splits and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def split_csv_payload(messages: DataFrame, schema: T.StructType = STORED_SCHEMA, value: str = "value", list_sep: str = ";") -> DataFrame:
     """Comma-separated messages to typed columns by position; list fields are split on `list_sep`.
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from bantin.operators.envelope import encode_messages
 from bantin.operators.merge import CLEARED, fold_updates, keep_last, upsert_merge
 from bantin.sources.connectors import KAFKA, kafka_sink_options
-from bantin.sources.workspace import exists, list_folders
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("journal",), mode: str = "append") -> None:
@@ -47,70 +46,45 @@ def route(
 
 
 class DocumentTable:
-    """A keyed table that takes updates as an append-only log.
+    """A keyed table kept as whole snapshots, one folder per batch.
 
-    Layout: `base/through=<epoch>` holds the documents with all changes up to that epoch,
-    `changes/epoch=<epoch>` the changes since. Writing a batch costs only the batch; reading
-    folds the changes and merges them; `compact` makes a new base. Nothing is ever changed
-    in place, and a folder counts only once Spark has committed it, so a lost executor or a
-    repeated batch does no harm.
+    A batch is folded to one update per key and merged into the snapshot before it; the result is
+    the next snapshot. Scalars and the lists in `replace` take the last version, other lists gain
+    items. Nothing is changed in place: a batch that runs again writes its own snapshot again from
+    the one before, so a lost executor or a repeated batch does no harm. The newest snapshots are
+    what readers and a restart need; older ones may be deleted at any time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str | Sequence[str] = "id", order: Sequence[str] = ("crawled",), unset_nulls: bool = True):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str | Sequence[str] = "id",
+        order: Sequence[str] = ("crawled",),
+        unset_nulls: bool = True,
+        replace: Sequence[str] = ("content",),
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.keys = [key] if isinstance(key, str) else list(key)
-        self.order = list(order)
-        self.unset_nulls = unset_nulls
-
-    def write_changes(self, changes: DataFrame, epoch: int) -> None:
-        """Log one batch; writing the same epoch again replaces it. All batches have the same columns."""
-        changes.write.mode("overwrite").parquet(f"{self.path}/changes/epoch={epoch:012d}")
-
-    def _committed(self, kind: str) -> list[int]:
-        marks = list_folders(self.spark, f"{self.path}/{kind}=*/_SUCCESS")
-        return sorted(int(m.rsplit("=", 1)[1].split("/")[0]) for m in marks)
-
-    def base_epoch(self) -> int | None:
-        """The last epoch the newest base covers; None before the first compaction."""
-        bases = self._committed("base/through")
-        return bases[-1] if bases else None
-
-    def changes(self, through: int | None = None) -> DataFrame | None:
-        """Changes the base does not cover, each with its `_epoch`; None when there are none."""
-        base = self.base_epoch()
-        epochs = [
-            e for e in self._committed("changes/epoch")
-            if (base is None or e > base) and (through is None or e <= through)
-        ]
-        if not epochs:
-            return None
-        paths = [f"{self.path}/changes/epoch={e:012d}" for e in epochs]
-        rows = self.spark.read.option("basePath", f"{self.path}/changes").parquet(*paths)
-        return rows.withColumn("_epoch", F.col("epoch").cast("long")).drop("epoch")
-
-    def read(self, through: int | None = None, rewrite: bool = False) -> DataFrame:
-        """The current documents; see `upsert_merge` for `rewrite`."""
-        base = self.base_epoch()
-        stored = None if base is None else self.spark.read.parquet(f"{self.path}/base/through={base:012d}")
-        pending = self.changes(through)
-        if pending is None:
-            if stored is None:
-                raise ValueError(f"no table at {self.path}")
-            return stored
-        folded = fold_updates(pending, self.keys, ["_epoch", *self.order], self.unset_nulls).drop("_epoch")
-        if stored is None:
-            empty = self.spark.createDataFrame([], folded.drop(CLEARED).schema)
-            return upsert_merge(empty, folded, self.keys, self.unset_nulls, rewrite=True)
-        return upsert_merge(stored, folded, self.keys, self.unset_nulls, rewrite)
-
-    def compact(self) -> int:
-        """Write a base that covers all committed changes; readers switch when it is complete."""
-        epochs = self._committed("changes/epoch")
-        if not epochs:
-            raise ValueError(f"no changes at {self.path}")
-        last = epochs[-1]
-        target = f"{self.path}/base/through={last:012d}"
-        if not exists(self.spark, f"{target}/_SUCCESS"):
-            self.read(last, rewrite=True).write.mode("overwrite").parquet(target)
-        return last
+        self.key, self.order, self.unset_nulls, self.replace = key, list(order), unset_nulls, tuple(replace)
+
+    def _snapshot(self, epoch: int) -> str:
+        return f"{self.path}/snapshot={epoch}"
+
+    def upsert(self, changes: DataFrame, epoch: int) -> None:
+        """Write the snapshot of batch `epoch`; batches are numbered from 0 without gaps."""
+        folded = fold_updates(changes, self.key, self.order, self.unset_nulls, self.replace)
+        if epoch:
+            stored = self.spark.read.parquet(self._snapshot(epoch - 1))
+        else:
+            stored = self.spark.createDataFrame([], folded.drop(CLEARED).schema)
+        merged = upsert_merge(stored, folded, self.key, self.unset_nulls, rewrite=True, replace=self.replace)
+        merged.write.mode("overwrite").parquet(self._snapshot(epoch))
+
+    def read(self, epoch: int | None = None) -> DataFrame:
+        """The documents after batch `epoch`, by default after the last."""
+        if epoch is not None:
+            return self.spark.read.parquet(self._snapshot(epoch))
+        snapshots = self.spark.read.option("basePath", self.path).parquet(self.path)
+        newest = snapshots.agg(F.max("snapshot").alias("snapshot")).scalar()
+        return snapshots.where(F.col("snapshot") == newest).drop("snapshot")

@@ -2,53 +2,19 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; only a local session may fall back to /tmp."""
+    """The folder named by `spark.checkpoint.dir`, which driver and executors all reach."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_dir()
-
-
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="bantin-")
-
-
-def tune(spark: SparkSession) -> None:
-    """Settings for rows that are large: pages and phrase lists go to Python in small batches.
-
-    The default batch of 10,000 rows would be a gigabyte of HTML at 100 KB a page.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return configured.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder name not used before, below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def list_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that fit a glob on any file system Spark can reach."""
-    path, fs = _hadoop_path(spark, pattern)
-    return sorted(str(s.getPath().toString()) for s in fs.globStatus(path) or [])
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _hadoop_path(spark, path)
-    return fs.exists(hadoop_path)

@@ -53,11 +53,26 @@ def index_records(messages: DataFrame) -> DataFrame:
     return project_article(articles.withColumn("date", parse_date("journal", "date", "stream")))
 
 
+ARRIVAL = "_arrival"
+
+
+def with_arrival(messages: DataFrame) -> DataFrame:
+    """Add `_arrival`, by which messages of one batch are ordered.
+
+    The queue numbers the messages of a partition, and one article always goes to one partition.
+    Messages from files come in the order in which they are read.
+    """
+    if {"partition", "offset"} <= set(messages.columns):
+        return messages.withColumn(ARRIVAL, F.struct("offset", "partition"))
+    return messages.withColumn(ARRIVAL, F.struct(F.monotonically_increasing_id().alias("offset"), F.lit(0).alias("partition")))
+
+
 def store_records(messages: DataFrame) -> DataFrame:
-    """Messages to stored documents: decode and stamp; the date stays text."""
-    articles = good_messages(decode_payload(messages.select("value")))
+    """Messages to stored documents: decode and stamp; the date stays text, the arrival is kept."""
+    kept = [c for c in (ARRIVAL,) if c in messages.columns]
+    articles = good_messages(decode_payload(messages.select("value", *kept)))
     columns = ["id", "title", "type", "journal", "attract", "author", "date", "content", "tags"]
-    return stamp_ingest(articles.select(*columns))
+    return stamp_ingest(articles.select(*columns, *kept))
 
 
 def quarantine(messages: DataFrame) -> DataFrame:
@@ -67,23 +82,40 @@ def quarantine(messages: DataFrame) -> DataFrame:
 
 
 def start_index_stream(messages: DataFrame, target: str, checkpoint: str, every: str | None = None, partition_by: Sequence[str] = ("journal",)) -> StreamingQuery:
-    """Queue to index table: stateless, append only, exactly once by the file sink's log."""
-    writer = index_records(messages).writeStream.outputMode("append").format("parquet")
-    writer = writer.partitionBy(*partition_by).option("path", target).option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+    """Queue to index table: stateless, append only; broken messages go to `<target>_rejected`.
+
+    Each batch is decoded once and has a folder of its own in both tables (`batch=<number>`), which
+    it writes over when it runs again: so every message is in one of them exactly once.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        raw = F.col("value").cast("string").alias("raw")
+        decoded = decode_payload(batch.select(raw, "value")).persist()
+        good = project_article(good_messages(decoded).withColumn("date", parse_date("journal", "date", "stream")))
+        good.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{target}/batch={epoch}")
+        bad_messages(decoded).write.mode("overwrite").parquet(f"{target}_rejected/batch={epoch}")
+        decoded.unpersist()
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint)
+    return _trigger(writer.foreachBatch(write), every).start()
 
 
 def start_document_stream(messages: DataFrame, table: DocumentTable, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
-    """Queue to document table: each micro-batch is logged under its own epoch.
+    """Queue to document table: each micro-batch makes the next snapshot, the last arrival wins.
 
-    A batch that is run again after a failure replaces itself.
+    Broken messages go to `<table>_rejected`, a folder per batch. A batch that is run again after a
+    failure writes its folders again.
     """
-    documents = store_records(messages)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        table.write_changes(batch, epoch)
-
-    writer = documents.writeStream.queryName("documents").option("checkpointLocation", checkpoint)
+        numbered = with_arrival(batch)
+        # One stamp and one numbering for all that the fold reads.
+        documents = store_records(numbered).persist()
+        table.upsert(documents, epoch)
+        quarantine(batch).write.mode("overwrite").parquet(f"{table.path}_rejected/batch={epoch}")
+        documents.unpersist()
+
+    writer = messages.writeStream.queryName("documents").option("checkpointLocation", checkpoint)
     return _trigger(writer.foreachBatch(write), every).start()
 
 

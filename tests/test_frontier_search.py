@@ -61,7 +61,7 @@ def test_sections(spark):
     assert section_catalogue(spark).count() == len(SECTIONS) == 22
     j, u, t = SECTIONS[0]
     df = spark.createDataFrame([("1", j, u, "old"), ("2", "vtc", u, "old")], "id string, journal string, section_url string, type string")
-    assert [(r.id, r.type) for r in extraction.label_sections(df).collect()] == [("1", t)]
+    assert sorted((r.id, r.type) for r in extraction.label_sections(df).collect()) == [("1", t), ("2", None)]
 
 
 @pytest.mark.parametrize("hot_keys", [2, 5, 5000])
@@ -104,7 +104,7 @@ def articles(spark):
 
 def test_terms(spark):
     df = articles(spark)
-    assert sorted(tuple(r) for r in search.terms(df, "tags").collect()) == [("gold", 2), ("usd", 1)]
+    assert sorted(tuple(r) for r in search.terms(df, "tags", ignore_above=256).collect()) == [("gold", 2), ("usd", 1)]
     assert [tuple(r) for r in search.terms(df, "journal", 1).collect()] == [("vtc", 2)]
 
 

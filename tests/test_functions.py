@@ -7,6 +7,8 @@ from bantin.functions import text as TX
 from bantin.functions import urls as U
 from bantin.operators import envelope as E
 from bantin.operators import filters, lookup, nested
+from bantin.operators.keywords import candidate_phrases
+from bantin.operators.search import match, terms
 from bantin.sources import connectors as C
 from bantin.sources.files import load_records, read_articles_json, result_name, split_csv_payload
 
@@ -51,7 +53,7 @@ def test_maps(spark):
 
 
 def test_words(spark):
-    assert one(spark, "The Café, l'été 3x. naïve", TX.tokens("v")) == ["the", "café", "l", "été", "x", "naïve"]
+    assert one(spark, "The Café, l'été 3x. naïve", TX.tokens("v")) == ["the", "café", "l", "été", "3x", "naïve"]
     words = ["a", "b", "the", "c"]
     assert one(spark, words, TX.word_runs("v", (2, 3), ["the"]), "array<string>") == ["a b", "b the c"]
     assert one(spark, ["x"], TX.word_runs("v"), "array<string>") == []
@@ -162,3 +164,18 @@ def test_keyword_filter(spark):
     got = one(spark, kws, filters.keyword_filter("v"), "array<struct<keyword:string,score:double>>")
     assert got == ["gold rate", "Asean"]
     assert one(spark, None, filters.keyword_filter("v"), "array<struct<keyword:string,score:double>>") is None
+
+
+def test_words_of_any_script(spark):
+    df = spark.createDataFrame([("Thị trường chứng khoán 2024",), ("the stock market",)], "text string")
+    words = [r.w for r in df.select(TX.tokens("text").alias("w")).collect()]
+    assert words == [["thị", "trường", "chứng", "khoán", "2024"], ["the", "stock", "market"]]
+    count = lambda *ws: match(df, "text", list(ws), "and").count()
+    assert (count("thị"), count("2024"), count("Trường", "khoán"), count("th"), count("mark")) == (1, 1, 1, 0, 0)
+    assert {r.phrase for r in candidate_phrases(df.withColumn("doc_id", F.lit(1)), lengths=(2,)).collect()} >= {"stock market", "thị trường"}
+
+
+def test_terms_count_long_values(spark):
+    df = spark.createDataFrame([("x" * 300,), ("a",), (None,)], "tag string")
+    assert sorted(r.n for r in terms(df, "tag").collect()) == [1, 1]
+    assert [r.tag for r in terms(df, "tag", ignore_above=256).collect()] == ["a"]

@@ -143,17 +143,19 @@ def test_keep_last(spark):
 
 def test_document_table(spark):
     table = DocumentTable(spark, new_folder(spark, "t"), "id", ["n"])
-    with pytest.raises(ValueError):
-        table.read()
-    table.write_changes(docs(spark, ("a", 1, "A", ["x"]), ("b", 1, "B", None), schema=FOLD), 0)
-    table.write_changes(docs(spark, ("a", 1, None, ["y"]), schema=FOLD), 1)
+    table.upsert(docs(spark, ("a", 1, "A", ["x"]), ("b", 1, "B", None), schema=FOLD), 0)
+    table.upsert(docs(spark, ("a", 1, None, ["y"]), schema=FOLD), 1)
     # The same batch again, as after a failure: it replaces itself.
-    table.write_changes(docs(spark, ("a", 1, "A2", ["y"]), schema=FOLD), 1)
-    before = as_dict(table.read().drop("n"))
-    assert before == {"a": ("A2", ["x", "y"]), "b": ("B", None)}
-    assert table.compact() == 1 and table.base_epoch() == 1 and table.changes() is None
-    assert as_dict(table.read().drop("n")) == before
-    table.write_changes(docs(spark, ("c", 1, "C", []), ("b", 1, "B", ["k"]), schema=FOLD), 2)
-    after = as_dict(table.read().drop("n"))
-    assert after == {"a": ("A2", ["x", "y"]), "b": ("B", ["k"]), "c": ("C", None)}
-    assert table.compact() == 2 and as_dict(table.read().drop("n")) == after
+    table.upsert(docs(spark, ("a", 1, "A2", ["y"]), schema=FOLD), 1)
+    assert as_dict(table.read().drop("n")) == {"a": ("A2", ["x", "y"]), "b": ("B", None)}
+    table.upsert(docs(spark, ("c", 1, "C", []), ("b", 1, "B", ["k"]), schema=FOLD), 2)
+    assert as_dict(table.read().drop("n")) == {"a": ("A2", ["x", "y"]), "b": ("B", ["k"]), "c": ("C", None)}
+    assert as_dict(table.read(0).drop("n")) == {"a": ("A", ["x"]), "b": ("B", None)}
+
+
+def test_replaced_lists_are_set_whole(spark):
+    changes = docs(spark, ("a", 1, "A", ["p", "", "p"]), ("a", 2, "B", ["q", "q"]), schema=FOLD)
+    folded = M.fold_updates(changes, "id", ["n"], replace=["tags"])
+    assert [(r.title, r.tags) for r in folded.collect()] == [("B", ["q", "q"])]
+    stored = docs(spark, ("a", 0, "0", ["z"]), schema=FOLD)
+    assert as_dict(M.upsert_merge(stored, folded, replace=["tags"]).drop("n")) == {"a": ("B", ["q", "q"])}

@@ -31,22 +31,27 @@ def test_index_stream_recovers_from_its_checkpoint(spark, tmp_path):
     assert got == [("1", "vtc", "2024-03-27 14:24:00", ["a, b"]), ("2", "dantri", "None", ["a, b"])]
     batch = spark.read.schema("value string, topic string").json(str(inbox))
     assert [r.raw for r in jobs.quarantine(batch).collect()] == ["{broken"]
+    assert [r.raw for r in spark.read.parquet(target + "_rejected").collect()] == ["{broken"]
 
 
 def test_document_stream_folds_and_replays(spark, tmp_path):
     inbox = tmp_path / "in"
-    table = tables.DocumentTable(spark, str(tmp_path / "docs"), "id", ["crawled"])
+    table = tables.DocumentTable(spark, str(tmp_path / "docs"), "id", ["crawled", jobs.ARRIVAL])
     checkpoint = jobs.checkpoint_path(str(tmp_path / "cp"), "vtc", "docs")
-    write(inbox, "1.json", message("1", tags=["k", "m"]), message("2"))
+    write(inbox, "1.json", message("1", tags=["k", "m"], title="zzz"), message("2"), message("1", tags=["k", "m"], content=["p", "", "p", "q"]))
     run = lambda: jobs.start_document_stream(jobs.read_article_stream(spark, path=str(inbox)), table, checkpoint, None).awaitTermination()
     run()
-    write(inbox, "2.json", message("1", title="new", tags=["z", "k"]))
+    first = {r.id: (r.title, r.tags, r.content) for r in table.read().collect()}
+    assert first == {"1": ("t1", ["k", "m"], ["p", "", "p", "q"]), "2": ("t2", ["k"], ["a, b"])}
+    write(inbox, "2.json", message("1", title="new", tags=["z", "k"], content=["r"]), json.dumps({"value": "{broken", "topic": "vtc"}))
     run()
-    got = {r.id: (r.title, r.tags) for r in table.read().collect()}
-    assert got == {"1": ("new", ["k", "m", "z"]), "2": ("t2", ["k"])}
-    # A lost run starts again from nothing: the same epochs are written over, not added.
-    jobs.start_document_stream(jobs.read_article_stream(spark, path=str(inbox)), table, checkpoint + "-again", None).awaitTermination()
-    assert {r.id: (r.title, sorted(r.tags)) for r in table.read().collect()}["2"] == ("t2", ["k"])
+    got = {r.id: (r.title, r.tags, r.content) for r in table.read().collect()}
+    assert got == {"1": ("new", ["k", "m", "z"], ["r"]), "2": ("t2", ["k"], ["a, b"])}
+    assert [r.raw for r in spark.read.parquet(table.path + "_rejected").collect()] == ["{broken"]
+    # A batch that runs again writes its own snapshot again.
+    again = jobs.store_records(jobs.with_arrival(spark.read.schema("value string, topic string").json(str(inbox / "2.json"))))
+    table.upsert(again, 1)
+    assert {r.id: (r.title, r.tags, r.content) for r in table.read().collect()} == got
 
 
 def test_fan_out(spark, tmp_path):
