@@ -20,6 +20,7 @@ from bantin.operators.filters import keyword_filter
 from bantin.operators.once import explode_rows
 from bantin.operators.skew import lookup_join
 from bantin.schema import KEYWORDS_TYPE
+from bantin.sources.workspace import materialise
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -73,11 +74,13 @@ def candidate_phrases(
 def score_tfidf(candidates: DataFrame, documents: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
     """Add `score` = tf * ln((1 + N) / (1 + df)); N is the number of documents.
 
-    df is reduced in every task before it is shuffled. Most phrases stand in one document
+    The candidates are made once: counts and join read them from the shared folder. df is reduced
+    in every task before it is shuffled. Most phrases stand in one document
     only; they are left out of the df table, and a phrase not found there has df 1. The join
     is safe against phrases of a large part of all documents: df itself is their row count.
     """
-    df = candidates.groupBy("phrase").agg(F.count("*").alias("df")).where("df > 1")
+    candidates = materialise(candidates)
+    df = materialise(candidates.groupBy("phrase").agg(F.count("*").alias("df")).where("df > 1"))
     source = documents if documents is not None else candidates.select(doc).distinct()
     n = source.agg(F.count("*").alias("n")).scalar()
     found = lookup_join(candidates, df, "phrase", count_column="df")
