@@ -8,8 +8,9 @@ from bantin.operators import merge
 from bantin.plans import views
 from bantin.plans.registry import query
 from bantin.plans.views import ARTICLES, UPDATES, with_views
+from bantin.sources.files import load_records as read_records
 from bantin.sources.files import read_articles_json, read_collection
-from bantin.sources.tables import DocumentTable, write_append, write_article_files
+from bantin.sources.tables import DocumentTable, route, write_append, write_article_files
 from bantin.sources.workspace import new_folder
 
 _STORED = "stored AS (SELECT id, title, journal, tags, len(content) AS n_content FROM articles)"
@@ -154,6 +155,26 @@ def article_json(spark, sf_dir):
     return _shown(stored.select("id", "journal", "title", "author", F.size("content").cast("long").alias("n_content"), "tags"))
 
 
+@query(with_views("SELECT id, title, journal, type FROM articles", ARTICLES))
+def load_records(spark, sf_dir):
+    """Files that each hold one JSON array of nested records, as flat rows."""
+    about = F.struct("journal", "type").alias("about")
+    rows = views.articles(spark, sf_dir).select((F.col("doc_id") % 16).alias("part"), F.struct("id", "title", about).alias("r"))
+    path = new_folder(spark, "records")
+    rows.groupBy("part").agg(F.to_json(F.collect_list("r")).alias("value")).write.partitionBy("part").text(path)
+    flat = read_records(spark, path)
+    return flat.select("id", "title", F.col("`about.journal`").alias("journal"), F.col("`about.type`").alias("type"))
+
+
+@query(with_views("SELECT id, journal, title, 'store' AS sink FROM articles", ARTICLES))
+def route_to_store(spark, sf_dir):
+    """Rows go to the first sink there is, here the table."""
+    path = new_folder(spark, "routed")
+    rows = views.articles(spark, sf_dir).select("id", "journal", "title")
+    sink = route(rows, store=lambda df: write_append(df, path), files=lambda df: write_article_files(df, path))
+    return read_collection(spark, path).select("id", "journal", "title", F.lit(sink).alias("sink"))
+
+
 @query(with_views("""SELECT id, journal, title FROM articles WHERE journal = 'dantri'
 UNION ALL SELECT id, journal, title FROM articles WHERE journal = 'dantri' AND type = 'en'""", ARTICLES))
 def append_table(spark, sf_dir):

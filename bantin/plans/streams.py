@@ -43,6 +43,19 @@ def index_stream(spark, sf_dir):
     return _indexed(spark.read.parquet(target))
 
 
+@query(with_views(_INDEXED, ARTICLES))
+def stream_recovery(spark, sf_dir):
+    """A stream that stops after half of its files and goes on from its checkpoint: each row once."""
+    root = new_folder(spark, "recovery")
+    messages = views.messages(spark, sf_dir)
+    for half in (0, 1, 2):  # the last run finds nothing new
+        messages.where(F.col("doc_id") % 2 == half).select("value", "topic").write.mode("append").json(f"{root}/in")
+        jobs.start_index_stream(
+            jobs.read_article_stream(spark, path=f"{root}/in"), f"{root}/news", jobs.checkpoint_path(f"{root}/checkpoints", "articles", "news")
+        ).awaitTermination()
+    return _indexed(spark.read.parquet(f"{root}/news"))
+
+
 @query(with_views("""SELECT count(*) FILTER (doc_id % 13 <> 0) AS n_good, count(*) FILTER (doc_id % 13 = 0) AS n_rejected,
   count(DISTINCT doc_id) FILTER (doc_id % 13 = 0) AS n_texts FROM articles""", ARTICLES))
 def stream_rejects(spark, sf_dir):
