@@ -7,12 +7,14 @@ of the next. A tile is (band, segment, the segment's content): sets that meet in
 similar, whatever their words, and a common passage makes no hot tile, as its segments also hold the
 rest of each text.
 
-Documents with equal sets are one class. Within a tile, each class is paired with the smallest one;
-pairs pass a bound from hashed bitmaps (the bits in which two parity bitmaps differ are at most the
-elements in which the sets do) and then the exact intersection of sorted arrays. Classes these links
-do not join, but that share a tile, are compared by their bitmaps in blocks of at most BLOCK classes,
-and what passes is intersected as well. So no link between different groups is lost, and a large
-group of near copies costs links to one of them, not all its pairs.
+Documents with equal sets are one class. Within a tile, each class is paired with the one that
+shares most tiles with others, of near copies their origin; pairs pass a bound from hashed bitmaps
+(the bits in which two parity bitmaps differ are at most the elements in which the sets do) and then
+the exact intersection of sorted arrays. Groups these links do not join, but that share a tile, are
+compared by their bitmaps in blocks of at most BLOCK classes. Of what passes, the closest pairs of a
+class and another group are intersected first; what links leave apart then has its next closest, and
+at last all its other pairs. So no link between different groups is lost, and a large group of near
+copies costs links to one of them, not all its pairs.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ from bantin.llm.seen_twice import seen_twice
 
 WORDS, PERCENT = 3, 90
 BLOCK = 512
-_MAX_BITS = 8_192
+_MAX_BITS = 16_384
+# Pairs of a class and another group, in order of their bitmaps' difference, that are tried in a round.
+_ROUNDS = [(0, 1), (1, 16), (16, None)]
 
 
 def shingles(text: bytes, n: int) -> np.ndarray:
@@ -86,8 +90,8 @@ class Bands:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Parity of the hashes that fall on each of about as many bits as there are hashes."""
-    bits = min(_MAX_BITS, 1 << max(6, (len(hashes) - 1).bit_length()))
+    """Parity of the hashes that fall on each bit; there are two to four bits for each hash."""
+    bits = min(_MAX_BITS, 1 << max(7, (2 * len(hashes) - 1).bit_length()))
     odd = np.bincount((mixed(hashes ^ np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -189,8 +193,12 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"))
 
 
-def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a tile, are not joined yet, and that their bitmaps do not part."""
+def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, closest: tuple[int, int | None]) -> DataFrame:
+    """Pairs of classes that share a tile, are not joined yet, and that their bitmaps do not part.
+
+    For each class and other group only the pairs at these places in the order of difference. A place
+    never moves forward when groups are joined, so all places in turn miss no pair.
+    """
     rooted = tiles.join(roots.select(F.col("node").alias("same"), "root"), "same", "left").withColumn("root", F.coalesce("root", "same"))
     by_tile = Window.partitionBy("tile")
     open_ = rooted.select("*", F.min("root").over(by_tile).alias("_a"), F.max("root").over(by_tile).alias("_b"), F.count("*").over(by_tile).alias("m"))
@@ -199,7 +207,6 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
     # Each block meets every block once: as the first of a pair of blocks, or as the second.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
     dealt = open_.withColumn("own", own).select("tile", "same", "root", "own", F.explode(meets).alias("at"))
-    # Equal member lists come in many tiles; one of them is enough.
     dealt = dealt.select("tile", "at.i", "at.j", "own", "same", "root").join(sets.select("same", "n", "bits"), "same")
     grouped = dealt.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "same")
 
@@ -211,9 +218,14 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
         for x in range(len(rows) - 1):
             y = slice(x + 1, None)
             differing = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
-            keep = (root[y] != root[x]) & _may_link(n[y], n[x], differing, percent)
-            for other in names[y][keep].tolist():
-                yield min(other, int(names[x])), max(other, int(names[x]))
+            found = np.flatnonzero((root[y] != root[x]) & _may_link(n[y], n[x], differing, percent))
+            if len(found):
+                found = found[np.lexsort((names[y][found], differing[found], root[y][found]))]
+                group = root[y][found]
+                place = np.arange(len(found)) - np.searchsorted(group, group)
+                chosen = found[(place >= closest[0]) & (place < (closest[1] or len(found)))]
+                for other in names[y][chosen].tolist():
+                    yield min(other, int(names[x])), max(other, int(names[x]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, met = None, [], set()
@@ -250,16 +262,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     all_sets = stored(_all_sets(texts, words))
     by_tile = Window.partitionBy("tile")
-    least = F.min("same").over(by_tile)
-    tiles = _tile_rows(texts, words, percent).select("tile", "same", least.alias("least"), F.max("same").over(by_tile).alias("most"))
-    tiles = stored(tiles.where("least <> most").drop("most").distinct())
-    sets = stored(_sets_of(texts, tiles.select("same").distinct(), words))
-    stars = tiles.where("same <> least").select(F.col("least").alias("a"), F.col("same").alias("b")).distinct()
-    links = _links(stars, sets, percent)
-    roots = stored(connected_components(links))
-    more = _links(_unjoined_pairs(tiles.select("tile", "same"), sets, roots, percent), sets, percent)
-    nodes = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = stored(connected_components(nodes.unionByName(more)))
+    ends = F.min("same").over(by_tile).alias("_a"), F.max("same").over(by_tile).alias("_b")
+    tiles = _tile_rows(texts, words, percent).select("tile", "same", *ends).where("_a <> _b")
+    tiles = stored(tiles.select("tile", "same").distinct())
+    shared = stored(tiles.groupBy("same").agg(F.count("*").alias("n_tiles")))
+    sets = stored(_sets_of(texts, shared.select("same"), words))
+    leader = F.max(F.struct("n_tiles", "same")).over(by_tile)["same"]
+    stars = tiles.join(shared, "same").select("same", leader.alias("a")).where("same <> a")
+    stars = stars.select(F.least("a", "same").alias("a"), F.greatest("a", "same").alias("b")).distinct()
+    roots = stored(connected_components(_links(stars, sets, percent)))
+    for closest in _ROUNDS:
+        pairs = stored(_unjoined_pairs(tiles, sets, roots, percent, closest))
+        if pairs.isEmpty():
+            break
+        more = _links(pairs, sets, percent)
+        if not more.isEmpty():
+            nodes = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = stored(connected_components(nodes.unionByName(more)))
 
     classes = all_sets.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("first_id"))
     rooted = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
