@@ -41,7 +41,7 @@ _BITS_PER_EVENT = 8
 _KEY_BITS = 48
 # N-grams held by a task before they go on, and about as many per block of the hash space.
 _HELD = 4_000_000
-_PER_BLOCK = 50_000
+_PER_BLOCK = 200_000
 _SLICE_BYTES = 4 << 20
 _LEVELS = 128
 
@@ -171,24 +171,35 @@ def _by_block(keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, block_b
 def _ngram_runs(texts: DataFrame, counts: DataFrame, frequent, block_bits: int) -> DataFrame:
     """Runs of all bigrams of the texts, with the class of their contexts, and of all words."""
 
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gathered(parts: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        """A task's n-grams together, so that it sends each block a few long runs."""
         held, n = [], 0
-        for _, tokens, _ in _slices(batches):
-            contexts = _contexts(tokens)
-            own, back = np.unique(contexts, return_inverse=True)
-            classes = level_of(frequent.value(own)).astype(np.uint8)[back]
-            held.append((_bigram_keys(contexts, tokens), np.ones(len(tokens), np.uint64), classes))
-            n += len(tokens)
+        for part in parts:
+            held.append(part)
+            n += len(part[0])
             if n >= _HELD:
                 yield from _by_block(*(np.concatenate(x) for x in zip(*held)), block_bits)
                 held, n = [], 0
         if held:
             yield from _by_block(*(np.concatenate(x) for x in zip(*held)), block_bits)
 
+    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[tuple]:
+            for _, tokens, _ in _slices(batches):
+                contexts = _contexts(tokens)
+                own, back = np.unique(contexts, return_inverse=True)
+                classes = level_of(frequent.value(own)).astype(np.uint8)[back]
+                yield _bigram_keys(contexts, tokens), np.ones(len(tokens), np.uint64), classes
+
+        return gathered(parts())
+
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = _word_keys(batch["word"].to_numpy().view(np.uint64))
-            yield from _by_block(keys, batch["c"].to_numpy().astype(np.uint64), np.full(len(keys), _LEVELS, np.uint8), block_bits)
+        def parts() -> Iterator[tuple]:
+            for batch in batches:
+                keys = _word_keys(batch["word"].to_numpy().view(np.uint64))
+                yield keys, batch["c"].to_numpy().astype(np.uint64), np.full(len(keys), _LEVELS, np.uint8)
+
+        return gathered(parts())
 
     return texts.mapInArrow(bigrams, "block long, run binary").unionByName(counts.mapInArrow(words, "block long, run binary"))
 
