@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bantin.llm.common import shared_folder, table
+from bantin.llm.common import importable, shared_folder, table
 from bantin.llm.decontamination import decontaminate
 from bantin.llm.jaccard_join import drop_near_duplicates
 from bantin.llm.line_dedup import dedup_lines
@@ -14,26 +14,31 @@ from bantin.llm.toxicity import drop_toxic
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models, learned from all labels, do not call toxic."""
+    importable(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stay in another one."""
+    importable(spark)
     return dedup_lines(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is linked by 5-word shingles with a similarity of 0.8."""
+    importable(spark)
     return drop_near_duplicates(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
+    importable(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 4096 ids."""
+    importable(spark)
     return pack(docs)
 
 
