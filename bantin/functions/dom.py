@@ -7,6 +7,7 @@ reading their text and applying site rules are Spark expressions over that list.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -53,78 +54,102 @@ _ARROW_PAGE = pa.struct([
 ])
 
 
-class _PageReader(HTMLParser):
+_FIELDS = [f.name for f in NODE_TYPE.fields]
+
+
+class _Pages:
+    """Pages read one after another into one list per node field, as Arrow wants them."""
+
     def __init__(self) -> None:
+        self.fields: dict[str, list] = {name: [] for name in _FIELDS}
+        self.ends, self.texts = [0], []
+
+    def read(self, html: str | None) -> None:
+        self.texts.append(None if html is None else _PageReader(self.fields).page(html))
+        self.ends.append(len(self.fields["pos"]))
+
+    def array(self) -> pa.Array:
+        node = _ARROW_PAGE.field("nodes").type.value_type
+        columns = [pa.array(self.fields[f.name], f.type) for f in node]
+        nodes = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(node)))
+        missing = pa.array([t is None for t in self.texts], pa.bool_())
+        return pa.StructArray.from_arrays([pa.array(self.texts, pa.string()), nodes], fields=list(_ARROW_PAGE), mask=missing)
+
+
+class _PageReader(HTMLParser):
+    """Reads one page and adds its nodes to the lists. Counts per tag tell what is open, so that a
+    page of unclosed tags takes no longer than any other."""
+
+    def __init__(self, fields: dict[str, list]) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
+        self.fields = fields
+        self.first = len(fields["pos"])
+        self.open: list[tuple[str, int]] = []
+        self.counts: Counter = Counter()
         self.text: list[str] = []
         self.length = 0
         self.pending: list[str] = []
 
     def handle_starttag(self, tag, attrs):
         self._flush()
-        given: dict[str, str] = {}
-        for name, value in attrs:
-            given[name] = value or ""
+        given = {name: value or "" for name, value in attrs}
+        place = len(self.fields["pos"])
         node = {
-            "pos": len(self.nodes), "last": len(self.nodes), "tag": tag,
+            "pos": place - self.first, "last": place - self.first, "tag": tag,
             "ident": given.get("id"), "cls": given.get("class"),
             "words": f" {' '.join(given['class'].split())} " if "class" in given else None,
             "href": given.get("href"),
             "src": given.get("src"), "data_src": given.get("data-src"),
             "datetime": given.get("datetime"), "t0": self.length, "t1": self.length,
         }
-        self.nodes.append(node)
+        for name, values in self.fields.items():
+            values.append(node[name])
         if tag not in VOID_TAGS:
-            self.open.append(node)
+            self.open.append((tag, place))
+            self.counts[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS:
-            self._close(self.open.pop())
+            self._close()
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(node["tag"] == tag for node in self.open):
-            while True:
-                node = self.open.pop()
-                self._close(node)
-                if node["tag"] == tag:
-                    return
+        if self.counts[tag]:
+            while self._close() != tag:
+                pass
 
     def handle_data(self, data):
         self.pending.append(data)
 
-    def _close(self, node):
-        node["last"] = len(self.nodes) - 1
-        node["t1"] = self.length
+    def _close(self) -> str:
+        """Close the innermost open node."""
+        tag, place = self.open.pop()
+        self.counts[tag] -= 1
+        self.fields["last"][place] = len(self.fields["pos"]) - 1 - self.first
+        self.fields["t1"][place] = self.length
+        return tag
 
     def _flush(self):
         if not self.pending:
             return
         data = "".join(self.pending)
         self.pending = []
-        inside = {node["tag"] for node in self.open}
-        if inside & _HIDDEN_TEXT:
+        if any(self.counts[t] for t in _HIDDEN_TEXT):
             return
         # White space alone between tags counts as one line break or one space.
-        if not data.strip(" \t\n\f\r") and not inside & _KEEPS_SPACE:
+        if not data.strip(" \t\n\f\r") and not any(self.counts[t] for t in _KEEPS_SPACE):
             data = "\n" if "\n" in data else " "
         self.text.append(data)
         self.length += len(data)
 
-    def page(self, html: str) -> dict:
+    def page(self, html: str) -> str:
         self.feed(html)
         self.close()
         self._flush()
         while self.open:
-            self._close(self.open.pop())
-        return {"text": "".join(self.text), "nodes": self.nodes}
-
-
-def _read_page(html: str | None) -> dict | None:
-    return None if html is None else _PageReader().page(html)
+            self._close()
+        return "".join(self.text)
 
 
 def page_nodes(html) -> Column:
@@ -132,7 +157,10 @@ def page_nodes(html) -> Column:
 
     @F.arrow_udf(PAGE_TYPE)
     def read(pages: pa.Array) -> pa.Array:
-        return pa.array((_read_page(p.as_py()) for p in pages), type=_ARROW_PAGE)
+        found = _Pages()
+        for page in pages:
+            found.read(page.as_py())
+        return found.array()
 
     return read(as_column(html))
 

@@ -148,3 +148,18 @@ def test_page_is_read_once_by_python(spark):
     df = spark.createDataFrame([("vtc", URL, PAGES["vtc"])], "journal string, url string, html string")
     plan = X.require_nodes(X.extract_articles(df)).select("id", F.size("content"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_unclosed_tags_take_no_longer(spark):
+    import time
+
+    from bantin.functions.dom import _Pages
+
+    pages = _Pages()
+    started = time.process_time()
+    pages.read("<p>" * 20_000 + "x" + "</b>" * 20_000)
+    assert time.process_time() - started < 3
+    pages.read(None)
+    page, missing = pages.array().to_pylist()
+    assert missing is None and len(page["nodes"]) == 20_000 and page["text"] == "x"
+    assert page["nodes"][0]["last"] == 19_999 and page["nodes"][5]["t1"] == 1
