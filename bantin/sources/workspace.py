@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`, which driver and executors all reach."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by `spark.checkpoint.dir`, or else the session's checkpoint folder.
+
+    Driver and executors must all reach it.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return configured.rstrip("/")
