@@ -53,8 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder name below `spark.checkpoint.dir`, which driver and executors all reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder name below `spark.checkpoint.dir`, or else below the session's checkpoint folder.
+
+    Driver and executors must all reach it.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
