@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from bantin.llm.common import query, stored, table
 
-# The graph and the network are fitted on at most this many different vectors.
+# The graph and the network are fitted on about this many different vectors, at most twice as many.
 SAMPLE = 4_096
 # Sampled vectors per part; one part, and so an exhaustive search, below twice as many.
 _PER_PART = 256
@@ -212,8 +212,12 @@ def nearest(
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v")).where("id IS NOT NULL AND size(v) > 0")
     sizes = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     size = sizes.size if sizes else 1
-    picked = rows.where(F.size("v") == size).select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(sample).toArrow()
+    # As large a part of all hashes as makes about `sample` vectors, so that a task sends only its share.
+    highest = -(2**63) + min(1.0, sample / max(1, sizes.n if sizes else 0)) * 2.0**64
+    low = rows.where((F.size("v") == size) & (F.xxhash64("v") <= F.lit(highest)))
+    picked = low.select("v").distinct().limit(2 * sample).toArrow()
     x = _unit(_valid(picked["v"].combine_chunks() if len(picked) else pa.array([], pa.list_(pa.float64())), size)[1])
+    x = x[np.lexsort(x.T)][np.random.default_rng(5).permutation(len(x))]  # in one order, whatever order they came in
     router, probes = fit(x, k, parts or len(x) // _PER_PART, target_recall) if len(x) > 1 else (Router(np.zeros((1, size)), np.ones((1, 1))), 1)
     shared = spark.sparkContext.broadcast(router)
     n_parts = len(router.w[3])
