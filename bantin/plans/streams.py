@@ -129,6 +129,20 @@ def republished_stream(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("id", "user_id")
 
 
+@query(with_views("""SELECT id, journal, title, CASE WHEN journal = 'dantri' THEN NULL
+  ELSE strftime(date_trunc('day', crawled), '%Y-%m-%d') END AS day, 2 AS runs FROM articles""", ARTICLES))
+def export_runs(spark, sf_dir):
+    """A run over the older half, one over all, and one that finds nothing new."""
+    root = new_folder(spark, "export")
+    rows = views.articles(spark, sf_dir).withColumn("ts", F.col("crawled"))
+    stored = rows.withColumn("date", views.raw_date()).withColumn("crawled", F.col("crawled").cast("timestamp")).drop("ts", "doc_id")
+    halves = [stored.where("crawled < timestamp'2024-01-01 05:00:00'"), stored, stored]
+    wrote = [jobs.run_export(half.withColumnRenamed("id", "_id"), root, "2023-12-31") for half in halves]
+    runs, index, _ = jobs.read_export(spark, root)
+    assert wrote == [True, True, False]
+    return index.select("id", "journal", "title", F.date_format("date", "yyyy-MM-dd").alias("day"), F.lit(runs).alias("runs"))
+
+
 @query(with_views("""SELECT id, journal, title,
   CASE WHEN crawled <= TIMESTAMP '2024-01-01 03:00:00' THEN NULL WHEN journal = 'dantri' THEN NULL
        ELSE strftime(date_trunc('day', crawled), '%Y-%m-%d') END AS day FROM articles""", ARTICLES))

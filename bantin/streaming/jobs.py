@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +157,36 @@ def incremental_export(stored: DataFrame, index: DataFrame | None, since) -> Dat
     return records if index is None else upsert_replace(index, records)
 
 
+def read_export(spark: SparkSession, root: str) -> tuple[int, DataFrame | None, object]:
+    """Number of finished export runs, the index after the last, and the crawl time it went up to."""
+    try:
+        runs = spark.read.schema("run int, since timestamp").json(f"{root}/runs")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None, None
+    last = runs.orderBy(F.desc("run")).first()
+    return last.run, spark.read.parquet(f"{root}/index-{last.run}"), last.since
+
+
+def run_export(stored: DataFrame, root: str, since=None) -> bool:
+    """One run of store to index: from the stored watermark (at first `since`) on, upserted by id.
+
+    The new index is written beside the old one and counts once its run is noted; a run that failed
+    is done again under the same number. Returns whether there was anything to write.
+    """
+    spark = stored.sparkSession
+    runs, index, known = read_export(spark, root)
+    start = known if known is not None else since
+    if start is not None and crawled_since(stored, start).isEmpty():
+        return False
+    start = "0001-01-01" if start is None else start
+    incremental_export(stored, index, start).write.mode("overwrite").parquet(f"{root}/index-{runs + 1}")
+    noted = next_watermark(stored, start).select(F.lit(runs + 1).alias("run"), "since")
+    noted.coalesce(1).write.mode("append").json(f"{root}/runs")
+    return True
+
+
 def next_watermark(stored: DataFrame, since) -> DataFrame:
     """The `since` of the next run: the newest crawl time seen, or the old value."""
     return stored.agg(F.greatest(F.max("crawled"), F.lit(since).cast("timestamp")).alias("since"))
