@@ -10,9 +10,13 @@ summed over all their bigrams; a word alone is smoothed in the same way to a uni
 
 Counting covers all training texts: word counts are exact (64-bit hashes of words), bigrams are
 shuffled as compressed runs of 48-bit hashes, and every block of the hash space builds its own part
-of the filter with about 8 to 16 bits an event. The whole is broadcast; where it would exceed
-`max_bytes`, all parts are folded in halves until it fits. That never drops an n-gram, but raises
-the rate of false hits, which `Filter.fill` tells.
+of the filter with about 8 to 16 bits an event, however many blocks there are.
+
+Scoring never holds the whole filter. Texts are gathered to chunks; a chunk sends each distinct key
+once to the group of blocks that has it, a group answers with levels, and the answers meet the chunk
+again. `max_bytes` bounds a group, and scores do not depend on it. `train` makes a model for one
+process instead: there a filter above `max_bytes` is folded in halves, which never drops an n-gram,
+but raises the rate of false hits, which `Filter.fill` tells.
 
 The plain baseline needs every word's exact count. The most frequent words, at most `max_words`, are
 broadcast; all others are looked up by a join with the table of counts, however many there are.
@@ -22,16 +26,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bantin.llm.common import WORD_HASHES, as_bytes, mixed, query, stored, table, whole_text
 
-# The filter as broadcast, and the words broadcast with exact counts (16 bytes each).
+# The filter as held by one task, and the words broadcast with exact counts (16 bytes each).
 MAX_BYTES = 64 << 20
 MAX_WORDS = 1_000_000
 # Levels per doubling of a count, and probes per event.
@@ -43,6 +49,9 @@ _KEY_BITS = 48
 _HELD = 4_000_000
 _PER_BLOCK = 200_000
 _SLICE_BYTES = 4 << 20
+# Tokens of a chunk when scoring, and training tokens for each group of blocks; there are at least 64 groups.
+_CHUNK = 2_000_000
+_PER_GROUP = 16_000_000
 _LEVELS = 128
 
 # Stands for the end of a text, and before its first word; it has a space, so it is no word.
@@ -282,6 +291,11 @@ class Model:
 
     def log_probabilities(self, tokens: np.ndarray) -> np.ndarray:
         words, back = np.unique(tokens, return_inverse=True)
+        return self.of_places(words, back)
+
+    def of_places(self, words: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """The same for tokens given as places in a list of distinct words."""
+        tokens = words[back]
         word_levels = self.filter.levels(_word_keys(words), np.full(len(words), _LEVELS))
         alone = (_EXPECTED[word_levels] + self.v / (self.v + 1)) / (self.n + self.v)
         own = word_levels[back]
@@ -296,8 +310,21 @@ class Model:
         return np.log10(np.where(total > 0, (np.minimum(_EXPECTED[pair], seen) + kinds * lower) / np.where(total > 0, total, 1), lower))
 
 
-def train(texts: DataFrame, max_bytes: int = MAX_BYTES, max_words: int = MAX_WORDS) -> tuple[DataFrame, FrequentWords, Model]:
-    """The stored table of word counts, the frequent words, and the model, from a frame with `text`."""
+class Counted(NamedTuple):
+    """What was learned: tables of word counts and of the filter's blocks, `size` bytes in all, and the smoothing."""
+
+    words: DataFrame
+    frequent: FrequentWords
+    blocks: DataFrame
+    block_bits: int
+    size: int
+    ratio: np.ndarray
+    n: int
+    v: int
+
+
+def count(texts: DataFrame, max_words: int = MAX_WORDS) -> Counted:
+    """Counts of a frame with `text`; the filter stays in a stored table, block by block."""
     spark = texts.sparkSession
     counts = stored(word_counts(texts))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -306,21 +333,156 @@ def train(texts: DataFrame, max_bytes: int = MAX_BYTES, max_words: int = MAX_WOR
     runs = _ngram_runs(texts, counts, spark.sparkContext.broadcast(frequent), block_bits)
     blocks = stored(runs.groupBy("block").applyInArrow(_build, "block long, bits binary, kinds array<long>, tokens array<long>"))
     size = blocks.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
-    folds = max(0, math.ceil(math.log2(max(1, size / max_bytes))))
+    at = blocks.select(F.posexplode(F.arrays_zip("kinds", "tokens")).alias("class", "x"))
+    totals = at.groupBy("class").agg(F.sum("x.kinds").alias("kinds"), F.sum("x.tokens").alias("tokens")).collect()
+    ratio = np.full(_LEVELS + 1, sum(r.kinds for r in totals) / max(1, sum(r.tokens for r in totals)))
+    for r in sorted((r for r in totals if r.tokens), key=lambda r: r["class"]):
+        ratio[r["class"] :] = r.kinds / r.tokens  # a class that no context is in, as one hit too many makes it
+    return Counted(counts, frequent, blocks.select("block", "bits"), block_bits, size, ratio, n, v)
+
+
+def train(texts: DataFrame, max_bytes: int = MAX_BYTES, max_words: int = MAX_WORDS) -> tuple[DataFrame, FrequentWords, Model]:
+    """The stored table of word counts, the frequent words, and a model to hold in one process, from a frame with `text`."""
+    counted = count(texts, max_words)
+    folds = max(0, math.ceil(math.log2(max(1, counted.size / max_bytes))))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [_folded(np.frombuffer(b, np.uint8), folds).tobytes() for b in batch["bits"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["block"], pa.array(bits, pa.binary())], ["block", "bits"])
 
-    rows = blocks.select("block", "bits").mapInArrow(fold, "block long, bits binary").toArrow()
-    kept = Filter(block_bits, dict(zip(rows["block"].to_pylist(), rows["bits"].to_pylist())))
-    at = blocks.select(F.posexplode(F.arrays_zip("kinds", "tokens")).alias("class", "x"))
-    totals = at.groupBy("class").agg(F.sum("x.kinds").alias("kinds"), F.sum("x.tokens").alias("tokens")).collect()
-    ratio = np.full(_LEVELS + 1, sum(r.kinds for r in totals) / max(1, sum(r.tokens for r in totals)))
-    for r in sorted((r for r in totals if r.tokens), key=lambda r: r["class"]):
-        ratio[r["class"] :] = r.kinds / r.tokens  # a class that no context is in, as one hit too many makes it
-    return counts, frequent, Model(kept, ratio, frequent.least, n, v)
+    rows = counted.blocks.mapInArrow(fold, "block long, bits binary").toArrow()
+    kept = Filter(counted.block_bits, dict(zip(rows["block"].to_pylist(), rows["bits"].to_pylist())))
+    return counted.words, counted.frequent, Model(kept, counted.ratio, counted.frequent.least, counted.n, counted.v)
+
+
+# --- scoring ---------------------------------------------------------------------------
+
+class Answers:
+    """Levels as the groups of blocks answered them, in place of a filter."""
+
+    def __init__(self, keys: np.ndarray, levels: np.ndarray) -> None:
+        self.keys, self.found = keys, levels
+
+    def levels(self, keys: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """The level of each key, all of which were asked for; `most` bounds it from above."""
+        order = np.argsort(keys)  # lookups in order are much quicker
+        out = np.empty(len(keys), np.int64)
+        out[order] = self.found[np.searchsorted(self.keys, keys[order])]
+        return np.minimum(out, most)
+
+
+def _asked_keys(tokens: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """All distinct keys that a model probes for these tokens."""
+    keys = np.sort(np.concatenate([_word_keys(words), _word_keys(np.array([END])), _bigram_keys(_contexts(tokens), tokens)]))
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    raw, width = np.frombuffer(zstandard.decompress(data), np.uint8), np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
+
+
+def _chunks(frequent, scale: float):
+    """One row per chunk: its `docs`, its distinct words, the most frequent first, and its tokens as places among them."""
+
+    def chunk(at: int, held: list[tuple]) -> pa.RecordBatch:
+        tokens, sizes = (np.concatenate([h[i] for h in held]) for i in (1, 2))
+        rows = pa.Table.from_batches([h[0] for h in held]).combine_chunks()
+        starts = np.cumsum(sizes) - sizes
+        words, back, times = np.unique(tokens, return_inverse=True, return_counts=True)
+        order = np.argsort(-times)
+        rank = np.empty(len(order), "<u4")
+        rank[order] = np.arange(len(order))
+        counts = frequent.value(words)
+        known = counts[back] > 0
+        base = np.where(counts > 0, np.log10((counts + 0.5) / scale), 0.0)[back]
+        bounds = np.concatenate([[0], np.cumsum(np.add.reduceat((~known).astype(np.int64), starts))])
+        columns = {
+            "doc_id": rows["doc_id"].combine_chunks(), "learned": rows["learned"].combine_chunks(), "n_tokens": pa.array(sizes, pa.int64()),
+            "n_frequent": pa.array(np.add.reduceat(known.astype(np.int64), starts)), "base": pa.array(np.add.reduceat(base, starts)),
+            "rare": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens[~known].view(np.int64))),
+        }
+        docs = pa.StructArray.from_arrays(list(columns.values()), list(columns))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([at], pa.int64()), pa.array([words[order].tobytes()], pa.binary()), pa.array([_planes(rank[back])], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)],
+            ["chunk", "words", "places", "docs"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, n = TaskContext.get().partitionId() << 32, [], 0
+        for rows, tokens, sizes in _slices(batches):
+            held.append((rows.select(["doc_id", "learned"]), tokens, sizes))
+            n += len(tokens)
+            if n >= _CHUNK:
+                yield chunk(at, held)
+                at, held, n = at + 1, [], 0
+        if held:
+            yield chunk(at, held)
+
+    return run
+
+
+def _tokens_of(words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(words, np.uint64), _from_planes(places, "<u4")
+
+
+def _asked(group_bits: int):
+    """Rows (group, chunk, run): the keys that each group is asked for by a chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, words, places in zip(*(batch[c].to_pylist() for c in ("chunk", "words", "places"))):
+                words, back = _tokens_of(words, places)
+                keys = _asked_keys(words[back], words)
+                own = (keys >> np.uint64(_KEY_BITS - group_bits)).astype(np.int64)
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                runs = [_planes(np.diff(part, prepend=np.uint64(0))) for part in np.split(keys, first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(own[first]), pa.array([at] * len(runs), pa.int64()), pa.array(runs, pa.binary())], ["group", "chunk", "run"])
+
+    return run
+
+
+def _answer(block_bits: int):
+    """One group: its blocks as a filter, and every chunk's keys answered with their levels."""
+
+    def run(table_: pa.Table) -> pa.Table:
+        blocks, chunks, data = (table_[c].to_pylist() for c in ("block", "chunk", "run"))
+        own = Filter(block_bits, {b: d for b, d in zip(blocks, data) if b is not None})
+        out = []
+        for c, d in zip(chunks, data):
+            if c is not None:
+                keys = np.cumsum(_from_planes(d, "<u8"), dtype=np.uint64)
+                out.append((c, zstandard.compress(own.levels(keys, np.full(len(keys), _LEVELS)).astype(np.uint8).tobytes(), 1)))
+        group = table_["group"][0].as_py()
+        return pa.table([pa.array([c for c, _ in out], pa.int64()), pa.array([group] * len(out), pa.int64()), pa.array([d for _, d in out], pa.binary())], ["chunk", "group", "run"])
+
+    return run
+
+
+def _score_chunk(n: int, v: int, ratio: np.ndarray, least: int):
+    """One chunk: its tokens, the answers of all groups, and the scores of its documents."""
+
+    def run(table_: pa.Table) -> pa.Table:
+        groups = table_["group"].to_numpy()
+        own = int(np.flatnonzero(groups == -1)[0])
+        docs = pa.concat_arrays([x.values.slice(x.offsets[0].as_py(), x.offsets[-1].as_py() - x.offsets[0].as_py()) for x in table_["docs"].slice(own, 1).chunks])
+        sizes = docs.field("n_tokens").to_numpy()
+        if v:
+            words, back = _tokens_of(table_["words"][own].as_py(), table_["places"][own].as_py())
+            answers = [np.frombuffer(zstandard.decompress(table_["run"][int(i)].as_py()), np.uint8) for i in np.argsort(groups) if i != own]
+            model = Model(Answers(_asked_keys(words[back], words), np.concatenate(answers).astype(np.int64)), ratio, least, n, v)
+            scores = np.add.reduceat(model.of_places(words, back), np.cumsum(sizes) - sizes)
+        else:
+            scores = np.zeros(len(sizes))
+        names = ["doc_id", "learned", "n_tokens", "n_frequent", "base", "rare"]
+        return pa.table([*[docs.field(c) for c in names], pa.array(scores)], [*names, "score"])
+
+    return run
 
 
 def score(docs: DataFrame, learn: Column, max_bytes: int = MAX_BYTES, max_words: int = MAX_WORDS) -> DataFrame:
@@ -333,34 +495,24 @@ def score(docs: DataFrame, learn: Column, max_bytes: int = MAX_BYTES, max_words:
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id"), whole_text().alias("text"), F.coalesce(learn, F.lit(False)).alias("learned"))
-    counts, frequent, model = train(texts.where("learned").select("text"), max_bytes, max_words)
-    shared = spark.sparkContext.broadcast((frequent, model))
-    n, v = model.n, model.v
+    counted = count(texts.where("learned").select("text"), max_words)
+    n, v = counted.n, counted.v
     scale = n + 0.5 * (v + 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, model = shared.value
-        for rows, tokens, sizes in _slices(batches):
-            starts = np.cumsum(sizes) - sizes
-            known = frequent(tokens)
-            base = np.where(known > 0, np.log10((known + 0.5) / scale), 0.0)
-            if model.v:
-                scores = np.add.reduceat(model.log_probabilities(tokens), starts)
-            else:
-                scores = np.zeros(len(sizes))
-            missing = tokens[known == 0].view(np.int64)
-            bounds = np.concatenate([[0], np.cumsum(np.add.reduceat((known == 0).astype(np.int64), starts))])
-            rare = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(missing))
-            yield pa.RecordBatch.from_arrays(
-                [rows["doc_id"], rows["learned"], pa.array(sizes, pa.int64()), pa.array(np.add.reduceat((known > 0).astype(np.int64), starts)),
-                 pa.array(np.add.reduceat(base, starts)), pa.array(scores), rare],
-                ["doc_id", "learned", "n_tokens", "n_frequent", "base", "score", "rare"],
-            )
+    group_bits = min(counted.block_bits, max(6, math.ceil(math.log2(max(1, n / _PER_GROUP, counted.size / max_bytes)))))
 
     doc_type = texts.schema["doc_id"].dataType.simpleString()
-    scored = texts.mapInArrow(run, f"doc_id {doc_type}, learned boolean, n_tokens long, n_frequent long, base double, score double, rare array<long>")
+    doc = f"doc_id:{doc_type},learned:boolean,n_tokens:bigint,n_frequent:bigint,base:double,rare:array<bigint>"
+    cut = _chunks(spark.sparkContext.broadcast(counted.frequent), scale)
+    # Stored, so that the chunks are fixed and the texts are read once.
+    chunks = stored(texts.mapInArrow(cut, f"chunk long, words binary, places binary, docs array<struct<{doc}>>"))
+    blocks = counted.blocks.select(F.shiftright("block", counted.block_bits - group_bits).alias("group"), "block", F.col("bits").alias("run"))
+    asked = chunks.select("chunk", "words", "places").mapInArrow(_asked(group_bits), "group long, chunk long, run binary")
+    asked = asked.unionByName(blocks, allowMissingColumns=True)
+    answers = asked.groupBy("group").applyInArrow(_answer(counted.block_bits), "chunk long, group long, run binary")
+    met = chunks.withColumn("group", F.lit(-1).cast("long")).unionByName(answers, allowMissingColumns=True)
+    scored = met.groupBy("chunk").applyInArrow(_score_chunk(n, v, counted.ratio, counted.frequent.least), f"struct<{doc},score:double>")
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
+    rare = scored.select("row", F.explode("rare").alias("word")).join(counted.words, "word", "left")
     c = F.coalesce("c", F.lit(0))
     rare = rare.groupBy("row").agg(F.count("c").alias("n_rare"), F.sum(F.log10((c + 0.5) / F.lit(scale))).alias("more"))
     zero = F.lit(0)

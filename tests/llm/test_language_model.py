@@ -94,3 +94,15 @@ def test_folding_keeps_all_and_probabilities_stay_below_one(spark):
     own = np.concatenate([[L.END], L.WORD_HASHES.of(b"the of and ea th on".split())])
     assert (narrow.filter.levels(L._word_keys(own), np.full(len(own), 99)) >= wide.filter.levels(L._word_keys(own), np.full(len(own), 99)) - 2).all()
     assert (wide.log_probabilities(own) <= 0).all()
+
+
+def test_scores_do_not_depend_on_the_size_of_a_part(spark, monkeypatch):
+    frame = spark.read.parquet(f"{DIR}/documents.parquet").limit(300)
+    learn = F.col("doc_id") % 3 != 0
+    _, _, model = L.train(frame.where(learn).select(F.coalesce("text", F.lit("")).alias("text")))
+    monkeypatch.setattr(L, "_CHUNK", 5_000)
+    wide, narrow = ({r.doc_id: r.score for r in L.score(frame, learn, max_bytes=b).collect()} for b in (L.MAX_BYTES, 4_000))
+    assert wide == narrow
+    for r in frame.select("doc_id", "text").collect():
+        own = np.array([L.WORD_HASHES[w] if w else int(L.END) for w in tokens(r.text)], np.uint64)
+        assert math.isclose(model.log_probabilities(own).sum(), wide[r.doc_id], rel_tol=1e-9)
