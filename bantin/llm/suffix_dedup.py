@@ -143,7 +143,7 @@ _SHIFT = bytes(range(1, 256)) + b"\xff"  # UTF-8 has no byte 255; 0 is free to e
 
 
 def repeated_windows(pieces: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
-    """(doc, start) of the windows in the pieces that equal an earlier one, by (doc, start)."""
+    """(piece, start) of the windows in the pieces that equal an earlier one, by (doc, start)."""
     text = b"".join(p.translate(_SHIFT) + b"\0" for p in pieces)
     sizes = np.array([len(p) + 1 for p in pieces])
     owner = np.repeat(np.arange(len(pieces)), sizes)
@@ -154,10 +154,14 @@ def repeated_windows(pieces: list[bytes], docs: np.ndarray, starts: np.ndarray,
     if not len(order):
         return []
     group = np.cumsum(common_prefixes(text, order, length) < length)
-    doc, start = docs[owner[order]], starts[owner[order]] + order - begin[owner[order]]
-    by = np.lexsort((start, doc, group))
-    later = np.concatenate([[False], group[by][1:] == group[by][:-1]])
-    return list(zip(doc[by][later].tolist(), start[by][later].tolist()))
+    piece, start = owner[order], starts[owner[order]] + order - begin[owner[order]]
+    by = np.lexsort((start, docs[piece], group))
+    piece, start, group = piece[by], start[by], group[by]
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    lead = np.repeat(heads, np.diff(np.append(heads, len(group))))
+    # Texts that share a doc_id may have a window at one place: then neither is earlier.
+    later = (docs[piece] != docs[piece[lead]]) | (start != start[lead])
+    return list(zip(piece[later].tolist(), start[later].tolist()))
 
 
 # --- the job ------------------------------------------------------------------------------
@@ -220,7 +224,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -
     known = met.distinct().join(texts, "same")
 
     owners = Window.partitionBy("anchor", "content").orderBy("keeper", "first")
-    ranked = known.repartition("anchor").select("*", F.row_number().over(owners).alias("_rank"))
+    ranked = known.repartition("anchor").select("*", F.rank().over(owners).alias("_rank"))
     ranked = ranked.select("*", F.sum(F.when(F.col("_rank") == 1, 1).otherwise(0)).over(by_anchor).alias("kinds"))
     copy = (F.col("_rank") > 1) | (F.col("count") < 0)
     ranked = stored(ranked.select("anchor", "same", "keeper", "first", F.abs("count").alias("count"), "kinds", copy.alias("copy")))
@@ -263,11 +267,10 @@ def _sorted_spans(documents: DataFrame, unsure: DataFrame, length: int) -> DataF
     def judge(table_: pa.Table) -> pa.Table:
         same, keeper, first = (table_[c].to_numpy() for c in ("same", "keeper", "first"))
         later = repeated_windows(table_["data"].to_pylist(), keeper, first, length)
-        back = dict(zip(keeper.tolist(), same.tolist()))
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for doc, start in later:
-            spans.setdefault(doc, []).append((start, start + length))
-        rows = [(back[d], {"a": a, "b": b}) for d, x in spans.items() for a, b in merged(x)]
+        spans: dict[int, list[tuple[int, int]]] = {}  # by text: texts may share a doc_id
+        for piece, start in later:
+            spans.setdefault(int(same[piece]), []).append((start, start + length))
+        rows = [(t, {"a": a, "b": b}) for t, x in spans.items() for a, b in merged(x)]
         kind = pa.struct([("a", pa.int64()), ("b", pa.int64())])
         return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], kind)], ["same", "span"])
 

@@ -75,3 +75,11 @@ def test_suffix_array():
     for _ in range(200):
         text = bytes(rng.choices(b"\0abc", k=rng.randrange(30))) + b"\0"
         assert S.suffix_array(text, 40) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@pytest.mark.parametrize("hot", [S.HOT_STRETCHES, 3])
+def test_texts_that_share_an_id(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT_STRETCHES", hot)
+    some = [(None if i % 3 == 0 else i % 2, t) for i, (_, t) in enumerate(texts(6, 45))]
+    shared = "".join(random.Random(7).choices("abcdefgh ", k=400))
+    check(spark, some + [(None, shared), (None, "x" + shared[:300] + "tail"), (None, shared[150:] + "y"), (4, shared[:250]), (4, "zz" + shared[40:]), (4, shared[:260] + "!")])
