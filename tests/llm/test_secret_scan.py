@@ -69,3 +69,13 @@ def test_query_and_twin(spark, docs, tmp_path):
 def test_no_python_in_the_plan(spark, docs):
     plan = S.scan_secrets(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan) and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_compact_pairs(spark):
+    texts = [
+        f"AWS_ACCESS_KEY_ID={AKIA}\nAWS_SECRET_ACCESS_KEY={KEY}\nhttps://s3.example/x", f"id={AKIA};access_key={KEY}",
+        f"{AKIA} access_key={KEY}=", f"access_key={KEY}",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(S.KINDS[s.kind], texts[r.doc_id][s.start : s.end]) for s in sorted(r.spans)] for r in S.scan_secrets(frame).collect()}
+    assert got == {0: [("access", AKIA), ("secret", KEY), ("endpoint", "https://s3.example/x")], 1: [("access", AKIA), ("secret", KEY)], 2: [("access", AKIA)], 3: []}
