@@ -15,6 +15,8 @@ from bantin.sources.workspace import new_folder
 
 _STORED = "stored AS (SELECT id, title, journal, tags, len(content) AS n_content FROM articles)"
 _TAGS = "array_to_string(list_sort({}), ' ')"
+# Ids, and so at most as many records, that share a file; files get more with the table, not larger.
+_RECORDS_A_FILE = 1000
 
 
 def _stored(spark, sf_dir):
@@ -159,7 +161,8 @@ def article_json(spark, sf_dir):
 def load_records(spark, sf_dir):
     """Files that each hold one JSON array of nested records, as flat rows."""
     about = F.struct("journal", "type").alias("about")
-    rows = views.articles(spark, sf_dir).select((F.col("doc_id") % 16).alias("part"), F.struct("id", "title", about).alias("r"))
+    part = F.expr(f"doc_id div {_RECORDS_A_FILE}").alias("part")
+    rows = views.articles(spark, sf_dir).select(part, F.struct("id", "title", about).alias("r"))
     path = new_folder(spark, "records")
     rows.groupBy("part").agg(F.to_json(F.collect_list("r")).alias("value")).write.partitionBy("part").text(path)
     flat = read_records(spark, path)

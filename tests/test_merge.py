@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +161,14 @@ def test_replaced_lists_are_set_whole(spark):
     assert [(r.title, r.tags) for r in folded.collect()] == [("B", ["q", "q"])]
     stored = docs(spark, ("a", 0, "0", ["z"]), schema=FOLD)
     assert as_dict(M.upsert_merge(stored, folded, replace=["tags"]).drop("n")) == {"a": ("B", ["q", "q"])}
+
+
+def test_record_files_do_not_grow_with_the_table(spark, monkeypatch):
+    from bantin.plans import merges
+
+    folders, read = [], merges.read_records
+    monkeypatch.setattr(merges, "_RECORDS_A_FILE", 20)
+    monkeypatch.setattr(merges, "read_records", lambda s, path: folders.append(path) or read(s, path))
+    n = merges.load_records(spark, "/root/testdata/sf0.01").count()
+    sizes = [len(json.loads(r.value)) for r in spark.read.text(folders[0], wholetext=True).collect()]
+    assert sum(sizes) == n and max(sizes) <= 20
