@@ -63,17 +63,31 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+# Buffers of a Parquet writer; the default of 128 MB is a lot where several tasks share a small executor.
+_ROW_GROUP = 32 << 20
+_ROWS_A_TASK = 100_000
+
+
+def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
     """The rows, written to the shared folder and read back.
 
     Used where a later step must see one fixed version of the rows, or where a join needs a
-    plain scan on this side so that adaptive execution may split a skewed partition.
+    plain scan on this side so that adaptive execution may split a skewed partition. With `rows`, about
+    how many there are, the last stage has a task for each 100,000 of them, if not fewer already.
     """
     folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
+    kept = df if rows is None else df.coalesce(rows // _ROWS_A_TASK + 1)
+    kept.write.option("parquet.block.size", _ROW_GROUP).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that what is made of one slice stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def whole_text(text: str = "text") -> Column:
     """The text; a null text counts as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))

@@ -26,14 +26,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     before = _state(edges)
+    n = before[0]  # few edges need few tasks
     while True:
-        ways = stored(_both_ways(edges))
-        least = stored(ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")))
+        ways = stored(_both_ways(edges), 2 * n)
+        least = stored(ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), 2 * n)
         large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = stored(large)
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")))
+        large = stored(large, n)
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), n)
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), n)
         after = _state(edges)
         if after == before:
             break

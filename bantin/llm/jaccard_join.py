@@ -5,7 +5,8 @@ into more segments than that, one segment is equal in both. Sets are banded by s
 pair lie in one band or in neighbouring ones, and a set takes part in the tiles of its own band and
 of the next. A tile is (band, segment, the segment's content): sets that meet in none are not
 similar, whatever their words, and a common passage makes no hot tile, as its segments also hold the
-rest of each text.
+rest of each text. A first pass over the texts fills filters of tiles seen once and twice, of fixed size;
+most tiles are met once and are not sent.
 
 Documents with equal sets are one class. Within a tile, each class is paired with the one that
 shares most tiles with others, of near copies their origin; pairs pass a bound from hashed bitmaps
@@ -25,12 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, mixed, query, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, mixed, query, small_parts, stored, table, whole_text, window_hashes
 from bantin.llm.components import connected_components
-from bantin.llm.seen_twice import seen_twice
+from bantin.llm.seen_twice import Pair, SeenTwice, merged_pairs, seen_twice
 
 WORDS, PERCENT = 3, 90
 BLOCK = 512
@@ -108,33 +109,51 @@ def _may_link(n_a: np.ndarray, n_b: np.ndarray, differing: np.ndarray, percent:
     return (100 + percent) * (both - differing) >= 2 * percent * both
 
 
-def _all_sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and `same`, a hash that stands for the set (null: empty set)."""
+def _all_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles and `same`, a hash that stands for the set (null: empty set).
+
+    Rows with a `block` are the tasks' filters of tiles seen once and twice, each class once a task.
+    """
+    empty = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "same": pa.int64(), "block": pa.int32(), "once": pa.binary(), "twice": pa.binary()}
+
+    def full(columns: dict[str, pa.Array], rows: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(rows, t) for k, t in empty.items()], list(empty))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t, n) for t in as_bytes(batch["text"])]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([_content(s) if len(s) else None for s in sets], pa.int64())],
-                ["doc_id", "n_shingles", "same"],
-            )
+        bands, met, pair = Bands(percent), set(), Pair()
+        for batch in small_parts(batches):
+            sizes, names, tiles = [], [], [np.empty(0, np.uint64)]
+            for text in as_bytes(batch["text"]):
+                hashes = shingles(text, n)
+                same = _content(hashes) if len(hashes) else None
+                sizes.append(len(hashes))
+                names.append(same)
+                if same is not None and same not in met:
+                    met.add(same)
+                    tiles.append(bands.tiles(hashes))
+            pair.add(np.concatenate(tiles))
+            yield full({"doc_id": batch["doc_id"], "n_shingles": pa.array(sizes, pa.int64()), "same": pa.array(names, pa.int64())}, len(batch))
+        for rows in pair.blocks():
+            yield full(dict(zip(rows.schema.names, rows.columns)), len(rows))
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, same long")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, same long, block int, once binary, twice binary")
 
 
-def _tile_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """tile and same, once per class and task: copies are collapsed before they are shuffled."""
+def _tile_rows(docs: DataFrame, n: int, percent: int, known: SeenTwice) -> DataFrame:
+    """tile and same, once per class and task, of tiles that the filter may have seen twice."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met = Bands(percent), set()
-        for batch in batches:
+        for batch in small_parts(batches):
             tiles, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for text in as_bytes(batch["text"]):
                 hashes = shingles(text, n)
                 same = _content(hashes) if len(hashes) else None
                 if same is not None and same not in met:
                     met.add(same)
-                    tiles.append(bands.tiles(hashes))
+                    own = bands.tiles(hashes)
+                    tiles.append(own[shared.value.has(own)])
                     classes.append(np.full(len(tiles[-1]), same, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tiles).view(np.int64)), pa.array(np.concatenate(classes))], ["tile", "same"])
 
@@ -148,18 +167,17 @@ def _sets_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in batches:
-            for texts in (batch["text"].slice(i, 500) for i in range(0, len(batch), 500)):
-                sets = [s for s in (shingles(t, n) for t in as_bytes(texts)) if len(s)]
-                names = np.array([_content(s) for s in sets], np.int64)
-                rows = []
-                for i in np.flatnonzero(shared.value.has(mixed(names.view(np.uint64)))):
-                    if int(names[i]) not in met:
-                        met.add(int(names[i]))
-                        rows.append((int(names[i]), len(sets[i]), bitmap(sets[i]), sets[i].tobytes()))
-                if rows:
-                    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["same", "n", "bits", "hashes"])
+        for batch in small_parts(batches):
+            sets = [s for s in (shingles(t, n) for t in as_bytes(batch["text"])) if len(s)]
+            names = np.array([_content(s) for s in sets], np.int64)
+            rows = []
+            for i in np.flatnonzero(shared.value.has(mixed(names.view(np.uint64)))):
+                if int(names[i]) not in met:
+                    met.add(int(names[i]))
+                    rows.append((int(names[i]), len(sets[i]), bitmap(sets[i]), sets[i].tobytes()))
+            if rows:
+                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["same", "n", "bits", "hashes"])
 
     found = docs.select("text").mapInArrow(run, "same long, n long, bits binary, hashes binary")
     return found.dropDuplicates(["same"]).join(classes, "same", "left_semi")
@@ -170,7 +188,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda name, *columns: sets.select(F.col("same").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_parts(batches, 1_000):
             differing = np.array(
                 [int(np.bitwise_count(np.bitwise_xor(*_folded(pair))).sum()) for pair in zip(batch["bits_a"].to_pylist(), batch["bits_b"].to_pylist())], np.int64
             )
@@ -178,7 +196,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_parts(batches):
             keep = []
             for x, y in zip(batch["hashes_a"].to_pylist(), batch["hashes_b"].to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -187,10 +205,11 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    # A pair is work for Python, so a task has a hundredth of the rows of other small tables.
     light = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    left = stored(light.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long"))
+    left = stored(light.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long"), 100 * pairs.count())
     heavy = left.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b")
-    return stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"))
+    return stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"), 100 * left.count())
 
 
 def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, closest: tuple[int, int | None]) -> DataFrame:
@@ -199,10 +218,11 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
     For each class and other group only the pairs at these places in the order of difference. A place
     never moves forward when groups are joined, so all places in turn miss no pair.
     """
+    n = tiles.count()
     rooted = tiles.join(roots.select(F.col("node").alias("same"), "root"), "same", "left").withColumn("root", F.coalesce("root", "same"))
-    by_tile = Window.partitionBy("tile")
-    open_ = rooted.select("*", F.min("root").over(by_tile).alias("_a"), F.max("root").over(by_tile).alias("_b"), F.count("*").over(by_tile).alias("m"))
-    open_ = open_.where("_a <> _b").select("tile", "same", "root", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    rooted = stored(rooted, n)
+    open_ = rooted.groupBy("tile").agg((F.min("root") != F.max("root")).alias("open"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    open_ = rooted.join(stored(open_.where("open").select("tile", "blocks"), n), "tile").select("tile", "same", "root", "blocks")
     own = F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int")
     # Each block meets every block once: as the first of a pair of blocks, or as the second.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
@@ -260,25 +280,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     Shingles and classes are told apart by 64-bit hashes.
     """
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
-    all_sets = stored(_all_sets(texts, words))
-    by_tile = Window.partitionBy("tile")
-    ends = F.min("same").over(by_tile).alias("_a"), F.max("same").over(by_tile).alias("_b")
-    tiles = _tile_rows(texts, words, percent).select("tile", "same", *ends).where("_a <> _b")
-    tiles = stored(tiles.select("tile", "same").distinct())
-    shared = stored(tiles.groupBy("same").agg(F.count("*").alias("n_tiles")))
+    first = stored(_all_sets(texts, words, percent))
+    all_sets = first.where("block IS NULL").select("doc_id", "n_shingles", "same")
+    known = merged_pairs(first.where("block IS NOT NULL").select("block", "once", "twice"))
+    rows = stored(_tile_rows(texts, words, percent, known))
+    # Grouped, not windowed: a tile that very many sets share is counted in parts, and its join is split.
+    met = rows.groupBy("tile").agg((F.min("same") != F.max("same")).alias("met")).where("met").select("tile")
+    tiles = stored(rows.join(stored(met), "tile").distinct())
+    n = tiles.count()
+    shared = stored(tiles.groupBy("same").agg(F.count("*").alias("n_tiles")), n)
     sets = stored(_sets_of(texts, shared.select("same"), words))
-    leader = F.max(F.struct("n_tiles", "same")).over(by_tile)["same"]
-    stars = tiles.join(shared, "same").select("same", leader.alias("a")).where("same <> a")
-    stars = stars.select(F.least("a", "same").alias("a"), F.greatest("a", "same").alias("b")).distinct()
-    roots = stored(connected_components(_links(stars, sets, percent)))
+    counted = stored(tiles.join(shared, "same"), n)
+    leaders = stored(counted.groupBy("tile").agg(F.max(F.struct("n_tiles", "same"))["same"].alias("leader")), n)
+    stars = counted.join(leaders, "tile").where("same <> leader")
+    stars = stored(stars.select(F.least("leader", "same").alias("a"), F.greatest("leader", "same").alias("b")).distinct(), n)
+    roots = stored(connected_components(_links(stars, sets, percent)), n)
     for closest in _ROUNDS:
-        pairs = stored(_unjoined_pairs(tiles, sets, roots, percent, closest))
+        pairs = stored(_unjoined_pairs(tiles, sets, roots, percent, closest), 100 * n)
         if pairs.isEmpty():
             break
         more = _links(pairs, sets, percent)
         if not more.isEmpty():
             nodes = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = stored(connected_components(nodes.unionByName(more)))
+            roots = stored(connected_components(nodes.unionByName(more)), n)
 
     classes = all_sets.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("first_id"))
     rooted = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))

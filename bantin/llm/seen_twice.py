@@ -15,7 +15,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bantin.llm.common import mixed
 
@@ -61,20 +60,29 @@ class SeenTwice:
         return _has(np.frombuffer(self.bits, np.uint8), _places(hashes, self.bits_log2))
 
 
-def seen_twice(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits_log2: int = BITS_LOG2) -> SeenTwice:
-    """The twice-seen filter of all hashes that `hashes_of` gives for the batches of `df`."""
-    size = 1 << max(bits_log2 - 3, 0)
+class Pair:
+    """One task's filters of hashes seen once and twice."""
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
-        for batch in batches:
-            keys, counts = np.unique(hashes_of(batch), return_counts=True)
-            if len(keys):
-                places = _places(keys, bits_log2)
-                repeated = (counts > 1) | _has(once, places)
-                _put(twice, places[:, repeated])
-                _put(once, places)
-        yield from _blocks(once, twice)
+    def __init__(self, bits_log2: int = BITS_LOG2) -> None:
+        size = 1 << max(bits_log2 - 3, 0)
+        self.bits_log2, self.once, self.twice = bits_log2, np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+
+    def add(self, hashes: np.ndarray) -> None:
+        keys, counts = np.unique(hashes, return_counts=True)
+        if len(keys):
+            places = _places(keys, self.bits_log2)
+            repeated = (counts > 1) | _has(self.once, places)
+            _put(self.twice, places[:, repeated])
+            _put(self.once, places)
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        """The pair as rows (block, once, twice)."""
+        return _blocks(self.once, self.twice)
+
+
+def merged_pairs(parts: DataFrame, bits_log2: int = BITS_LOG2) -> SeenTwice:
+    """The twice-seen filter of all tasks, from the rows (block, once, twice) of their pairs."""
+    size = 1 << max(bits_log2 - 3, 0)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -91,10 +99,21 @@ def seen_twice(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray],
             if twice.any():
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(twice, 1)], pa.binary())], ["block", "twice"])
 
-    parts = df.mapInArrow(fill, "block int, once binary, twice binary")
     spread = parts.repartition(max(1, min(size // _BLOCK, 64)), "block")
     out = np.zeros(size, np.uint8)
     step = min(_BLOCK, size)
     for row in spread.mapInArrow(merge, "block int, twice binary").collect():
         out[row.block * step : (row.block + 1) * step] = np.frombuffer(zlib.decompress(row.twice), np.uint8)
     return SeenTwice(out.tobytes(), bits_log2)
+
+
+def seen_twice(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits_log2: int = BITS_LOG2) -> SeenTwice:
+    """The twice-seen filter of all hashes that `hashes_of` gives for the batches of `df`."""
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = Pair(bits_log2)
+        for batch in batches:
+            pair.add(hashes_of(batch))
+        yield from pair.blocks()
+
+    return merged_pairs(df.mapInArrow(fill, "block int, once binary, twice binary"), bits_log2)

@@ -77,7 +77,7 @@ class Encoder:
                 new.append(p)
         parts = list(map(_parts, new))
         words = list({w for x in parts for w in x}.difference(known))
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         code = "HI"[self.dtype.itemsize // 4]
         for word, x in zip(words, found):
             known[word] = array(code, x.ids).tobytes()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import query, table, whole_text, with_fields
+from bantin.llm.common import query, small_parts, table, whole_text, with_fields
 
 ORDER = 4
 # The models are fitted on at most this many labelled texts of each class, of at most this many characters.
@@ -204,11 +204,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, or
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in small_parts(batches, 1_000):
             scores = np.zeros(len(batch))
             if model is not None:
                 scores = model.scores([t or "" for t in batch["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["row"], batch["text"], pa.array(scores, pa.float64())], ["row", "text", "score"])
+        if model is not None:
+            model._words.clear()  # workers live on, and other operators need the room
 
     return rows.mapInArrow(rate, with_fields(rows.schema, score="double"))
 
