@@ -46,11 +46,11 @@ _PROBES = 4
 _BITS_PER_EVENT = 8
 _KEY_BITS = 48
 # N-grams held by a task before they go on, and about as many per block of the hash space.
-_HELD = 4_000_000
+_HELD = 2_000_000
 _PER_BLOCK = 200_000
 _SLICE_BYTES = 4 << 20
 # Tokens of a chunk when scoring, and training tokens for each group of blocks; there are at least 64 groups.
-_CHUNK = 2_000_000
+_CHUNK = 1_000_000
 _PER_GROUP = 16_000_000
 _LEVELS = 128
 
@@ -137,7 +137,7 @@ class FrequentWords:
 def frequent_words(counts: DataFrame, max_words: int) -> FrequentWords:
     """All words with a count of at least some power of two, so chosen that there are at most `max_words`."""
     sizes = counts.groupBy(F.floor(F.log2("c") + 1e-9).cast("int").alias("k")).agg(F.count("*").alias("n")).collect()
-    least, total = 64, 0
+    least, total = 62, 0
     for k, n in sorted(((r.k, r.n) for r in sizes), reverse=True):
         total += n
         if total > max_words:
@@ -217,7 +217,7 @@ def _ngram_runs(texts: DataFrame, counts: DataFrame, frequent, block_bits: int)
 
 def _probes(keys: np.ndarray, level: np.ndarray | int, mask: np.ndarray) -> Iterator[np.ndarray]:
     """Bit places within a block for the event (key, level)."""
-    one = mixed(keys * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(1) * np.asarray(level, np.uint64) * np.uint64(0xC4CEB9FE1A85EC53))
+    one = mixed(keys * np.uint64(0xFF51AFD7ED558CCD) + np.atleast_1d(np.asarray(level, np.uint64)) * np.uint64(0xC4CEB9FE1A85EC53))
     two = mixed(one) | np.uint64(1)
     for i in range(_PROBES):
         yield (one + np.uint64(i) * two) & mask

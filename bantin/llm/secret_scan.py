@@ -29,9 +29,10 @@ _ASSIGN = rf"""(?i){_NAME}\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _ACCESS = r"AKIA[A-Z0-9]+"
 _HEX = r"[0-9a-f]+"
 _SECRET = r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=])"
-# The SQL twin takes a '=' before the run into it, and so misses NAME=<40 characters>.
-_SECRET_OF_TWIN = _SECRET.replace("/+]", "/+=]", 1)
-_ENDPOINT = r"""https?://[^\s"'<>]+|[a-z0-9][a-z0-9.-]*\.amazonaws\.com"""
+_URL = r"""https?://[^\s"'<>]+"""
+_HOST = r"[a-z0-9.-]*[a-z0-9]\.amazonaws\.com"
+# A host is looked for once in a run of its letters, from the start of the run: else long runs take quadratic time.
+_ENDPOINT = rf"{_URL}|(?<![a-z0-9.-]){_HOST}"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 _BLOCK = 256
@@ -72,7 +73,7 @@ def _spans(text: Column, guard: Column, pattern: str, kind: int, keep=None, meas
     return F.coalesce(F.when(guard, found), F.array()).cast(_SPAN)
 
 
-def find_parts(docs: DataFrame, secret_pattern: str = _SECRET) -> DataFrame:
+def find_parts(docs: DataFrame) -> DataFrame:
     """One row per document: `key`, doc_id, `sure` and `weak` spans. Null texts are empty; nothing is left out."""
     text = F.col("_text")
     rows = docs.select(F.col("doc_id"), whole_text().alias("_text"))
@@ -82,7 +83,7 @@ def find_parts(docs: DataFrame, secret_pattern: str = _SECRET) -> DataFrame:
     # Runs too short to count match nothing here, and leave the others where they are.
     long_hex = _spans(text, text.rlike("[0-9a-f]{%d}" % _MIN_HEX), _HEX.replace("+", "{%d,}+" % _MIN_HEX), HEX)
     # Weak parts need an access identifier near them, so other texts need no search.
-    secret = _spans(text, has_access, secret_pattern, SECRET)
+    secret = _spans(text, has_access, _SECRET, SECRET)
     endpoint = _spans(text, has_access & (text.contains("://") | text.contains("amazonaws")), _ENDPOINT, ENDPOINT)
     return rows.select(
         F.monotonically_increasing_id().alias("key"), "doc_id",
@@ -127,14 +128,14 @@ def _listed(spans: Column) -> Column:
     return F.array_join(shown, ",")
 
 
-def scan_secrets(docs: DataFrame, scope: int = SCOPE, secret_pattern: str = _SECRET) -> DataFrame:
+def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Per row: doc_id, `sure` spans and `spans` (sure and linked weak ones), as (start, kind, end).
 
     Null and empty texts have no spans. Repeated rows and rows without a doc_id are answered each on
     its own; other columns are not looked at.
     """
     # Stored without the texts, so that keys are fixed and the texts are read once.
-    found = stored(find_parts(docs, secret_pattern))
+    found = stored(find_parts(docs))
     linked = _linked(found, scope).withColumnRenamed("key", "linked_key")
     joined = found.join(linked, F.col("key") == F.col("linked_key"), "left")
     return joined.select("doc_id", "sure", F.concat("sure", F.coalesce("more", F.array().cast(_SPAN))).alias("spans"))
@@ -158,15 +159,16 @@ _SQL_ASSIGN = (
     f"({'|'.join(map(_either_case, ('password', 'passwd', 'secret', 'token', 'api_?key')))})"
     r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 )
-# The pattern engine of the twin has no look-around: a run of exactly 40 such characters is the same.
-_SQL_SECRET = r"[A-Za-z0-9/+=]+"
+# The pattern engine of the twin has no look-around: a whole run of exactly 40 such characters and no '=' is the same.
+_SQL_SECRET = r"[A-Za-z0-9/+]+=?"
+_SQL_ENDPOINT = f"{_URL}|{_HOST}".replace("'", "''")
 SQL = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 sure AS ({_sql_spans(ASSIGN, _SQL_ASSIGN, f"v[i] >= {_MIN_VALUE}")}
   UNION ALL {_sql_spans(ACCESS, _ACCESS, f"m[i] >= {_MIN_ACCESS}")}
   UNION ALL {_sql_spans(HEX, _HEX, f"m[i] >= {_MIN_HEX}")}),
 weak AS (SELECT doc_id, kind, s, e FROM (SELECT x.*, substring(t.t, s + 1, e - s) AS w FROM ({_sql_spans(SECRET, _SQL_SECRET, "m[i] = 40")}) x JOIN t USING (doc_id)) WHERE NOT contains(w, '=')
-  UNION ALL {_sql_spans(ENDPOINT, _ENDPOINT.replace("'", "''"), "true")}),
+  UNION ALL {_sql_spans(ENDPOINT, _SQL_ENDPOINT, "true")}),
 parts AS (SELECT * FROM sure UNION ALL SELECT * FROM weak),
 linked AS (SELECT * FROM weak WHERE EXISTS (SELECT 1 FROM parts p WHERE p.doc_id = weak.doc_id AND p.kind = {ACCESS} AND abs(p.s - weak.s) <= {SCOPE})
   AND (kind = {SECRET} OR EXISTS (SELECT 1 FROM parts p WHERE p.doc_id = weak.doc_id AND p.kind IN ({ASSIGN}, {SECRET}) AND abs(p.s - weak.s) <= {SCOPE}))),
@@ -180,8 +182,8 @@ FROM t LEFT JOIN shown ON shown.doc_id = t.doc_id GROUP BY t.doc_id
 
 @query(SQL)
 def op8_secret_scan(spark, sf_dir):
-    """Every document's secrets, with the bare secrets of the twin."""
-    found = scan_secrets(table(spark, sf_dir, "documents"), secret_pattern=_SECRET_OF_TWIN)
+    """Every document's secrets."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
 
     def count(kind: int) -> Column:
         return F.size(F.filter("sure", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, merged, mixed, powers, query, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, merged, mixed, powers, query, small_parts, stored, table, whole_text, window_hashes
 from bantin.llm.seen_twice import SeenTwice, seen_twice
 from bantin.llm.suffix_dedup import _sliding_min
 
@@ -72,7 +72,7 @@ def bundles(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, .
 def _bundle_rows(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in small_parts(batches, 1_000):
             found, names = [], []
             for same, text in zip(batch["same"].to_pylist(), as_bytes(batch["text"])):
                 # The second copy shows that all is repeated; more would say no more.
@@ -104,13 +104,13 @@ def _members(df: DataFrame, column: str) -> SeenTwice:
     return seen_twice(df.select(column), lambda b: np.repeat(_name_hashes(b[column]), 2))
 
 
-def _only(df: DataFrame, column: str, known: SeenTwice, inside: bool = True) -> DataFrame:
-    """The rows whose name the filter may know, or those whose name it surely does not."""
+def _only(df: DataFrame, column: str, known: SeenTwice) -> DataFrame:
+    """The rows whose name the filter may know."""
     shared = df.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(shared.value.has(_name_hashes(batch[column])) == inside))
+        for batch in small_parts(batches, 5_000):
+            yield batch.filter(pa.array(shared.value.has(_name_hashes(batch[column]))))
 
     return df.mapInArrow(run, df.schema)
 
@@ -196,31 +196,33 @@ _RESULT = "doc_id long, same binary, n_words long, n_removed long, removed array
 _CHECKED = "checked array<struct<start:long,path:long,digest:binary>>"
 
 
-def _cut(texts: DataFrame) -> DataFrame:
-    """Texts without their spans, and the digest of the words of each span."""
+def _cut(texts: DataFrame, left_out: SeenTwice | None = None) -> DataFrame:
+    """Texts without their spans, and the digest of the words of each span; not those the filter may know."""
+    shared = texts.sparkSession.sparkContext.broadcast(left_out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
         checks = pa.list_(pa.struct([("start", pa.int64()), ("path", pa.int64()), ("digest", pa.binary())]))
-        for whole in batches:
-            for batch in (whole.slice(at, 1_000) for at in range(0, len(whole), 1_000)):
-                n_words, n_removed, removed, kept, checked = [], [], [], [], []
-                for text, spans in zip(as_bytes(batch["text"]), batch["spans"].to_pylist()):
-                    words = text.split()
-                    places = [(s["start"], s["start"] + s["words"], s["path"]) for s in spans or []]
-                    checked.append([{"start": a, "path": p, "digest": xxhash.xxh3_128_digest(b" ".join(words[a:b]))} for a, b, p in places])
-                    gone = merged([(a, b) for a, b, _ in places])
-                    removed.append([{"a": a, "b": b} for a, b in gone])
-                    n_words.append(len(words))
-                    n_removed.append(sum(b - a for a, b in gone))
-                    for a, b in reversed(gone):
-                        del words[a:b]
-                    kept.append(b" ".join(words))
-                columns = [
-                    batch["doc_id"], batch["same"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(removed, runs),
-                    pa.array(kept, pa.binary()).view(pa.string()), pa.array(checked, checks),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n_words", "n_removed", "removed", "kept", "checked"])
+        for batch in small_parts(batches, 1_000):
+            if shared.value is not None:
+                batch = batch.filter(pa.array(~shared.value.has(_name_hashes(batch["same"]))))
+            n_words, n_removed, removed, kept, checked = [], [], [], [], []
+            for text, spans in zip(as_bytes(batch["text"]), batch["spans"].to_pylist()):
+                words = text.split()
+                places = [(s["start"], s["start"] + s["words"], s["path"]) for s in spans or []]
+                checked.append([{"start": a, "path": p, "digest": xxhash.xxh3_128_digest(b" ".join(words[a:b]))} for a, b, p in places])
+                gone = merged([(a, b) for a, b, _ in places])
+                removed.append([{"a": a, "b": b} for a, b in gone])
+                n_words.append(len(words))
+                n_removed.append(sum(b - a for a, b in gone))
+                for a, b in reversed(gone):
+                    del words[a:b]
+                kept.append(b" ".join(words))
+            columns = [
+                batch["doc_id"], batch["same"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(removed, runs),
+                pa.array(kept, pa.binary()).view(pa.string()), pa.array(checked, checks),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "n_words", "n_removed", "removed", "kept", "checked"])
 
     return texts.select("doc_id", "same", "text", "spans").mapInArrow(run, f"{_RESULT}, {_CHECKED}")
 
@@ -256,7 +258,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = A
     wrong = stored(places.groupBy("path", "digest").count().where("count < 2").select("path").distinct())
     if not wrong.isEmpty():
         cut = _cut(hit.join(_told_by_windows(hit, spans, wrong, window), "same", "left"))
-    others = _cut(_only(texts, "same", known, inside=False).withColumn("spans", F.lit(None).cast(_SPANS)))
+    others = _cut(texts.withColumn("spans", F.lit(None).cast(_SPANS)), left_out=known)
     return cut.unionByName(others).drop("checked", "same")
 
 

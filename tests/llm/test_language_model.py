@@ -106,3 +106,10 @@ def test_scores_do_not_depend_on_the_size_of_a_part(spark, monkeypatch):
     for r in frame.select("doc_id", "text").collect():
         own = np.array([L.WORD_HASHES[w] if w else int(L.END) for w in tokens(r.text)], np.uint64)
         assert math.isclose(model.log_probabilities(own).sum(), wide[r.doc_id], rel_tol=1e-9)
+
+
+def test_no_room_for_frequent_words(spark):
+    """More words in the topmost class of counts than may be broadcast: all are looked up by the join."""
+    frame = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
+    few, many = (sorted((r.doc_id, round(r.base_score, 9)) for r in L.score(frame, F.lit(True), max_words=m).collect()) for m in (1, 1000))
+    assert few == many

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -34,7 +35,8 @@ TEXTS = [
     "token=abc secret=token:abcdefgh1 PassWord : 'longenough1'", "api_key=\"abcdefgh\" apikey=12345678 toKen==========",
     "a" * 31 + " " + "0123456789abcdef" * 2 + "g" + "f" * 40, "AKIA123 AKIAAKIAAKIAAKIA1 AKIASHORTAKIA", f"password={AKIA}",
     "ſecret=abcdefgh toKen=abcdefgh", f"{AKIA} bucket.s3.amazonaws.com token=abcdefgh1", " ".join(["deadbeef" * 4, AKIA, KEY] * 700),
-    "token=" * 50 + "x",
+    "token=" * 50 + "x", f"ID={AKIA} KEY={KEY} a.b-c.amazonaws.com", f"{AKIA} {KEY} -x.amazonaws.com .amazonaws.com a..amazonaws.com.amazonaws.comx",
+    f"{AKIA} KEY=={KEY} KEY={KEY}= {KEY[1:]}= =={KEY[:-1]}",
 ]
 
 
@@ -79,3 +81,14 @@ def test_compact_pairs(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: [(S.KINDS[s.kind], texts[r.doc_id][s.start : s.end]) for s in sorted(r.spans)] for r in S.scan_secrets(frame).collect()}
     assert got == {0: [("access", AKIA), ("secret", KEY), ("endpoint", "https://s3.example/x")], 1: [("access", AKIA), ("secret", KEY)], 2: [("access", AKIA)], 3: []}
+
+
+def test_long_runs_take_linear_time(spark):
+    runs = ["a" * 1_000_000, "a-" * 500_000, "A" * 1_000_000, "/" * 1_000_000, ("a" * 39 + "=") * 20_000]
+    texts = [f"{AKIA} amazonaws :// {x} {AKIA} token=" for x in runs]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    S.scan_secrets(frame.limit(0)).collect()
+    started = time.time()
+    found = S.scan_secrets(frame).collect()
+    assert len(found) == len(runs) and time.time() - started < 20
+    assert all((0, S.ACCESS, 20) in [tuple(s) for s in r.sure] for r in found)
