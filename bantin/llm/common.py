@@ -108,6 +108,22 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def cached(name: str, clear: Callable[[], None]) -> None:
+    """Name a table that workers keep between tasks, and how to empty it."""
+    _CACHES[name] = clear
+
+
+def claim(name: str) -> None:
+    """Empty the tables that other operators have left in this worker: it lives on from job to job."""
+    for other, clear in _CACHES.items():
+        if other != name:
+            clear()
+    pa.default_memory_pool().release_unused()
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered while there are not too many."""
 
@@ -122,6 +138,7 @@ class WordHashes(dict):
 
 
 WORD_HASHES = WordHashes()
+cached("words", WORD_HASHES.clear)
 
 
 def powers(n: int, base: int) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, mixed, query, small_parts, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, claim, mixed, query, small_parts, stored, table, whole_text, window_hashes
 from bantin.llm.components import connected_components
 from bantin.llm.seen_twice import Pair, SeenTwice, merged_pairs, seen_twice
 
@@ -120,6 +120,7 @@ def _all_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(rows, t) for k, t in empty.items()], list(empty))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("words")
         bands, met, pair = Bands(percent), set(), Pair()
         for batch in small_parts(batches):
             sizes, names, tiles = [], [], [np.empty(0, np.uint64)]
@@ -140,7 +141,7 @@ def _all_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _tile_rows(docs: DataFrame, n: int, percent: int, known: SeenTwice) -> DataFrame:
-    """tile and same, once per class and task, of tiles that the filter may have seen twice."""
+    """tile and same, once per class and task, of tiles that the filter may have seen twice; stored."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,11 +158,13 @@ def _tile_rows(docs: DataFrame, n: int, percent: int, known: SeenTwice) -> DataF
                     classes.append(np.full(len(tiles[-1]), same, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tiles).view(np.int64)), pa.array(np.concatenate(classes))], ["tile", "same"])
 
-    return docs.select("text").mapInArrow(run, "tile long, same long")
+    out = stored(docs.select("text").mapInArrow(run, "tile long, same long"))
+    shared.destroy()
+    return out
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """same, n, bits (bitmap) and hashes (sorted, 64-bit) of the given classes, once each."""
+    """same, n, bits (bitmap) and hashes (sorted, 64-bit) of the given classes, once each, stored."""
     known = seen_twice(classes, lambda b: np.repeat(mixed(b["same"].to_numpy().view(np.uint64)), 2))
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -180,7 +183,9 @@ def _sets_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["same", "n", "bits", "hashes"])
 
     found = docs.select("text").mapInArrow(run, "same long, n long, bits binary, hashes binary")
-    return found.dropDuplicates(["same"]).join(classes, "same", "left_semi")
+    out = stored(found.dropDuplicates(["same"]).join(classes, "same", "left_semi"))
+    shared.destroy()
+    return out
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -221,8 +226,11 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
     n = tiles.count()
     rooted = tiles.join(roots.select(F.col("node").alias("same"), "root"), "same", "left").withColumn("root", F.coalesce("root", "same"))
     rooted = stored(rooted, n)
-    open_ = rooted.groupBy("tile").agg((F.min("root") != F.max("root")).alias("open"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    open_ = rooted.join(stored(open_.where("open").select("tile", "blocks"), n), "tile").select("tile", "same", "root", "blocks")
+    # Near copies share many tiles: of those with the same members (told by 128 bits) one is enough.
+    members = [F.bit_xor(F.xxhash64(F.lit(k), "same")).alias(f"_m{k}") for k in (0, 1)]
+    open_ = rooted.groupBy("tile").agg((F.min("root") != F.max("root")).alias("open"), F.count("*").alias("m"), *members)
+    open_ = stored(open_.where("open").groupBy("m", "_m0", "_m1").agg(F.min("tile").alias("tile")), n)
+    open_ = rooted.join(open_.select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "tile").select("tile", "same", "root", "blocks")
     own = F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int")
     # Each block meets every block once: as the first of a pair of blocks, or as the second.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
@@ -283,13 +291,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     first = stored(_all_sets(texts, words, percent))
     all_sets = first.where("block IS NULL").select("doc_id", "n_shingles", "same")
     known = merged_pairs(first.where("block IS NOT NULL").select("block", "once", "twice"))
-    rows = stored(_tile_rows(texts, words, percent, known))
+    rows = _tile_rows(texts, words, percent, known)
     # Grouped, not windowed: a tile that very many sets share is counted in parts, and its join is split.
     met = rows.groupBy("tile").agg((F.min("same") != F.max("same")).alias("met")).where("met").select("tile")
     tiles = stored(rows.join(stored(met), "tile").distinct())
     n = tiles.count()
     shared = stored(tiles.groupBy("same").agg(F.count("*").alias("n_tiles")), n)
-    sets = stored(_sets_of(texts, shared.select("same"), words))
+    sets = _sets_of(texts, shared.select("same"), words)
     counted = stored(tiles.join(shared, "same"), n)
     leaders = stored(counted.groupBy("tile").agg(F.max(F.struct("n_tiles", "same"))["same"].alias("leader")), n)
     stars = counted.join(leaders, "tile").where("same <> leader")

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import as_bytes, query, stored, table, whole_text, with_fields
+from bantin.llm.common import as_bytes, claim, query, small_parts, stored, table, whole_text, with_fields
 from bantin.llm.seen_twice import BITS_LOG2, seen_twice
 
 MIN_CHARS = 20
@@ -55,7 +55,8 @@ def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     found = spark.sparkContext.broadcast(seen_twice(texts.select("text"), per_batch, bits_log2))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        claim("lines")
+        for batch in small_parts(batches):
             rows: list[tuple] = []
             for doc, text in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"])):
                 keys = list(_keys(text, min_chars))
@@ -87,7 +88,7 @@ def without_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs:
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_parts(batches):
             texts, n_lines, n_dropped = [], [], []
             for text, keys in zip(as_bytes(batch["text"]), batch["keys"].to_pylist()):
                 lines = (text or b"").split(b"\n")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, merged, mixed, powers, query, small_parts, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, claim, merged, mixed, powers, query, small_parts, stored, table, whole_text, window_hashes
 from bantin.llm.seen_twice import SeenTwice, seen_twice
 from bantin.llm.suffix_dedup import _sliding_min
 
@@ -71,6 +71,7 @@ def bundles(hashes: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, .
 
 def _bundle_rows(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("words")
         met: dict[bytes, int] = {}
         for batch in small_parts(batches, 1_000):
             found, names = [], []

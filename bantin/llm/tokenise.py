@@ -10,6 +10,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from bantin.llm.common import cached, claim
+
 # Words remembered in a worker: so many recent ones, and as many from before. Only speed depends on it.
 _KEPT_WORDS = 700_000
 # Texts are split into words this many bytes at a time.
@@ -98,6 +100,14 @@ def _parts(piece: bytes) -> tuple[bytes, ...]:
 
 
 @functools.lru_cache(maxsize=2)
+def _kept(path: str) -> Encoder:
+    return Encoder(path)
+
+
+cached("tokens", _kept.cache_clear)
+
+
 def encoder(path: str) -> Encoder:
     """The worker's own encoder."""
-    return Encoder(path)
+    claim("tokens")
+    return _kept(path)

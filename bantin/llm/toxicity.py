@@ -18,10 +18,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bantin.llm.common import query, small_parts, table, whole_text, with_fields
+from bantin.llm.common import claim, query, small_parts, table, whole_text, with_fields
 
 ORDER = 4
 # The models are fitted on at most this many labelled texts of each class, of at most this many characters.
@@ -32,9 +32,9 @@ _HELD_BACK = 4
 _WORD = re.compile(r"[^\W\d_]+")
 _KEPT_WORDS = 500_000
 _START, _END = "<", ">"
-# Evidence of a word within this many natural-log units is no evidence: the classes' samples differ
-# that much in their shares of languages and topics.
-DEAD_ZONE = 2.0
+# Evidence of a word within so many natural-log units is no evidence: the classes' samples differ in
+# their shares of languages and topics. Which of these is right is fitted, with the curve, on held-back texts.
+DEAD_ZONES = (0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0)
 
 
 def words_of(text: str) -> list[str]:
@@ -105,11 +105,11 @@ class Model:
         a, b = (_Class(w, order, shared, 1 / total) for w in (toxic, ordinary))
         self.seen = {g: math.log(a.p(g) / b.p(g)) for g in a.counts.keys() | b.counts.keys()}
         self.context = {h: math.log(a.backoff(h) / b.backoff(h)) for h in a.total.keys() | b.total.keys()}
-        self.curve = np.zeros(4)
+        self.curve, self.dead_zone = np.zeros(4), 0.0
         self._words: dict[str, float] = {}
 
     def word(self, word: str) -> float:
-        """Evidence of one word, shrunk by `DEAD_ZONE`."""
+        """Evidence of one word, shrunk by the dead zone."""
         known = self._words.get(word)
         if known is None:
             if len(self._words) >= _KEPT_WORDS:
@@ -121,7 +121,7 @@ class Model:
                     known += self.context.get(g[:-1], 0.0)
                     g = g[1:]
                 known += self.seen.get(g, 0.0)
-            known = math.copysign(max(0.0, abs(known) - DEAD_ZONE), known)
+            known = math.copysign(max(0.0, abs(known) - self.dead_zone), known)
             self._words[word] = known
         return known
 
@@ -136,8 +136,18 @@ class Model:
         size = np.log1p(found[:, 1])
         return np.stack([np.ones(len(found)), found[:, 0], size, found[:, 0] * size], axis=1)
 
-    def fit_curve(self, texts: list[str], toxic: np.ndarray, share: float) -> None:
-        """Logistic regression by Newton's method; each class weighs as much as it has in all labels."""
+    def fit(self, texts: list[str], toxic: np.ndarray, share: float) -> None:
+        """The dead zone and curve that give the texts' labels the largest likelihood, and of equal ones the smaller zone."""
+        tried = []
+        for zone in DEAD_ZONES:
+            self.dead_zone = zone
+            self._words.clear()
+            tried.append((self.fit_curve(texts, toxic, share), zone, self.curve))
+        self._words.clear()
+        _, self.dead_zone, self.curve = min(tried, key=lambda t: t[:2])
+
+    def fit_curve(self, texts: list[str], toxic: np.ndarray, share: float) -> float:
+        """Logistic regression by Newton's method; each class weighs as much as it has in all labels. Returns the loss."""
         x, y = self.features(texts), toxic.astype(float)
         weight = np.where(y == 1, share / max(1, y.sum()), (1 - share) / max(1, (1 - y).sum())) * len(y)
         ridge = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
@@ -147,6 +157,8 @@ class Model:
             slope = x.T @ (weight * (y - p)) - ridge @ self.curve
             step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge + 1e-9 * np.eye(4), slope)
             self.curve += np.clip(step, -5, 5)
+        z = np.clip(x @ self.curve, -500, 500)
+        return float((weight * (np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - y * z)).sum())
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.curve, -500, 500)))
@@ -167,7 +179,10 @@ def labelled_sample(
     chosen = [sure.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for k in (0, 1)]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).where(F.length("text") <= sample_chars)
-    rows = texts.join(ids, "doc_id").select("toxic", "text").distinct().orderBy(F.xxhash64("text"), "text", "toxic").collect()
+    # Many rows may share an id: the texts are limited as well, in each task before they are brought together.
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("text"), "text")
+    ranked = texts.join(ids, "doc_id").select("toxic", "text").distinct().withColumn("rank", F.row_number().over(order))
+    rows = sorted(ranked.where(F.col("rank") <= sample_docs).collect(), key=lambda r: (r.toxic, r.rank))
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return [(r.toxic, r.text) for r in rows], share
 
@@ -185,8 +200,7 @@ def train(sample: list[tuple[int, str]], share: float, order: int = ORDER) -> Mo
         return None
     model = Model(counts[1], counts[0], order)
     texts = [*parts[0, True], *parts[1, True]]
-    model.fit_curve(texts, np.repeat([0, 1], [len(parts[0, True]), len(parts[1, True])]), share)
-    model._words.clear()
+    model.fit(texts, np.repeat([0, 1], [len(parts[0, True]), len(parts[1, True])]), share)
     return model
 
 
@@ -203,6 +217,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, or
     rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), F.col("text").cast("string").alias("text"))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         model = shared.value
         for batch in small_parts(batches, 1_000):
             scores = np.zeros(len(batch))

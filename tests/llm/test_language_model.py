@@ -113,3 +113,45 @@ def test_no_room_for_frequent_words(spark):
     frame = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
     few, many = (sorted((r.doc_id, round(r.base_score, 9)) for r in L.score(frame, F.lit(True), max_words=m).collect()) for m in (1, 1000))
     assert few == many
+
+
+def witten_bell(docs, learned):
+    """Scores from exact counts, of which only the quantising to levels is the filter's."""
+    words, pairs = Counter(), Counter()
+    for (_, text), x in zip(docs, learned):
+        if x:
+            own = tokens(text)
+            words.update(own)
+            pairs.update(zip([None, *own[:-1]], own))
+    level = lambda c: int(L.level_of(np.array([c]))[0])
+    kinds, events = Counter(), Counter()
+    for (before, _), c in pairs.items():
+        kinds[level(words[before])] += 1
+        events[level(words[before])] += c
+    ratio, last = {}, sum(kinds.values()) / max(1, sum(events.values()))
+    for k in range(L._LEVELS + 1):
+        ratio[k] = last = kinds[k] / events[k] if events[k] else last
+    n, v = sum(words.values()), len(words)
+    out = {}
+    for doc, text in docs:
+        own, total = tokens(text), 0.0
+        for before, word in zip([None, *own[:-1]], own):
+            lower = (L._EXPECTED[level(words[word])] + v / (v + 1)) / (n + v)
+            seen = L._EXPECTED[level(words[before])]
+            pair = min(L._EXPECTED[level(min(pairs[before, word], words[before], words[word]))], seen)
+            more = seen * ratio[level(words[before])]
+            total += math.log10((pair + more * lower) / (seen + more) if seen else lower)
+        out[doc] = total
+    return out
+
+
+def test_scores_are_those_of_exact_counts(spark):
+    """Only a hit the filter should not have had may make a probability larger, and that is rare."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join(rng.choice(vocabulary, size=rng.integers(0, 60), p=(lambda p: p / p.sum())(1 / np.arange(1, 401))))) for i in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in L.score(frame, F.col("doc_id") % 4 != 1).collect()}
+    want = witten_bell(docs, [i % 4 != 1 for i, _ in docs])
+    off = np.array([abs(got[i] - want[i]) / abs(want[i]) for i, _ in docs])
+    assert (off < 1e-9).mean() > 0.5 and off.max() < 0.15 and abs(sum(got.values()) / sum(want.values()) - 1) < 0.01

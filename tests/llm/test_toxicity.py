@@ -37,6 +37,7 @@ def test_probabilities_sum_to_one():
 def test_model_is_its_classes_ratio():
     toxic, ordinary = Counter(["zorgel", "zorgan", "el"]), Counter(["el", "an", "anel"])
     model = T.Model(toxic, ordinary, order=3)
+    model.dead_zone = 0.5
     letters = Counter()
     for words in (toxic, ordinary):
         letters.update({g: n for g, n in T._counts(words, 3).items() if len(g) == 1})
@@ -47,7 +48,7 @@ def test_model_is_its_classes_ratio():
         grams = [shown[max(0, e - 3) : e] for e in range(2, len(shown) + 1)]
         want = sum(math.log(a.p(g) / b.p(g)) for g in grams)
         got = model.word(word)
-        assert math.isclose(got, math.copysign(max(0, abs(want) - T.DEAD_ZONE), want), abs_tol=1e-9)
+        assert math.isclose(got, math.copysign(max(0, abs(want) - 0.5), want), abs_tol=1e-9)
 
 
 def test_held_out_accuracy_and_odd_rows(spark):
@@ -66,6 +67,44 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert sum(i in left for i, x in truth.items() if x) <= 0.03 * sum(truth.values())
 
 
+def test_scores_are_those_of_plain_models(spark):
+    """The whole score, from the sample on, by Kneser-Ney in its plain form and the fitted curve."""
+    rows = corpus(3, 300)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    sample, share = T.labelled_sample(docs, labels, F.lit(True))
+    assert sorted(sample) == sorted((x, t) for _, t, x in rows) and share == sum(x for _, _, x in rows) / len(rows)
+    model = T.train(sample, share)
+    learned = {k: [t for i, t in enumerate(t for x, t in sample if x == k) if i % 4 != 1] for k in (0, 1)}
+    words = {k: Counter(w for t in learned[k] for w in t.lower().split()) for k in (0, 1)}
+    letters = Counter()
+    for k in (0, 1):
+        letters.update({g: n for g, n in T._counts(words[k], T.ORDER).items() if len(g) == 1})
+    total = sum(letters.values()) + 1
+    plain = {k: T._Class(words[k], T.ORDER, {x: n / total for x, n in letters.items()}, 1 / total) for k in (0, 1)}
+
+    def evidence(word):
+        shown = f"<{word}>"
+        ratio = sum(math.log(plain[1].p(g) / plain[0].p(g)) for g in (shown[max(0, e - T.ORDER) : e] for e in range(2, len(shown) + 1)))
+        return math.copysign(max(0, abs(ratio) - model.dead_zone), ratio)
+
+    assert model.dead_zone in T.DEAD_ZONES
+    got = {r.doc_id: r.score for r in T.toxicity(docs, labels).select("row.doc_id", "score").collect()}
+    for i, text, _ in rows[:40]:
+        own = text.lower().split()
+        mean, size = sum(map(evidence, own)) / len(own), math.log1p(len(own))
+        z = model.curve @ [1, mean, size, mean * size]
+        assert math.isclose(got[i], 1 / (1 + math.exp(-z)), rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_one_label_on_very_many_texts(spark):
+    """Rows that share a labelled id do not make the sample larger than asked for."""
+    docs = spark.createDataFrame([(1, f"zorg{i} la") for i in range(500)] + [(i, f"el an{i}") for i in range(2, 50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] + [(i, 0) for i in range(2, 50)], "doc_id long, toxic int")
+    sample, _ = T.labelled_sample(docs, labels, F.lit(True), sample_docs=20)
+    assert Counter(x for x, _ in sample) == {0: 20, 1: 20}
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
