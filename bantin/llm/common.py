@@ -78,7 +78,19 @@ def stored(df: DataFrame, rows: int | None = None) -> DataFrame:
     folder = shared_folder(df.sparkSession)
     kept = df if rows is None else df.coalesce(rows // _ROWS_A_TASK + 1)
     kept.write.option("parquet.block.size", _ROW_GROUP).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.__dict__["stored_in"] = folder
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored rows that nothing needs any more: all that was made of them is stored itself."""
+    for frame in frames:
+        folder = frame.__dict__.pop("stored_in", None)
+        if folder:
+            spark = frame.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import stored
+from bantin.llm.common import discard, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -29,12 +29,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     n = before[0]  # few edges need few tasks
     while True:
         ways = stored(_both_ways(edges), 2 * n)
-        least = stored(ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), 2 * n)
-        large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        first = stored(ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), 2 * n)
+        large = ways.join(first, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = stored(large, n)
         least = stored(large.groupBy("a").agg(F.min("b").alias("m")), n)
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), n)
+        edges, old = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), n), edges
+        discard(old, ways, first, large, least)
         after = _state(edges)
         if after == before:
             break

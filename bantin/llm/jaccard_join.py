@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, claim, mixed, query, small_parts, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, claim, discard, mixed, query, small_parts, stored, table, whole_text, window_hashes
 from bantin.llm.components import connected_components
 from bantin.llm.seen_twice import Pair, SeenTwice, merged_pairs, seen_twice
 
 WORDS, PERCENT = 3, 90
 BLOCK = 512
+# Tiles are many: their filters have 32 MB each.
+TILE_BITS = 28
 _MAX_BITS = 16_384
 # Pairs of a class and another group, in order of their bitmaps' difference, that are tried in a round.
 _ROUNDS = [(0, 1), (1, 16), (16, None)]
@@ -121,7 +123,7 @@ def _all_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("words")
-        bands, met, pair = Bands(percent), set(), Pair()
+        bands, met, pair = Bands(percent), set(), Pair(TILE_BITS)
         for batch in small_parts(batches):
             sizes, names, tiles = [], [], [np.empty(0, np.uint64)]
             for text in as_bytes(batch["text"]):
@@ -214,11 +216,13 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     light = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
     left = stored(light.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long"), 100 * pairs.count())
     heavy = left.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b")
-    return stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"), 100 * left.count())
+    out = stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"), 100 * left.count())
+    discard(left)
+    return out
 
 
 def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, closest: tuple[int, int | None]) -> DataFrame:
-    """Pairs of classes that share a tile, are not joined yet, and that their bitmaps do not part.
+    """Pairs of classes that share a tile, are not joined yet, and that their bitmaps do not part; stored.
 
     For each class and other group only the pairs at these places in the order of difference. A place
     never moves forward when groups are joined, so all places in turn miss no pair.
@@ -229,8 +233,8 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
     # Near copies share many tiles: of those with the same members (told by 128 bits) one is enough.
     members = [F.bit_xor(F.xxhash64(F.lit(k), "same")).alias(f"_m{k}") for k in (0, 1)]
     open_ = rooted.groupBy("tile").agg((F.min("root") != F.max("root")).alias("open"), F.count("*").alias("m"), *members)
-    open_ = stored(open_.where("open").groupBy("m", "_m0", "_m1").agg(F.min("tile").alias("tile")), n)
-    open_ = rooted.join(open_.select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "tile").select("tile", "same", "root", "blocks")
+    chosen = stored(open_.where("open").groupBy("m", "_m0", "_m1").agg(F.min("tile").alias("tile")), n)
+    open_ = rooted.join(chosen.select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "tile").select("tile", "same", "root", "blocks")
     own = F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int")
     # Each block meets every block once: as the first of a pair of blocks, or as the second.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
@@ -275,7 +279,9 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
                 rows.append(row)
         yield from flush(compare(rows))
 
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+    out = stored(grouped.mapInArrow(run, "a long, b long").distinct(), 100 * n)
+    discard(rooted, chosen)
+    return out
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -290,11 +296,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     first = stored(_all_sets(texts, words, percent))
     all_sets = first.where("block IS NULL").select("doc_id", "n_shingles", "same")
-    known = merged_pairs(first.where("block IS NOT NULL").select("block", "once", "twice"))
+    known = merged_pairs(first.where("block IS NOT NULL").select("block", "once", "twice"), TILE_BITS)
     rows = _tile_rows(texts, words, percent, known)
     # Grouped, not windowed: a tile that very many sets share is counted in parts, and its join is split.
-    met = rows.groupBy("tile").agg((F.min("same") != F.max("same")).alias("met")).where("met").select("tile")
-    tiles = stored(rows.join(stored(met), "tile").distinct())
+    met = stored(rows.groupBy("tile").agg((F.min("same") != F.max("same")).alias("met")).where("met").select("tile"))
+    tiles = stored(rows.join(met, "tile").distinct())
+    discard(rows, met)
     n = tiles.count()
     shared = stored(tiles.groupBy("same").agg(F.count("*").alias("n_tiles")), n)
     sets = _sets_of(texts, shared.select("same"), words)
@@ -302,15 +309,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     leaders = stored(counted.groupBy("tile").agg(F.max(F.struct("n_tiles", "same"))["same"].alias("leader")), n)
     stars = counted.join(leaders, "tile").where("same <> leader")
     stars = stored(stars.select(F.least("leader", "same").alias("a"), F.greatest("leader", "same").alias("b")).distinct(), n)
-    roots = stored(connected_components(_links(stars, sets, percent)), n)
+    discard(shared, counted, leaders)
+    links = _links(stars, sets, percent)
+    roots = stored(connected_components(links), n)
+    discard(stars, links)
     for closest in _ROUNDS:
-        pairs = stored(_unjoined_pairs(tiles, sets, roots, percent, closest), 100 * n)
+        pairs = _unjoined_pairs(tiles, sets, roots, percent, closest)
         if pairs.isEmpty():
             break
         more = _links(pairs, sets, percent)
         if not more.isEmpty():
             nodes = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = stored(connected_components(nodes.unionByName(more)), n)
+            roots, old = stored(connected_components(nodes.unionByName(more)), n), roots
+            discard(old)
+        discard(pairs, more)
+    discard(tiles, sets)
 
     classes = all_sets.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("first_id"))
     rooted = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
