@@ -74,7 +74,8 @@ def parse_date(journal, text, route: str = "stream") -> Column:
 def parse_date_any(text, honour_offset: bool = False) -> Column:
     """Read any of the known styles: day-first dates, epoch seconds, ISO; NULL otherwise.
 
-    Offsets are dropped (site wall time) unless `honour_offset` is set.
+    Offsets are dropped (site wall time) unless `honour_offset` is set. The shape of the text chooses the
+    one parser it goes to: only day-first dates have a slash, only ISO dates start with a year.
     """
     clean = normalise_spaces(text)
     bare = F.regexp_replace(clean, _OFFSET_AFTER_CLOCK, "$1")
@@ -85,17 +86,22 @@ def parse_date_any(text, honour_offset: bool = False) -> Column:
         seconds <= F.lit(_MAX_EPOCH_SECONDS),
         F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone()),
     )
-    iso = F.when(bare.rlike("^[0-9]{4}-"), bare).try_cast("timestamp_ntz").cast("timestamp")
+    iso = bare.try_cast("timestamp_ntz").cast("timestamp")
+    has_slash, has_year_first = F.contains(clean, F.lit("/")), bare.rlike("^[0-9]{4}-")
     if not honour_offset:
-        return F.coalesce(day_first, epoch, iso)
+        return F.when(has_slash, day_first).when(is_number, epoch).when(has_year_first, iso)
     zoned_text = F.regexp_replace(
         F.regexp_replace(clean, r" ?\(?(?:GMT)?([+-][0-9]{2}):?([0-9]{2})\)?$", "$1:$2"), "Z$", "+00:00"
     )
-    zoned = F.coalesce(
-        F.try_to_timestamp(zoned_text, F.lit("d/M/yyyy H:mm[:ss]xxx")),
-        F.try_to_timestamp(zoned_text, F.lit("yyyy-MM-dd'T'HH:mm[:ss]xxx")),
+    has_offset = zoned_text.rlike("[+-][0-9]{2}:[0-9]{2}$")
+    zoned_day_first = F.when(has_offset, F.try_to_timestamp(zoned_text, F.lit("d/M/yyyy H:mm[:ss]xxx")))
+    zoned_iso = F.when(has_offset, F.try_to_timestamp(zoned_text, F.lit("yyyy-MM-dd'T'HH:mm[:ss]xxx")))
+    # What has an offset in a style of its own is read without it.
+    return (
+        F.when(has_slash, F.coalesce(zoned_day_first, day_first))
+        .when(is_number, epoch)
+        .when(has_year_first, F.coalesce(zoned_iso, iso))
     )
-    return F.coalesce(zoned, day_first, epoch, iso)
 
 
 def parse_day(journal, text, route: str = "store") -> Column:

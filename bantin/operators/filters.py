@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bantin.catalogue import DOMAIN_STOP_WORDS, JOURNALS
-from bantin.functions.columns import as_column, string_array
+from bantin.functions.columns import as_column
 from bantin.functions.urls import keep_link
 from bantin.schema import REQUIRED_COLUMNS
 
@@ -44,9 +44,7 @@ def without_required_columns(articles: DataFrame, columns: Sequence[str] = tuple
 
 def keyword_filter(keywords, min_score: float = 0.5, stop_phrases: Sequence[str] = tuple(DOMAIN_STOP_WORDS)) -> Column:
     """Phrases scored strictly above `min_score` that are not, letter for letter, stop phrases."""
-    stop = string_array(list(stop_phrases))
-    good = F.filter(
-        as_column(keywords),
-        lambda k: (k["score"] > min_score) & ~F.array_contains(stop, k["keyword"]),
-    )
+    # The score first, as it is cheap; a membership test, which Spark makes a set of, not a search of an array.
+    stop = list(stop_phrases)
+    good = F.filter(as_column(keywords), lambda k: (k["score"] > min_score) & ~k["keyword"].isin(stop))
     return F.transform(good, lambda k: k["keyword"])

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bantin.functions.urls import listing_url
-from bantin.operators.skew import lookup_join
+from bantin.sources.workspace import materialise
 
 # Journals whose sections end at a listing page with one link, and at a repeated page.
 ENDS_AT_SINGLE_LINK = ["baodautu", "saigontimes"]
@@ -94,22 +94,39 @@ def stop_at_repeat(
     own rule is used instead: some sites watch for repeats, some for single links. With
     `gap_ends` a page that could not be fetched (a missing number) ends the section as well.
     """
-    pages = with_previous_page(listings, section, page, urls)
-    links = F.coalesce(F.size(urls), F.lit(0))
-    repeats = F.coalesce(F.col(urls) == F.col("prev_urls"), F.lit(False))
-    if journal is None:
-        stop = (links < min_links) | repeats
-    else:
-        stop = (
-            (links < 1)
-            | (F.col(journal).isin(*ENDS_AT_SINGLE_LINK) & (links < 2))
-            | (F.col(journal).isin(*ENDS_AT_REPEAT) & repeats)
-        )
-    if gap_ends:
-        stop = stop | F.coalesce(F.col(page) > F.col("prev_page") + 1, F.lit(False))
-    ends = pages.where(stop).groupBy(section).agg(F.min(page).alias("_stop"))
+    # One aggregate per run of pages holds its first and last page and its earliest stop; then the runs of
+    # a section are passed over, each with the last page of the run before it.
+    fields = [F.col(page).alias("page"), F.col(urls).alias("urls")]
+    if journal is not None:
+        fields.append(F.col(journal).alias("journal"))
+    pages = listings.select(F.col(section).alias("_section"), F.floor(F.col(page) / _RUN).alias("_run"), F.struct(*fields).alias("_at"))
+    inside = W.partitionBy("_section", "_run").orderBy("_at.page")
+
+    def stop(at: str, before: str) -> Column:
+        links = F.coalesce(F.size(f"{at}.urls"), F.lit(0))
+        repeats = F.coalesce(F.col(f"{at}.urls") == F.col(f"{before}.urls"), F.lit(False))
+        if journal is None:
+            found = (links < min_links) | repeats
+        else:
+            found = (
+                (links < 1)
+                | (F.col(f"{at}.journal").isin(*ENDS_AT_SINGLE_LINK) & (links < 2))
+                | (F.col(f"{at}.journal").isin(*ENDS_AT_REPEAT) & repeats)
+            )
+        if gap_ends:
+            found = found | F.coalesce(F.col(f"{at}.page") > F.col(f"{before}.page") + 1, F.lit(False))
+        return F.when(found, F.col(f"{at}.page"))
+
+    runs = pages.withColumn("_before", F.lag("_at").over(inside)).groupBy("_section", "_run").agg(
+        F.min(stop("_at", "_before")).alias("_stop"), F.min("_at").alias("_first"), F.max("_at").alias("_last")
+    )
+    in_section = W.partitionBy("_section").orderBy("_run")
+    met = runs.withColumn("_ended", F.lag("_last").over(in_section))
+    ends = met.groupBy("_section").agg(F.min(F.least("_stop", stop("_first", "_ended"))).alias("_stop"))
+    # Stored, so that Spark knows its size: small, it is broadcast; large, a long section's join is split.
+    ends = materialise(ends.where(F.col("_stop").isNotNull()))
     return (
-        lookup_join(listings, ends, section)
+        listings.join(ends, F.col(section) == F.col("_section"), "left")
         .where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
-        .drop("_stop")
+        .drop("_section", "_stop")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -134,23 +136,37 @@ def _select_diverse(relevance: np.ndarray, similarity_to, n: int, diversity: flo
     return chosen
 
 
-def _word_similarity(phrases: Sequence[str]):
-    """similarity_to(i): cosine of the word sets of phrase i and every phrase."""
-    word_sets = [sorted(set(p.split(" "))) for p in phrases]
-    places: dict[str, list[int]] = {}
-    for i, words in enumerate(word_sets):
-        for w in words:
-            places.setdefault(w, []).append(i)
-    index = {w: np.array(p) for w, p in places.items()}
-    sizes = np.array([len(s) for s in word_sets], dtype=float)
+def _select_diverse_words(relevance: np.ndarray, phrases: Sequence[str], n: int, diversity: float) -> list[int]:
+    """The same for the cosine of word sets, lazily: a phrase is compared only while it may be next.
 
-    def similarity_to(i: int) -> np.ndarray:
-        shared = np.zeros(len(phrases))
-        for w in word_sets[i]:
-            shared[index[w]] += 1.0
-        return shared / np.sqrt(sizes * sizes[i])
-
-    return similarity_to
+    A marginal only falls as more is chosen, so an old one is a bound from above. The heap gives the
+    phrase with the highest bound; it is brought up to date and put back, until one is up to date already.
+    """
+    if not len(relevance):
+        return []
+    first = int(np.argmax(relevance))
+    chosen, bound = [first], (1.0 - diversity) * relevance
+    heap = [(-b, i) for i, b in enumerate(bound.tolist()) if i != first]
+    heapq.heapify(heap)
+    words: dict[int, set[str]] = {first: set(phrases[first].split(" "))}
+    closest: dict[int, float] = {}
+    compared: dict[int, int] = {}
+    while heap and len(chosen) < n:
+        old, i = heap[0]
+        done = compared.get(i, 0)
+        if done == len(chosen):
+            heapq.heappop(heap)
+            chosen.append(i)
+            continue
+        own = words.get(i)
+        if own is None:
+            own = words[i] = set(phrases[i].split(" "))
+        near = closest.get(i, 0.0)
+        for c in chosen[done:]:
+            near = max(near, len(own & words[c]) / math.sqrt(len(own) * len(words[c])))
+        closest[i], compared[i] = near, len(chosen)
+        heapq.heapreplace(heap, (-(float(bound[i]) - diversity * near), i))
+    return chosen
 
 
 def _vector_similarity(vectors: Sequence[Sequence[float]]):
@@ -195,10 +211,9 @@ def mmr_select(
                 items = group.values
                 relevance = items.field("score").to_numpy(zero_copy_only=False)
                 if vector is None:
-                    similarity_to = _word_similarity(items.field("phrase").to_pylist())
+                    picked.append(_select_diverse_words(relevance, items.field("phrase").to_pylist(), n, diversity))
                 else:
-                    similarity_to = _vector_similarity(items.field("vector").to_pylist())
-                picked.append(_select_diverse(relevance, similarity_to, n, diversity))
+                    picked.append(_select_diverse(relevance, _vector_similarity(items.field("vector").to_pylist()), n, diversity))
             yield pa.array(picked, type=pa.list_(pa.int32()))
 
     chosen = explode_rows(groups.withColumn("p", choose("c")), [doc, "c"], F.col("p"), "i", "r")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bantin.functions.documents import truthy
-from bantin.operators.skew import lookup_join
+from bantin.sources.workspace import materialise
 
 CLEARED = "_cleared"
 
@@ -84,7 +84,7 @@ def upsert_merge(
     updates: DataFrame,
     key: str | Sequence[str] = "id",
     unset_nulls: bool = True,
-    rewrite: bool = False,
+    rewrite: bool = True,
     replace: Sequence[str] = (),
 ) -> DataFrame:
     """Merge updates into the table: scalars are set, lists gain new items, NULLs unset.
@@ -92,8 +92,9 @@ def upsert_merge(
     Lists named in `replace` are set whole, like scalars.
 
     A typed row cannot tell NULL from missing; with `unset_nulls=False` a NULL means missing
-    and leaves the stored value. New keys are inserted, new columns are added. `rewrite` is
-    for updates about as large as the table, or costly to compute: each side is read once.
+    and leaves the stored value. New keys are inserted, new columns are added. Each side is read
+    once and shuffled. `rewrite=False` is for small, cheap updates of a large table: it reads them three
+    times, but can broadcast them and leave the table where it is.
     """
     keys = _keys(key)
     types = {f.name: f.dataType for f in [*updates.schema.fields, *target.schema.fields]}
@@ -208,19 +209,25 @@ def fold_updates(
         gone = F.col(name).isNull() if unset_nulls else F.lit(False)
         aggregates.append(F.max(F.when(gone, arrival)).alias(f"_unset_{name}"))
     folded = updates.groupBy(*keys).agg(*aggregates)
+    if lists:
+        # Read by the items as well. Stored, Spark knows its size: it is broadcast if small, else a hot key's join is split.
+        folded = materialise(folded)
+    packed = F.struct(*keys)
 
     for name in lists:
         items = updates.where(F.size(name) > 0).select(
             *keys, arrival.alias("_at"), F.posexplode(name).alias("_pos", "_item")
         )
         if unset_nulls:
-            items = _after_last_unset(items, updates, keys, name, arrival)
+            unset = folded.where(F.col(f"_unset_{name}").isNotNull()).select(packed.alias("_key"), F.col(f"_unset_{name}").alias("_unset"))
+            items = items.join(unset, packed == F.col("_key"), "left")
+            items = items.where(F.col("_unset").isNull() | (F.col("_at") > F.col("_unset"))).drop("_key", "_unset")
         first = items.groupBy(*keys, "_item").agg(F.min(F.struct("_at", "_pos")).alias("_first"))
-        ordered = first.groupBy(*keys).agg(
+        ordered = first.groupBy(packed.alias("_key")).agg(
             F.sort_array(F.collect_list(F.struct("_first", "_item"))).alias("_items")
         )
         column = F.transform("_items", lambda x: x["_item"]).alias(f"_l_{name}")
-        folded = folded.join(ordered.select(*keys, column), keys, "left")
+        folded = folded.join(ordered.select("_key", column), packed == F.col("_key"), "left").drop("_key")
 
     columns = []
     for c in updates.columns:
@@ -240,10 +247,3 @@ def fold_updates(
     cleared = F.array(*[F.when(F.col(f"_unset_{c}").isNotNull(), F.lit(c)) for c in lists]).cast("array<string>")
     return folded.select(*columns, F.array_compact(cleared).alias(CLEARED))
 
-
-def _after_last_unset(items: DataFrame, updates: DataFrame, keys: list[str], name: str, arrival: Column) -> DataFrame:
-    """Items that no later update of the same key unsets."""
-    packed = F.struct(*keys).alias("_key")
-    unset = updates.where(F.col(name).isNull()).groupBy(packed).agg(F.max(arrival).alias("_unset"))
-    joined = lookup_join(items.withColumn("_key", packed), unset, "_key")
-    return joined.where(F.col("_unset").isNull() | (F.col("_at") > F.col("_unset"))).drop("_key", "_unset")

@@ -13,6 +13,8 @@ from bantin.operators import frontier
 from bantin.plans import views
 from bantin.plans.registry import query
 from bantin.plans.views import ARTICLES, DATED, SQL_CLEAN_DATE, with_views
+from bantin.sources.seen import SeenSet
+from bantin.sources.workspace import materialise, new_folder
 
 _UNESCAPED = "replace(replace(replace({0}, '&quot;', '\"'), '&lt;', '<'), '&amp;', '&')"
 
@@ -56,11 +58,24 @@ _LINKS = """links AS (
 WHERE url NOT IN (SELECT url FROM links WHERE visited) GROUP BY url""", _LINKS))
 def unseen_links(spark, sf_dir):
     """Links of all pages that no page of a https://www. site has."""
-    links = X.page_links(views.spread_pages(spark, sf_dir))
+    links = materialise(X.page_links(views.spread_pages(spark, sf_dir)))  # pages are parsed once
     seen = links.where(F.col("url").startswith("https://www.")).select(F.col("href").alias("url"))
     return frontier.unseen_links(links.select(F.col("href").alias("url"), "page_id"), seen)
 
 
+@query(with_views("SELECT url, min(page_id % 3)::BIGINT AS crawl FROM links GROUP BY url", _LINKS))
+def seen_set_links(spark, sf_dir):
+    """Three crawls, each of a third of the pages: the links that each is the first to find."""
+    links = materialise(X.page_links(views.table(spark, sf_dir, "pages")).select(F.col("href").alias("url"), "page_id"))
+    seen, found = SeenSet(spark, new_folder(spark, "seen"), expected=100_000), []
+    for crawl in range(3):
+        own = links.where(F.col("page_id") % 3 == crawl)
+        found.append(seen.unseen(own).select("url", F.lit(crawl).cast("long").alias("crawl")))
+        if crawl < 2:
+            seen.add(own)
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 _AUTHOR = "'Author ' || (doc_id % 50)"
 _PARAGRAPHS = """CASE
   WHEN journal IN ('vneconomy', 'nhipcaudautu', 'saigontimes') THEN
@@ -114,18 +129,21 @@ def image_refs(spark, sf_dir):
     return X.image_refs(extracted).withColumnRenamed("id", "doc_id")
 
 
+_LISTED = """listed AS (SELECT doc_id, journal, unnest(range(0, len(content))) AS i, unnest(content) AS line FROM articles)"""
+
+
 @query(with_views("""SELECT doc_id, journal, CAST(i AS INTEGER) AS pos, CASE journal
     WHEN 'vneconomy' THEN 'https://vneconomy.vn' WHEN 'nhipcaudautu' THEN 'https://nhipcaudautu.vn'
     WHEN 'dantri' THEN 'https://dantri.com.vn' WHEN 'vietnamnet' THEN 'https://vietnamnet.vn'
     WHEN 'phapluatdoisong' THEN 'https://www.doisongphapluat.com' WHEN 'vtc' THEN 'https://vtc.vn'
-    WHEN 'laodong' THEN 'https://laodong.vn' ELSE '' END || CASE i WHEN 0 THEN '/a/' ELSE '/b/' END || doc_id AS link
-FROM articles, (VALUES (0), (1)) AS t(i)""", ARTICLES))
+    WHEN 'laodong' THEN 'https://laodong.vn' ELSE '' END || '/' || md5(line) AS link FROM listed""", ARTICLES, _LISTED))
 def listing_links(spark, sf_dir):
+    """A listing page for each document, with a link for each line of its text."""
     return X.extract_links(views.listing_pages(spark, sf_dir)).select("doc_id", "journal", "pos", "link")
 
 
-@query(with_views("""SELECT doc_id, journal, NULL AS reason FROM articles, (VALUES (0), (1)) AS t(i) WHERE doc_id % 9 <> 0
-UNION ALL SELECT doc_id, 'nosuch', 'no rules for nosuch' FROM articles WHERE doc_id % 9 = 0""", ARTICLES))
+@query(with_views("""SELECT doc_id, journal, NULL AS reason FROM listed WHERE doc_id % 9 <> 0
+UNION ALL SELECT doc_id, 'nosuch', 'no rules for nosuch' FROM articles WHERE doc_id % 9 = 0""", ARTICLES, _LISTED))
 def listing_rejects(spark, sf_dir):
     """Links of the known journals, and the listings of unknown ones with the reason."""
     journal = F.when(F.col("doc_id") % 9 == 0, F.lit("nosuch")).otherwise(F.col("journal"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bantin.plans import views
-from bantin.plans.registry import query
+from bantin.plans.registry import SQL, query
 from bantin.plans.views import ARTICLES, with_views
 from bantin.sources.tables import DocumentTable
 from bantin.sources.workspace import new_folder
 from bantin.streaming import jobs
+from bantin.streaming.fold import STATE_STORE
 
 _INDEXED = """SELECT id, journal, title, md5(array_to_string(content, chr(10))) AS body,
   CASE WHEN journal = 'dantri' THEN NULL ELSE strftime(crawled, '%Y-%m-%d %H:%M:%S') END AS date
@@ -69,6 +70,13 @@ def stream_rejects(spark, sf_dir):
     return good.join(bad)
 
 
+def _shown(documents):
+    return documents.read().select(
+        "id", "journal", "title", F.md5(F.array_join("content", "\n")).alias("body"),
+        F.array_join(F.sort_array("tags"), " ").alias("tags"), F.col("crawled").isNotNull().alias("stamped"),
+    )
+
+
 def _stored(spark, messages):
     """The document table after a stream of messages has run to its end."""
     root = new_folder(spark, "store")
@@ -76,10 +84,7 @@ def _stored(spark, messages):
     jobs.start_document_stream(
         messages, documents, jobs.checkpoint_path(f"{root}/checkpoints", "articles", "documents"), None
     ).awaitTermination()
-    return documents.read().select(
-        "id", "journal", "title", F.md5(F.array_join("content", "\n")).alias("body"),
-        F.array_join(F.sort_array("tags"), " ").alias("tags"), F.col("crawled").isNotNull().alias("stamped"),
-    )
+    return _shown(documents)
 
 
 _TAGS = "array_to_string(list_sort(list_filter(list_distinct({}), lambda t: t <> '')), ' ') AS tags"
@@ -105,6 +110,52 @@ def document_stream_duplicates(spark, sf_dir):
     return _stored(spark, messages.select("topic", "value"))
 
 
+@query(SQL["document_stream_duplicates"])
+def document_stream_state(spark, sf_dir):
+    """The same messages through state, with a stop between the first and the second of each article."""
+    root = new_folder(spark, "state")
+    rows = views.article_columns(views.table(spark, sf_dir, "documents"))
+    first = {"title": F.concat(F.lit("zzz "), "title"), "content": F.array(F.lit("gone")), "tags": F.array_append("tags", F.lit("first"))}
+    later = F.concat("content", F.array(F.lit(""), F.element_at("content", 1)))
+    last = {"title": F.concat(F.lit("aaa "), "title"), "content": later, "tags": F.array_append("tags", F.lit("last"))}
+    documents = DocumentTable(spark, f"{root}/documents", "id", ["crawled", jobs.ARRIVAL])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, STATE_STORE)
+    try:
+        for offset, part in enumerate((first, last)):
+            sent = views.message_columns(rows.withColumns(part)).select("value", "topic", F.lit(0).alias("partition"), F.lit(offset).cast("long").alias("offset"))
+            sent.write.mode("append").json(f"{root}/in")
+            messages = spark.readStream.schema("value string, topic string, partition int, offset long").json(f"{root}/in")
+            jobs.start_folded_stream(messages, documents, f"{root}/checkpoint", None).awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return _shown(documents)
+
+
+@query(with_views(f"""SELECT id, journal, CASE WHEN doc_id % 3 = 1 THEN 'new ' || title ELSE title END AS title,
+  md5(array_to_string(content, chr(10))) AS body,
+  {_TAGS.format("CASE WHEN doc_id % 3 = 1 THEN list_append(tags, 'again') ELSE tags END")}, true AS stamped
+FROM articles WHERE doc_id % 13 <> 0""", ARTICLES))
+def document_stream_restart(spark, sf_dir):
+    """A second stream, with a checkpoint of its own, goes on with the table that the first one left."""
+    root = new_folder(spark, "restart")
+    documents = DocumentTable(spark, f"{root}/documents", "id", ["crawled", jobs.ARRIVAL])
+    rows = views.article_columns(views.table(spark, sf_dir, "documents"))
+    again = F.col("doc_id") % 3 == 1
+    later = rows.where(F.col("doc_id") % 3 != 0).withColumns({
+        "title": F.when(again, F.concat(F.lit("new "), "title")).otherwise(F.col("title")),
+        "tags": F.when(again, F.array_append("tags", F.lit("again"))).otherwise(F.col("tags")),
+    })
+    for run, part in enumerate([rows.where(F.col("doc_id") % 3 != 2), later]):
+        views.message_columns(part).select("value", "topic").write.json(f"{root}/in-{run}")
+        jobs.start_document_stream(
+            jobs.read_article_stream(spark, path=f"{root}/in-{run}"), documents, jobs.checkpoint_path(f"{root}/checkpoints", f"run-{run}", "documents"), None
+        ).awaitTermination()
+    documents.vacuum()
+    return _shown(documents)
+
+
 @query(with_views(_INDEXED + " AND journal IN ('vtc', 'vneconomy', 'dantri')", ARTICLES))
 def journal_fan_out(spark, sf_dir):
     root = new_folder(spark, "fanout")
@@ -143,6 +194,19 @@ def export_runs(spark, sf_dir):
     return index.select("id", "journal", "title", F.date_format("date", "yyyy-MM-dd").alias("day"), F.lit(runs).alias("runs"))
 
 
+@query(with_views("""SELECT id, journal, title, CASE WHEN journal = 'dantri' THEN NULL
+  ELSE strftime(date_trunc('day', crawled), '%Y-%m-%d') END AS day FROM articles""", ARTICLES))
+def export_late_rows(spark, sf_dir):
+    """Documents that reach the store between runs: some late, some with a stamp that a run has ended at."""
+    root = new_folder(spark, "late")
+    rows = views.articles(spark, sf_dir).withColumn("crawled", F.date_trunc("hour", F.col("crawled").cast("timestamp"))).withColumn("ts", F.col("crawled"))
+    stored = rows.withColumn("date", views.raw_date()).withColumnRenamed("id", "_id").drop("ts")
+    for there in (F.col("doc_id") % 4 == 0, F.col("doc_id") % 4 != 3, F.lit(True)):
+        jobs.run_export(stored.where(there).drop("doc_id"), root, overlap=None)
+    _, index, _ = jobs.read_export(spark, root)
+    return index.select("id", "journal", "title", F.date_format("date", "yyyy-MM-dd").alias("day"))
+
+
 @query(with_views("""SELECT id, journal, title,
   CASE WHEN crawled <= TIMESTAMP '2024-01-01 03:00:00' THEN NULL WHEN journal = 'dantri' THEN NULL
        ELSE strftime(date_trunc('day', crawled), '%Y-%m-%d') END AS day FROM articles""", ARTICLES))

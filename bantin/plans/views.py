@@ -283,22 +283,24 @@ def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "journal", url.alias("url"), html.alias("html"))
 
 
-def _listing_template(name: str) -> str:
+def _listing_item(name: str) -> str:
     rule = LISTING_SELECTORS[name]
     host = "https://laodong.vn" if name == "laodong" else ""
-    items = ""
-    for part in "ab":
-        item = _element(rule["item"], f'<a href="{host}/{part}/{{number}}">more</a>')
-        items += _element(rule["group"], item) if rule["group"] else item
-    return _element(rule["root"], items) if rule["root"] else items
+    item = _element(rule["item"], f'<a href="{host}/{{link}}">{{text}}</a>')
+    return _element(rule["group"], item) if rule["group"] else item
+
+
+def _listing_template(name: str) -> str:
+    root = LISTING_SELECTORS[name]["root"]
+    return _element(root, "{items}") if root else "{items}"
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every article as a listing page with the links /a/<doc_id>, /b/<doc_id>."""
-    html = _fill(_by_journal(_listing_template), {"number": F.col("doc_id").cast("string")})
-    return table(spark, sf_dir, "documents").select("doc_id").repartition("doc_id").select(
-        "doc_id", journal_of("doc_id").alias("journal"), html.alias("html")
-    )
+    """Every article as a listing page: a link /<md5 of the line> for each line of its text, which is the link's text."""
+    rows = article_columns(spread_documents(spark, sf_dir)).withColumn("item", _by_journal(_listing_item))
+    items = F.transform("content", lambda p: _fill(F.col("item"), {"link": F.md5(p), "text": _escape(p)}))
+    html = _fill(_by_journal(_listing_template), {"items": F.array_join(items, "")})
+    return rows.select("doc_id", "journal", html.alias("html"))
 
 
 def with_views(body: str, *views: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from bantin.operators.nested import flatten
 from bantin.schema import RAW_MESSAGE_SCHEMA, STORED_SCHEMA
+from bantin.sources.arrays import read_record_arrays
 
 
 def read_articles_json(
@@ -33,9 +34,8 @@ def read_collection(
 
 
 def load_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A JSON array of nested records as flat rows with dotted column names."""
-    reader = spark.read.option("multiLine", True)
-    return flatten((reader.schema(schema) if schema is not None else reader).json(path))
+    """JSON arrays of nested records as flat rows with dotted column names; many tasks read one array."""
+    return flatten(read_record_arrays(spark, path, schema))
 
 
 def split_csv_payload(messages: DataFrame, schema: T.StructType = STORED_SCHEMA, value: str = "value", list_sep: str = ";") -> DataFrame:

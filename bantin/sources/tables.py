@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bantin.operators.envelope import encode_messages
-from bantin.operators.merge import CLEARED, fold_updates, keep_last, upsert_merge
+from bantin.operators.merge import CLEARED, fold_updates, keep_last, upsert_merge, upsert_replace
 from bantin.sources.connectors import KAFKA, kafka_sink_options
+from bantin.sources.workspace import materialise
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("journal",), mode: str = "append") -> None:
@@ -45,14 +50,35 @@ def route(
     raise ValueError("no sink configured")
 
 
+class State(NamedTuple):
+    """A committed state of a document table: which version of each bucket counts."""
+
+    version: int
+    buckets: int
+    held: dict[int, int]
+    schema: T.StructType
+    note: str | None
+
+
+_COMMIT = "version long, buckets int, held array<struct<bucket:int,version:long>>, schema string, note string"
+_BUCKETS, _BUCKET, _VERSION = "store_buckets", "store_bucket", "store_version"
+
+
 class DocumentTable:
-    """A keyed table kept as whole snapshots, one folder per batch.
+    """A keyed table in buckets by the hash of the key; a batch rewrites only the buckets its keys fall into.
 
-    A batch is folded to one update per key and merged into the snapshot before it; the result is
-    the next snapshot. Scalars and the lists in `replace` take the last version, other lists gain
-    items. Nothing is changed in place: a batch that runs again writes its own snapshot again from
-    the one before, so a lost executor or a repeated batch does no harm. The newest snapshots are
-    what readers and a restart need; older ones may be deleted at any time.
+    A batch is folded to one update per key and merged into the documents of its buckets. Scalars and
+    the lists in `replace` take the last version, other lists gain items; with `whole` the last
+    version replaces the document.
+
+    `rows` has a folder for each version of a bucket. `commits` has one line for each batch, written
+    when its rows are complete, that names the versions which count: readers and the next batch go by
+    the last line, so they never see half a batch, and a table goes on where it stood, whoever
+    wrote it before. Merging a batch a second time changes nothing, so a batch that failed is simply run
+    again. There must be one writer at a time.
+
+    `buckets` counts for a new table; choose it so that a bucket is a task's work, or `rebucket` later.
+    `vacuum` deletes what no kept state needs.
     """
 
     def __init__(
@@ -63,28 +89,123 @@ class DocumentTable:
         order: Sequence[str] = ("crawled",),
         unset_nulls: bool = True,
         replace: Sequence[str] = ("content",),
+        buckets: int = 64,
+        whole: bool = False,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key, self.order, self.unset_nulls, self.replace = key, list(order), unset_nulls, tuple(replace)
-
-    def _snapshot(self, epoch: int) -> str:
-        return f"{self.path}/snapshot={epoch}"
-
-    def upsert(self, changes: DataFrame, epoch: int) -> None:
-        """Write the snapshot of batch `epoch`; batches are numbered from 0 without gaps."""
-        folded = fold_updates(changes, self.key, self.order, self.unset_nulls, self.replace)
-        if epoch:
-            stored = self.spark.read.parquet(self._snapshot(epoch - 1))
+        self.buckets, self.whole = buckets, whole
+
+    def _commits(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def state(self, version: int | None = None) -> State | None:
+        """The last committed state, or that of a version that is still there; None for a new table."""
+        commits = self._commits()
+        if commits is None:
+            return None
+        chosen = commits if version is None else commits.where(F.col("version") == version)
+        last = chosen.orderBy(F.desc("version")).first()
+        if last is None:
+            if version is None:
+                return None
+            raise ValueError(f"{self.path} has no version {version}")
+        held = {h.bucket: h.version for h in last.held}
+        return State(last.version, last.buckets, held, T.StructType.fromJson(json.loads(last.schema)), last.note)
+
+    def _of(self, state: State, buckets: Sequence[int]) -> DataFrame:
+        """The documents of some buckets."""
+        root = f"{self.path}/rows"
+        folders = [f"{root}/{_BUCKETS}={state.buckets}/{_BUCKET}={b}/{_VERSION}={state.held[b]}" for b in buckets if b in state.held]
+        if not folders:
+            return self.spark.createDataFrame([], state.schema)
+        return self.spark.read.schema(state.schema).option("basePath", root).parquet(*folders).select(*state.schema.names)
+
+    def _bucket(self, buckets: int) -> Column:
+        keys = [self.key] if isinstance(self.key, str) else self.key
+        return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, buckets: int, version: int) -> None:
+        placed = rows.withColumns({_BUCKETS: F.lit(buckets), _BUCKET: self._bucket(buckets), _VERSION: F.lit(version)})
+        # Few files a bucket; a bucket that is too large for one task is shared out by Spark.
+        dealt = placed.hint("rebalance", _BUCKET)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKETS, _BUCKET, _VERSION).parquet(f"{self.path}/rows")
+
+    def _commit(self, state: State) -> int:
+        held = [(b, v) for b, v in sorted(state.held.items())]
+        line = (state.version, state.buckets, held, json.dumps(state.schema.jsonValue()), state.note)
+        self.spark.createDataFrame([line], _COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        return state.version
+
+    def upsert(self, changes: DataFrame, epoch: int | None = None, note: str | None = None) -> int:
+        """Merge a batch and return the version it made. `note` is kept with the state.
+
+        `epoch`, the batch's number in its stream, does not matter: a new stream starts again from 0,
+        and a repeated batch is merged to no effect.
+        """
+        before = self.state()
+        buckets = before.buckets if before else self.buckets
+        if self.whole:
+            folded = keep_last(changes, self.key, self.order)
+        else:
+            folded = fold_updates(changes, self.key, self.order, self.unset_nulls, self.replace)
+        folded = materialise(folded)
+        touched = sorted(r[0] for r in folded.select(self._bucket(buckets)).distinct().collect())
+        stored = self._of(before, touched) if before else self.spark.createDataFrame([], folded.drop(CLEARED).schema)
+        if self.whole:
+            merged = upsert_replace(stored, folded, self.key)
         else:
-            stored = self.spark.createDataFrame([], folded.drop(CLEARED).schema)
-        merged = upsert_merge(stored, folded, self.key, self.unset_nulls, rewrite=True, replace=self.replace)
-        merged.write.mode("overwrite").parquet(self._snapshot(epoch))
-
-    def read(self, epoch: int | None = None) -> DataFrame:
-        """The documents after batch `epoch`, by default after the last."""
-        if epoch is not None:
-            return self.spark.read.parquet(self._snapshot(epoch))
-        snapshots = self.spark.read.option("basePath", self.path).parquet(self.path)
-        newest = snapshots.agg(F.max("snapshot").alias("snapshot")).scalar()
-        return snapshots.where(F.col("snapshot") == newest).drop("snapshot")
+            merged = upsert_merge(stored, folded, self.key, self.unset_nulls, rewrite=True, replace=self.replace)
+        version = before.version + 1 if before else 0
+        if touched:
+            self._write(merged, buckets, version)
+        held = {**(before.held if before else {}), **dict.fromkeys(touched, version)}
+        return self._commit(State(version, buckets, held, merged.schema, note))
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The documents as last committed, or as of a version."""
+        state = self.state(version)
+        if state is None:
+            raise ValueError(f"{self.path} is not a document table yet")
+        return self._of(state, list(state.held))
+
+    def rebucket(self, buckets: int) -> int:
+        """Deal all documents to another number of buckets; a batch of its own."""
+        before = self.state()
+        if before is None:
+            raise ValueError(f"{self.path} is not a document table yet")
+        version = before.version + 1
+        rows = materialise(self._of(before, list(before.held)))
+        self._write(rows, buckets, version)
+        there = [r[0] for r in rows.select(self._bucket(buckets)).distinct().collect()]
+        return self._commit(State(version, buckets, dict.fromkeys(there, version), before.schema, before.note))
+
+    def vacuum(self, keep: int = 1) -> int:
+        """Delete what only states before the last `keep` need; returns the number of folders and files deleted.
+
+        Readers of older states fail from then on, so keep as many as a reader may be behind.
+        """
+        commits = self._commits()
+        if commits is None:
+            return 0
+        lines = commits.select("version", "buckets", "held", F.col("_metadata.file_path").alias("file")).orderBy(F.desc("version")).collect()
+        needed = {(r.buckets, h.bucket, h.version) for r in lines[:keep] for h in r.held}
+        kept_files = {r.file for r in lines[:keep]}
+        old = {r.file for r in lines[keep:]} - kept_files
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        rows = hadoop.Path(f"{self.path}/rows")
+        files = rows.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        # First the lines, so that none ever names rows that are gone.
+        gone = [hadoop.Path(self.spark._jvm.java.net.URI(f)) for f in sorted(old)]
+        for found in files.globStatus(hadoop.Path(rows, f"{_BUCKETS}=*/{_BUCKET}=*/{_VERSION}=*")) or []:
+            place = tuple(int(part.split("=")[1]) for part in found.getPath().toString().split("/")[-3:])
+            # What is newer than the last line may belong to a batch that is being written.
+            if place not in needed and place[2] <= lines[0].version:
+                gone.append(found.getPath())
+        return sum(bool(files.delete(path, True)) for path in gone)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +16,13 @@ from bantin.operators.filters import crawled_since, only_journals
 from bantin.operators.merge import keep_last, upsert_replace
 from bantin.sources.connectors import read_kafka_stream
 from bantin.sources.tables import DocumentTable
+from bantin.sources.workspace import materialise
+from bantin.streaming.fold import fold_stream
 
 _MESSAGE = T.StructType([T.StructField("value", T.StringType()), T.StructField("topic", T.StringType())])
 _DEDUP_SPREAD = 64
+# What a stored document has of its message.
+_STORED = ["id", "title", "type", "journal", "attract", "author", "date", "content", "tags"]
 
 
 def read_article_stream(
@@ -72,8 +76,7 @@ def store_records(messages: DataFrame) -> DataFrame:
     """Messages to stored documents: decode and stamp; the date stays text, the arrival is kept."""
     kept = [c for c in (ARRIVAL,) if c in messages.columns]
     articles = good_messages(decode_payload(messages.select("value", *kept)))
-    columns = ["id", "title", "type", "journal", "attract", "author", "date", "content", "tags"]
-    return stamp_ingest(articles.select(*columns, *kept))
+    return stamp_ingest(articles.select(*_STORED, *kept))
 
 
 def quarantine(messages: DataFrame) -> DataFrame:
@@ -102,24 +105,49 @@ def start_index_stream(messages: DataFrame, target: str, checkpoint: str, every:
 
 
 def start_document_stream(messages: DataFrame, table: DocumentTable, checkpoint: str, every: str | None = "10 seconds") -> StreamingQuery:
-    """Queue to document table: each micro-batch makes the next snapshot, the last arrival wins.
+    """Queue to document table: each micro-batch rewrites the buckets it touches, the last arrival wins.
 
-    Broken messages go to `<table>_rejected`, a folder per batch. A batch that is run again after a
-    failure writes its folders again.
+    A table that is there already goes on, also under a new checkpoint. Broken messages go to
+    `<table>_rejected`, a folder per stream and batch. A batch that is run again after a failure is
+    merged to no effect and writes its rejects again.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        numbered = with_arrival(batch)
-        # One stamp and one numbering for all that the fold reads.
-        documents = store_records(numbered).persist()
-        table.upsert(documents, epoch)
-        quarantine(batch).write.mode("overwrite").parquet(f"{table.path}_rejected/batch={epoch}")
-        documents.unpersist()
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        raw = F.col("value").cast("string").alias("raw")
+        # Decoded once; one stamp and one numbering for all that the fold reads.
+        decoded = stamp_ingest(decode_payload(with_arrival(batch).select(raw, "value", ARRIVAL))).persist()
+        table.upsert(good_messages(decoded).select(*_STORED, ARRIVAL, "crawled"), epoch)
+        rejected = bad_messages(decoded).select("raw")
+        rejected.write.mode("overwrite").parquet(f"{table.path}_rejected/stream={stream}/batch={epoch}")
+        decoded.unpersist()
 
     writer = messages.writeStream.queryName("documents").option("checkpointLocation", checkpoint)
     return _trigger(writer.foreachBatch(write), every).start()
 
 
+def start_folded_stream(
+    messages: DataFrame, table: DocumentTable, checkpoint: str, every: str | None = "10 seconds", idle_ms: int | None = None
+) -> StreamingQuery:
+    """Queue to document table through state: a micro-batch hands on the whole documents its messages made.
+
+    Messages need the queue's `partition` and `offset`. Merging whole documents a second time changes
+    nothing, so a batch may run again. See `fold_stream` for the state and `idle_ms`.
+    """
+    if not {"partition", "offset"} <= set(messages.columns):
+        raise ValueError("a folded stream needs the queue's partition and offset")
+    if idle_ms is not None and every is None:
+        raise ValueError("timers need a period: a stream that takes what is there would wait for them without end")
+    documents = store_records(with_arrival(messages))
+    folded = fold_stream(documents, table.key, table.order, table.unset_nulls, table.replace, idle_ms)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        table.upsert(materialise(batch), epoch)  # state is read once
+
+    writer = folded.writeStream.queryName("folded").outputMode("update").option("checkpointLocation", checkpoint)
+    return _trigger(writer.foreachBatch(write), every).start()
+
+
 def split_by_journal(messages: DataFrame, journals: Sequence[str]) -> dict[str, DataFrame]:
     """One stream per journal from one subscription; unknown journals are left out."""
     return {j: only_journals(messages.withColumn("journal", F.col("topic")), [j]) for j in journals}
@@ -157,33 +185,55 @@ def incremental_export(stored: DataFrame, index: DataFrame | None, since) -> Dat
     return records if index is None else upsert_replace(index, records)
 
 
+def _export_table(spark: SparkSession, root: str) -> DocumentTable:
+    return DocumentTable(spark, f"{root}/index", "id", ["crawled"], whole=True)
+
+
 def read_export(spark: SparkSession, root: str) -> tuple[int, DataFrame | None, object]:
     """Number of finished export runs, the index after the last, and the crawl time it went up to."""
-    try:
-        runs = spark.read.schema("run int, since timestamp").json(f"{root}/runs")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    index = _export_table(spark, root)
+    state = index.state()
+    if state is None:
         return 0, None, None
-    last = runs.orderBy(F.desc("run")).first()
-    return last.run, spark.read.parquet(f"{root}/index-{last.run}"), last.since
+    return state.version + 1, index.read(state.version), datetime.datetime.fromisoformat(state.note)
 
 
-def run_export(stored: DataFrame, root: str, since=None) -> bool:
-    """One run of store to index: from the stored watermark (at first `since`) on, upserted by id.
+def run_export(stored: DataFrame, root: str, since=None, until=None, overlap: str | None = "1 hour") -> bool:
+    """One run of store to index: documents crawled in (since, until], upserted by id.
 
-    The new index is written beside the old one and counts once its run is noted; a run that failed
-    is done again under the same number. Returns whether there was anything to write.
+    The window is fixed before its rows are read: `since` is where the last run ended (for the first run
+    the given value, or none), `until` the given time, or the newest crawl time there is. Documents may
+    come late, or with a stamp equal to `since`: each run looks again at those of the `overlap` before
+    its window (None: at all) and takes what the index lacks or has in an older version. The index and
+    the end of the window are committed at once; a run that failed is simply done again. Only buckets
+    with new documents are rewritten. Returns whether there was anything to write.
     """
     spark = stored.sparkSession
-    runs, index, known = read_export(spark, root)
-    start = known if known is not None else since
-    if start is not None and crawled_since(stored, start).isEmpty():
+    index = _export_table(spark, root)
+    runs, known, ended = read_export(spark, root)
+    if until is None:
+        until = stored.agg(F.max("crawled").cast("timestamp").alias("until")).first().until
+    else:
+        until = spark.range(1).select(F.lit(until).cast("timestamp").alias("until")).first().until
+    if until is None:
+        return False
+    window = stored.where(F.col("crawled").cast("timestamp") <= F.lit(until))
+    if ended is None:
+        window = window if since is None else crawled_since(window, since)
+    elif overlap is not None:
+        window = window.where(F.col("crawled").cast("timestamp") > F.lit(ended) - F.expr(f"interval {overlap}"))
+    if "_id" in window.columns:
+        window = to_index_key(window)
+    if known is not None:
+        exported = known.select(F.col("id").alias("_known"), F.col("crawled").alias("_at"))
+        newer = (F.col("id") == F.col("_known")) & (F.col("_at") >= F.col("crawled").cast("timestamp"))
+        window = window.join(exported, newer, "left_anti")
+    latest = materialise(keep_last(window, "id", ["crawled"]))
+    if latest.isEmpty():
         return False
-    start = "0001-01-01" if start is None else start
-    incremental_export(stored, index, start).write.mode("overwrite").parquet(f"{root}/index-{runs + 1}")
-    noted = next_watermark(stored, start).select(F.lit(runs + 1).alias("run"), "since")
-    noted.coalesce(1).write.mode("append").json(f"{root}/runs")
+    dated = latest.withColumn("date", parse_date("journal", "date", "store"))
+    records = dated.select(*project_article(dated).columns, F.col("crawled").cast("timestamp").alias("crawled"))
+    index.upsert(records, note=max(until, ended or until).isoformat())
     return True
 
 

@@ -49,6 +49,30 @@ def test_long_section_is_cut_into_runs(spark):
     assert frontier.stop_at_repeat(df).count() == 4000
 
 
+def test_stop_across_runs_is_that_of_one_window(spark):
+    """Stops at the borders of runs, by every rule, in sections that are longer than a run."""
+    rows = spark.range(0, 12_000).select(
+        F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("section"), F.element_at(F.array(F.lit("vtc"), F.lit("baodautu")), (F.col("id") % 2 + 1).cast("int")).alias("journal"),
+        (F.expr("id div 4") + F.when((F.col("id") % 4 == 3) & (F.col("id") > 8000), 1).otherwise(0)).alias("page"), F.col("id"),
+    )
+    n = F.expr("id div 4")
+    urls = F.when((F.col("section") == "s0") & n.isin(1000, 2000), F.array((n - 1).cast("string"))).when((F.col("section") == "s1") & (n == 1999), F.array())
+    df = rows.withColumn("urls", urls.otherwise(F.array(n.cast("string")))).drop("id")
+    for options in ({}, {"journal": "journal"}, {"gap_ends": True}, {"min_links": 2}):
+        stops = frontier.stop_at_repeat(df, **options).groupBy("section").agg(F.max("page").alias("p")).collect()
+        got = {r.section: r.p for r in stops}
+        assert got == {
+            "{}": {"s0": 999, "s1": 1998, "s2": 2999, "s3": 3000}, "{'journal': 'journal'}": {"s0": 999, "s2": 2999},
+            "{'gap_ends': True}": {"s0": 999, "s1": 1998, "s2": 2999, "s3": 1999}, "{'min_links': 2}": {},
+        }[str(options)]
+
+
+def test_stop_reads_the_listings_twice(spark, tmp_path):
+    pages(spark, [("s", 1, ["a"])]).write.parquet(str(tmp_path / "listings"))
+    plan = frontier.stop_at_repeat(spark.read.parquet(str(tmp_path / "listings")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "SortMergeJoin" not in plan  # the listings, and the stored stops
+
+
 def test_unseen_links(spark):
     links = spark.createDataFrame([("u", 2), ("u", 1), ("v", 3), ("w", 4)], "url string, page int")
     seen = spark.createDataFrame([("v",), ("v",)], "url string")
