@@ -312,3 +312,19 @@ def test_tables_and_routing(spark, tmp_path):
 def test_shared_dir(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_in_many_files_is_streamed(spark, tmp_path, files):
+    from bantin.plans import streams
+
+    texts = [(i, f"title {i}\nline", "en", "web") for i in range(12)]
+    table = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string").repartition(files)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    if files == 1:  # a table may be a single file as well
+        part = next((tmp_path / "documents.parquet").glob("part-*"))
+        (tmp_path / "one").mkdir()
+        (tmp_path / "one" / "documents.parquet").write_bytes(part.read_bytes())
+    folder = str(tmp_path / "one" if files == 1 else tmp_path)
+    assert streams.index_stream(spark, folder).count() == 11  # document 0 is broken
+    assert tuple(streams.stream_rejects(spark, folder).first()) == (11, 1, 1)
