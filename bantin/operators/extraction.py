@@ -33,6 +33,7 @@ def extract_articles(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     rules = article_selectors(pages.sparkSession).select("journal", F.struct("*").dropFields("journal").alias("rule"))
     found = parse_pages(pages, html).join(F.broadcast(rules), "journal", "left")
+    found = found.withColumn("_bytes", F.col("dom.text").cast("binary"))
     fields = ["title", "attract", "author", "date", "body", "tags"]
     found = found.withColumns({f"_{f}": F.expr(dom.find_path(_NODES, f"rule.{f}")) for f in fields})
     found = found.withColumns({
@@ -76,11 +77,11 @@ def extract_articles(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def _text(node: str) -> Column:
-    return clean_text(F.expr(dom.node_text("dom.text", node)))
+    return clean_text(F.expr(dom.node_text("_bytes", node)))
 
 
 def _texts(nodes: str) -> Column:
-    return F.transform(F.expr(f"transform({nodes}, m -> {dom.node_text('dom.text', 'm')})"), lambda t: clean_text(t))
+    return F.transform(F.expr(f"transform({nodes}, m -> {dom.node_text('_bytes', 'm')})"), lambda t: clean_text(t))
 
 
 def _images() -> Column:
@@ -95,7 +96,7 @@ def _images() -> Column:
     link = f"get(transform(array({picture}), i -> if(rule.image_attribute = 'data-src', i.data_src, i.src)), 0)"
     found = F.expr(
         f"transform(if(_body is null, array(), {blocks}),"
-        f" b -> struct({link} as link, {dom.node_text('dom.text', caption)} as caption))"
+        f" b -> struct({link} as link, {dom.node_text('_bytes', caption)} as caption))"
     )
     return F.transform(
         F.filter(found, lambda i: i["link"].isNotNull()),

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,3 +164,29 @@ def test_unclosed_tags_take_no_longer(spark):
     page, missing = pages.array().to_pylist()
     assert missing is None and len(page["nodes"]) == 20_000 and page["text"] == "x"
     assert page["nodes"][0]["last"] == 19_999 and page["nodes"][5]["t1"] == 1
+
+
+def test_pages_go_back_in_small_groups(spark, monkeypatch):
+    """Nodes of a batch are never held all at once: the reader hands them back as they come."""
+    from bantin.functions import dom
+
+    held = []
+    real = dom._Pages.array
+    monkeypatch.setattr(dom._Pages, "array", lambda self: held.append(self.ends[-1]) or real(self))
+    monkeypatch.setattr(dom, "GROUP_NODES", 10)
+    page = "<p>a</p>" * 4
+    parts = list(dom.read_pages(iter([pa.array([page, None, page, page, "", page])])))
+    assert [len(p) for p in parts] == [4, 2] and held == [12, 4]
+    assert [None if p is None else len(p["nodes"]) for part in parts for p in part.to_pylist()] == [4, None, 4, 4, 0, 4]
+
+
+def test_node_text_is_found_by_bytes(spark):
+    """Text of any script before a node does not shift it, and a place is no character count."""
+    from bantin.functions import dom
+
+    page = "<p>thị trường 😀</p>&eacute;<h1>giá <b>vàng</b>&#xD800;</h1>é<p></p>"
+    parsed = X.parse_pages(spark.createDataFrame([(page,)], "html string"))
+    texts = [F.expr(dom.node_text("dom.text", dom.find("dom.nodes", tag=t))) for t in ("p", "h1", "b", "i")]
+    assert tuple(parsed.select(*texts).first()) == ("thị trường 😀", "giá vàng\ufffd", "vàng", None)
+    h1 = parsed.select(F.expr(f"{dom.find('dom.nodes', tag='h1')}.t0")).first()[0]
+    assert h1 == len("thị trường 😀é".encode())
