@@ -126,18 +126,18 @@ def upsert_merge(
 
 
 def upsert_replace(
-    target: DataFrame, updates: DataFrame, key: str | Sequence[str] = "id", merge: bool = False, keep_none: bool = False
+    target: DataFrame, updates: DataFrame, key: str | Sequence[str] = "id", merge: bool = False, keep_none: bool = False, rewrite: bool = False
 ) -> DataFrame:
     """Every column the updates name is overwritten whole, lists and structs too.
 
     With `keep_none` NULLs are stored, without it the field is unset; in a typed table both
-    read as NULL. Merging and keeping NULLs at once has no meaning and is refused.
+    read as NULL. Merging and keeping NULLs at once has no meaning and is refused. `rewrite` as in `upsert_merge`.
     """
     if merge and keep_none:
         raise ValueError("merge=True with keep_none=True would write nothing")
     if merge:
         return upsert_merge(target, updates, key)
-    return _overwrite(target, updates, _keys(key), null_is_missing=False)
+    return _overwrite(target, updates, _keys(key), null_is_missing=False, rewrite=rewrite)
 
 
 def upsert_shallow(target: DataFrame, updates: DataFrame, key: str | Sequence[str] = "id", null_is_missing: bool = True) -> DataFrame:
@@ -148,7 +148,7 @@ def upsert_shallow(target: DataFrame, updates: DataFrame, key: str | Sequence[st
     return _overwrite(target, updates, _keys(key), null_is_missing)
 
 
-def _overwrite(target: DataFrame, updates: DataFrame, keys: list[str], null_is_missing: bool) -> DataFrame:
+def _overwrite(target: DataFrame, updates: DataFrame, keys: list[str], null_is_missing: bool, rewrite: bool = False) -> DataFrame:
     types = {f.name: f.dataType for f in [*updates.schema.fields, *target.schema.fields]}
     merged = {}
     for c in dict.fromkeys([*target.columns, *updates.columns]):
@@ -161,7 +161,7 @@ def _overwrite(target: DataFrame, updates: DataFrame, keys: list[str], null_is_m
         new = _given(c)
         value = F.coalesce(new, stored) if null_is_missing else new
         merged[c] = F.when(F.col("_is_given").isNotNull(), value).otherwise(stored)
-    return _join_updates(target, updates, keys, merged, rewrite=False)
+    return _join_updates(target, updates, keys, merged, rewrite)
 
 
 def keep_last(rows: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -189,7 +189,8 @@ def fold_updates(
     Scalars: the last one wins (the last non-NULL one with `unset_nulls=False`). Lists: the
     items in order of first arrival; an update that unsets a list drops the items before it
     and names the list in `_cleared`. Lists named in `replace` count as scalars. All groups are reduced in parts before the shuffle:
-    lists are aggregated by (key, item), so a hot key is spread by its items.
+    lists are aggregated by (key, item), so a hot key is spread by its items. Whole updates are shuffled once; what the
+    items are held against is a narrow table. The updates are read for each list and once or twice more.
     """
     keys = _keys(key)
     fields = [f for f in updates.schema.fields if f.name not in keys and f.name not in order]
@@ -205,21 +206,22 @@ def fold_updates(
             F.max(F.when(F.col(s).isNotNull(), F.struct(arrival.alias("at"), F.col(s)))).alias(f"_s_{s}")
             for s in scalars
         ]
+    packed = F.struct(*keys)
+    cleared_at = []
     for name in lists:
         gone = F.col(name).isNull() if unset_nulls else F.lit(False)
-        aggregates.append(F.max(F.when(gone, arrival)).alias(f"_unset_{name}"))
-    folded = updates.groupBy(*keys).agg(*aggregates)
-    if lists:
-        # Read by the items as well. Stored, Spark knows its size: it is broadcast if small, else a hot key's join is split.
-        folded = materialise(folded)
-    packed = F.struct(*keys)
+        cleared_at.append(F.max(F.when(gone, arrival)).alias(f"_unset_{name}"))
+    if lists and unset_nulls:
+        # Read by the items. Stored, Spark knows its size: it is broadcast if small, else a hot key's join is split.
+        unsets = materialise(updates.where(" or ".join(f"`{n}` is null" for n in lists)).groupBy(packed.alias("_key")).agg(*cleared_at))
+    folded = updates.groupBy(packed.alias("_key")).agg(*aggregates, *cleared_at)
 
     for name in lists:
         items = updates.where(F.size(name) > 0).select(
             *keys, arrival.alias("_at"), F.posexplode(name).alias("_pos", "_item")
         )
         if unset_nulls:
-            unset = folded.where(F.col(f"_unset_{name}").isNotNull()).select(packed.alias("_key"), F.col(f"_unset_{name}").alias("_unset"))
+            unset = unsets.where(F.col(f"_unset_{name}").isNotNull()).select("_key", F.col(f"_unset_{name}").alias("_unset"))
             items = items.join(unset, packed == F.col("_key"), "left")
             items = items.where(F.col("_unset").isNull() | (F.col("_at") > F.col("_unset"))).drop("_key", "_unset")
         first = items.groupBy(*keys, "_item").agg(F.min(F.struct("_at", "_pos")).alias("_first"))
@@ -227,12 +229,13 @@ def fold_updates(
             F.sort_array(F.collect_list(F.struct("_first", "_item"))).alias("_items")
         )
         column = F.transform("_items", lambda x: x["_item"]).alias(f"_l_{name}")
-        folded = folded.join(ordered.select("_key", column), packed == F.col("_key"), "left").drop("_key")
+        # By the key that both sides are grouped by: neither is shuffled again.
+        folded = folded.join(ordered.select("_key", column), "_key", "left")
 
     columns = []
     for c in updates.columns:
         if c in keys:
-            columns.append(F.col(c))
+            columns.append(F.col("_key")[c].alias(c))
         elif c in order:
             columns.append(F.col("_arrival")[c].alias(c))
         elif c in scalars:

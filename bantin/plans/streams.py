@@ -126,7 +126,7 @@ def document_stream_state(spark, sf_dir):
     try:
         for offset, part in enumerate((first, last)):
             sent = views.message_columns(rows.withColumns(part)).select("value", "topic", F.lit(0).alias("partition"), F.lit(offset).cast("long").alias("offset"))
-            sent.write.mode("append").json(f"{root}/in")
+            sent.write.mode("append").option("compression", "gzip").json(f"{root}/in")
             messages = spark.readStream.schema("value string, topic string, partition int, offset long").json(f"{root}/in")
             jobs.start_folded_stream(messages, documents, f"{root}/checkpoint", None).awaitTermination()
     finally:
@@ -149,7 +149,7 @@ def document_stream_restart(spark, sf_dir):
         "tags": F.when(again, F.array_append("tags", F.lit("again"))).otherwise(F.col("tags")),
     })
     for run, part in enumerate([rows.where(F.col("doc_id") % 3 != 2), later]):
-        views.message_columns(part).select("value", "topic").write.json(f"{root}/in-{run}")
+        views.message_columns(part).select("value", "topic").write.option("compression", "gzip").json(f"{root}/in-{run}")
         jobs.start_document_stream(
             jobs.read_article_stream(spark, path=f"{root}/in-{run}"), documents, jobs.checkpoint_path(f"{root}/checkpoints", f"run-{run}", "documents"), None
         ).awaitTermination()

@@ -135,7 +135,7 @@ class DocumentTable:
         placed = rows.withColumns({_BUCKETS: F.lit(buckets), _BUCKET: self._bucket(buckets), _VERSION: F.lit(version)})
         # Few files a bucket; a bucket that is too large for one task is shared out by Spark.
         dealt = placed.hint("rebalance", _BUCKET)
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKETS, _BUCKET, _VERSION).parquet(f"{self.path}/rows")
+        dealt.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKETS, _BUCKET, _VERSION).parquet(f"{self.path}/rows")
 
     def _commit(self, state: State) -> int:
         held = [(b, v) for b, v in sorted(state.held.items())]
@@ -143,25 +143,27 @@ class DocumentTable:
         self.spark.createDataFrame([line], _COMMIT).coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return state.version
 
-    def upsert(self, changes: DataFrame, epoch: int | None = None, note: str | None = None) -> int:
+    def upsert(self, changes: DataFrame, epoch: int | None = None, note: str | None = None, folded: bool = False) -> int:
         """Merge a batch and return the version it made. `note` is kept with the state.
 
+        With `folded` the caller vouches that each key stands once in the changes and that reading
+        them again gives the same rows; a table of whole documents then takes them as they are.
+
         `epoch`, the batch's number in its stream, does not matter: a new stream starts again from 0,
         and a repeated batch is merged to no effect.
         """
         before = self.state()
         buckets = before.buckets if before else self.buckets
         if self.whole:
-            folded = keep_last(changes, self.key, self.order)
+            updates = changes if folded else materialise(keep_last(changes, self.key, self.order))
         else:
-            folded = fold_updates(changes, self.key, self.order, self.unset_nulls, self.replace)
-        folded = materialise(folded)
-        touched = sorted(r[0] for r in folded.select(self._bucket(buckets)).distinct().collect())
-        stored = self._of(before, touched) if before else self.spark.createDataFrame([], folded.drop(CLEARED).schema)
+            updates = materialise(fold_updates(changes, self.key, self.order, self.unset_nulls, self.replace))
+        touched = sorted(r[0] for r in updates.select(self._bucket(buckets)).distinct().collect())
+        stored = self._of(before, touched) if before else updates.drop(CLEARED).limit(0)  # a plain scan of nothing, which Spark does not join
         if self.whole:
-            merged = upsert_replace(stored, folded, self.key)
+            merged = upsert_replace(stored, updates, self.key, rewrite=True)
         else:
-            merged = upsert_merge(stored, folded, self.key, self.unset_nulls, rewrite=True, replace=self.replace)
+            merged = upsert_merge(stored, updates, self.key, self.unset_nulls, rewrite=True, replace=self.replace)
         version = before.version + 1 if before else 0
         if touched:
             self._write(merged, buckets, version)

@@ -30,5 +30,5 @@ def materialise(df: DataFrame) -> DataFrame:
     executor, and a join sees a plain scan, of which it may split a skewed partition.
     """
     folder = new_folder(df.sparkSession, "rows")
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -233,7 +233,7 @@ def run_export(stored: DataFrame, root: str, since=None, until=None, overlap: st
         return False
     dated = latest.withColumn("date", parse_date("journal", "date", "store"))
     records = dated.select(*project_article(dated).columns, F.col("crawled").cast("timestamp").alias("crawled"))
-    index.upsert(records, note=max(until, ended or until).isoformat())
+    index.upsert(records, note=max(until, ended or until).isoformat(), folded=True)  # kept last and stored above
     return True
 
 

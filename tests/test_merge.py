@@ -191,3 +191,17 @@ def test_record_files_do_not_grow_with_the_table(spark, monkeypatch):
     n = merges.load_records(spark, "/root/testdata/sf0.01").count()
     sizes = [len(json.loads(r.value)) for r in spark.read.text(folders[0], wholetext=True).collect()]
     assert sum(sizes) == n and max(sizes) <= 20
+
+
+def test_whole_updates_are_shuffled_once(spark):
+    """Long fields go through one shuffle, and the items of a list never take them along."""
+    rows = [("a", "old", ["x"], ["long"], 1), ("a", "new", None, ["longer"], 2), ("a", "new", ["y", "x"], ["longest"], 3), (None, "n", ["z"], None, 1)]
+    updates = spark.createDataFrame(rows, "id string, title string, tags array<string>, content array<string>, at int")
+    folded = M.fold_updates(updates, "id", ["at"], replace=["content"])
+    got = {r.id: (r.title, r.tags, r.content, r.at) for r in folded.collect()}
+    assert got == {"a": ("new", ["y", "x"], ["longest"], 3), None: ("n", ["z"], None, 1)}
+    plan = folded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    # One reduction of whole updates, straight from them; a scan of stored rows has no content.
+    assert sum("partial_max(struct(" in line and "content" in line for line in plan.splitlines()) == 1
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert not any("content" in line for line in scans)
