@@ -30,12 +30,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, mixed, query, stored, table, whole_text
+from bantin.llm.common import WORD_HASHES, as_bytes, mixed, query, release, stored, table, whole_text
 
 # The filter as held by one task, and the words broadcast with exact counts (16 bytes each).
 MAX_BYTES = 64 << 20
@@ -49,6 +50,7 @@ _KEY_BITS = 48
 _HELD = 2_000_000
 _PER_BLOCK = 200_000
 _SLICE_BYTES = 4 << 20
+_PART_BYTES = 256 << 10
 # Tokens of a chunk when scoring, and training tokens for each group of blocks; there are at least 64 groups.
 _CHUNK = 1_000_000
 _PER_GROUP = 16_000_000
@@ -74,24 +76,41 @@ _EXPECTED = _expected()
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Parts of the batches: their rows, the hashes of all tokens, and the number of tokens of each row."""
+    """Parts of the batches: their rows, the hashes of all tokens, and the number of tokens of each row.
+
+    Words are Python objects for `_PART_BYTES` of text at a time, and numbers from then on.
+    """
     for batch in batches:
-        texts, at = as_bytes(batch["text"]), 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < _SLICE_BYTES):
-                size += len(texts[end])
-                end += 1
-            words = [t.lower().split() for t in texts[at:end]]
-            sizes = np.array([len(w) + 1 for w in words])
-            tokens = np.full(sizes.sum(), END, np.uint64)
-            is_word = np.ones(len(tokens), bool)
-            is_word[np.cumsum(sizes) - 1] = False
-            tokens[is_word] = WORD_HASHES.of([w for x in words for w in x])
-            yield batch.slice(at, end - at), tokens, sizes
+        ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy())
+        at, held, first = 0, [], 0
+        while at < len(batch):
+            start = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, start + _PART_BYTES, "right")))
+            held.append(_tokens(as_bytes(batch["text"].slice(at, end - at))))
+            if end == len(batch) or ends[end - 1] - (ends[first - 1] if first else 0) >= _SLICE_BYTES:
+                yield batch.slice(first, end - first), *merged_parts(held)
+                first = end
             at = end
 
 
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens of the texts, and the number of tokens of each."""
+    words = [t.lower().split() for t in texts]
+    sizes = np.array([len(w) + 1 for w in words])
+    tokens = np.full(sizes.sum(), END, np.uint64)
+    is_word = np.ones(len(tokens), bool)
+    is_word[np.cumsum(sizes) - 1] = False
+    tokens[is_word] = WORD_HASHES.of([w for x in words for w in x])
+    return tokens, sizes
+
+
+def merged_parts(held: list[tuple]) -> list[np.ndarray]:
+    """The arrays of all parts, joined place by place; the list is emptied, so that no part stays in memory."""
+    out = [np.concatenate(x) for x in zip(*held)]
+    held.clear()
+    return out
+
+
 def _word_keys(words: np.ndarray) -> np.ndarray:
     return mixed(words ^ np.uint64(0x1B873593CC9E2D51)) >> np.uint64(64 - _KEY_BITS)
 
@@ -187,10 +206,13 @@ def _ngram_runs(texts: DataFrame, counts: DataFrame, frequent, block_bits: int)
             held.append(part)
             n += len(part[0])
             if n >= _HELD:
-                yield from _by_block(*(np.concatenate(x) for x in zip(*held)), block_bits)
-                held, n = [], 0
+                del part
+                yield from _by_block(*merged_parts(held), block_bits)
+                n = 0
+                release()
         if held:
-            yield from _by_block(*(np.concatenate(x) for x in zip(*held)), block_bits)
+            yield from _by_block(*merged_parts(held), block_bits)
+        release()
 
     def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[tuple]:
@@ -198,7 +220,7 @@ def _ngram_runs(texts: DataFrame, counts: DataFrame, frequent, block_bits: int)
                 contexts = _contexts(tokens)
                 own, back = np.unique(contexts, return_inverse=True)
                 classes = level_of(frequent.value(own)).astype(np.uint8)[back]
-                yield _bigram_keys(contexts, tokens), np.ones(len(tokens), np.uint64), classes
+                yield _bigram_keys(contexts, tokens), np.ones(len(tokens), np.uint32), classes
 
         return gathered(parts())
 
@@ -421,8 +443,11 @@ def _chunks(frequent, scale: float):
             if n >= _CHUNK:
                 yield chunk(at, held)
                 at, held, n = at + 1, [], 0
+                release()
         if held:
             yield chunk(at, held)
+        del held
+        release()
 
     return run
 
@@ -443,6 +468,7 @@ def _asked(group_bits: int):
                 first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                 runs = [_planes(np.diff(part, prepend=np.uint64(0))) for part in np.split(keys, first[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(own[first]), pa.array([at] * len(runs), pa.int64()), pa.array(runs, pa.binary())], ["group", "chunk", "run"])
+                release()
 
     return run
 

@@ -1,10 +1,12 @@
 """LM scoring: the baseline against exact counts, the filter against the counts put in, the model against chance."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +157,20 @@ def test_scores_are_those_of_exact_counts(spark):
     want = witten_bell(docs, [i % 4 != 1 for i, _ in docs])
     off = np.array([abs(got[i] - want[i]) / abs(want[i]) for i, _ in docs])
     assert (off < 1e-9).mean() > 0.5 and off.max() < 0.15 and abs(sum(got.values()) / sum(want.values()) - 1) < 0.01
+
+
+def test_few_words_are_objects_at_once():
+    texts = [" ".join(f"W{i % 1000}" for i in range(12_000)) for _ in range(60)] + ["", "one", " \n"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    slices = [(rows["doc_id"].to_pylist(), hashes, sizes) for rows, hashes, sizes in L._slices(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [d for ids, _, _ in slices for d in ids] == list(range(len(texts)))
+    sizes = np.concatenate([s for _, _, s in slices])
+    assert sizes.tolist() == [len(t.split()) + 1 for t in texts]
+    hashes = np.concatenate([h for _, h, _ in slices])
+    assert (hashes[np.cumsum(sizes) - 1] == L.END).all()
+    assert hashes[:12_000].tolist() == L.WORD_HASHES.of(texts[0].encode().lower().split()).tolist()
+    # 8 bytes a token, twice while parts are joined; all words of a slice as objects were 13 times the text.
+    assert peak < 6 * sum(map(len, texts))
