@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, claim, discard, mixed, query, small_parts, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, claim, discard, mixed, query, release, small_parts, stored, table, whole_text, window_hashes
 from bantin.llm.components import connected_components
 from bantin.llm.seen_twice import Pair, SeenTwice, merged_pairs, seen_twice
 
@@ -138,6 +138,8 @@ def _all_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
             yield full({"doc_id": batch["doc_id"], "n_shingles": pa.array(sizes, pa.int64()), "same": pa.array(names, pa.int64())}, len(batch))
         for rows in pair.blocks():
             yield full(dict(zip(rows.schema.names, rows.columns)), len(rows))
+        del pair
+        release()
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, same long, block int, once binary, twice binary")
 
@@ -159,6 +161,7 @@ def _tile_rows(docs: DataFrame, n: int, percent: int, known: SeenTwice) -> DataF
                     tiles.append(own[shared.value.has(own)])
                     classes.append(np.full(len(tiles[-1]), same, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tiles).view(np.int64)), pa.array(np.concatenate(classes))], ["tile", "same"])
+        release()
 
     out = stored(docs.select("text").mapInArrow(run, "tile long, same long"))
     shared.destroy()
@@ -183,6 +186,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
             if rows:
                 types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["same", "n", "bits", "hashes"])
+        release()
 
     found = docs.select("text").mapInArrow(run, "same long, n long, bits binary, hashes binary")
     out = stored(found.dropDuplicates(["same"]).join(classes, "same", "left_semi"))
@@ -195,14 +199,17 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda name, *columns: sets.select(F.col("same").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("none")
         for batch in small_parts(batches, 1_000):
             differing = np.array(
                 [int(np.bitwise_count(np.bitwise_xor(*_folded(pair))).sum()) for pair in zip(batch["bits_a"].to_pylist(), batch["bits_b"].to_pylist())], np.int64
             )
             keep = _may_link(batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), differing, percent)
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("none")
         for batch in small_parts(batches):
             keep = []
             for x, y in zip(batch["hashes_a"].to_pylist(), batch["hashes_b"].to_pylist()):
@@ -211,6 +218,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     # A pair is work for Python, so a task has a hundredth of the rows of other small tables.
     light = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")

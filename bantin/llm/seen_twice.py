@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bantin.llm.common import mixed
+from bantin.llm.common import mixed, release
 
 # 2^27 bits: 16 MB a filter.
 BITS_LOG2 = 27
@@ -115,5 +115,7 @@ def seen_twice(df: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray],
         for batch in batches:
             pair.add(hashes_of(batch))
         yield from pair.blocks()
+        del pair
+        release()
 
     return merged_pairs(df.mapInArrow(fill, "block int, once binary, twice binary"), bits_log2)
