@@ -1,5 +1,6 @@
 """Token ids, packing and token files against the tokenizer itself and plain Python."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from tokenizers import Tokenizer
 
 from bantin.llm.packing import pack, plan, sequences
 from bantin.llm.token_files import lookup, read_token_files, write_token_files
-from bantin.llm.tokenise import default_tokenizer, encoder
+from bantin.llm.tokenise import Encoder, default_tokenizer, encoder
 
 TEXTS = [
     "Hello, WORLD!! don't stop... it's 42% of 3,000", None, "", "   \n\t ", "x" * 30_000, "a b " * 9_000,
@@ -114,3 +115,21 @@ def test_token_files(spark, docs, whole, tmp_path):
     assert sorted((r.doc_id, r.ids) for r in found) == [(0, whole(TEXTS[0]) + [2]), (6, [2])]
     write_token_files(spark.createDataFrame([], docs.schema), folder + "-empty")
     assert read_token_files(spark, folder + "-empty").collect() == []
+
+
+def test_letters_go_to_the_model_alone():
+    path = default_tokenizer()
+    plain, own = Tokenizer.from_file(path), Encoder(path)
+    words = [f"a{chr(c)}B" for c in range(0x21, 0x600)] + ["STRASSE", "Straße", "ŒUVRE", "İz", "ŉa", "ſs", "ét", "don't", "x" * 900]
+    assert own.direct and [x.tolist() for x in own.encode(w.encode() for w in words)] == [plain.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_only_distinct_pieces_are_objects():
+    own, text = Encoder(default_tokenizer()), b" ".join(b"w%d" % (i % 500) for i in range(400_000))
+    want = list(own.encode([text], 2))[0]
+    tracemalloc.start()
+    got = list(own.encode([text], 2))[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == want).all() and got[-1] == 2
+    assert peak < 6 * len(text)
