@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bantin.llm.common import WORD_HASHES, as_bytes, merged, query, rows_out, stored, table, whole_text, window_hashes
+from bantin.llm.common import WORD_HASHES, as_bytes, claim, merged, query, release, rows_out, small_parts, stored, table, whole_text, window_hashes
 
 WINDOW = 10
 # Windows in one broadcast: about 100 bytes each, so 50 MB.
@@ -105,8 +105,9 @@ def benchmark_hits(
 
 def _scan(broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("words")
         windows = _WindowSet(broadcast.value)
-        for batch in batches:
+        for batch in small_parts(batches):
             n_words, runs, items = [], [], []
             before = zip(as_bytes(batch["text"]), batch["runs"].to_pylist(), batch["items"].to_pylist())
             for text, old_runs, old_items in before:
@@ -120,6 +121,8 @@ def _scan(broadcast):
                 [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, batch.schema)],
                 schema=batch.schema,
             )
+        del windows
+        release()
 
     return run
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bantin.llm.common import as_bytes, query, stored, table, whole_text, with_fields
+from bantin.llm.common import as_bytes, query, release, small_parts, stored, table, whole_text, with_fields
 from bantin.llm.tokenise import default_tokenizer, encoder
 
 CAPACITY = 4096
@@ -77,19 +77,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return runs
 
 
-def pieces(
-    docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False
-) -> DataFrame:
-    """Every document's ids and `end_id`, cut every `capacity` ids: doc_id, piece, start, length, ids_crc32.
-
-    A null text is empty and has the end id alone. Repeated rows are packed each on its own, a null
-    doc_id like any other. With `with_ids` also `ids`, little-endian unsigned 32-bit.
-    """
-    path = tokenizer or default_tokenizer()
-
+def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        for batch in batches:
+        for batch in small_parts(batches):
             rows: list[tuple] = []
             for doc, ids in zip(batch["doc_id"].to_pylist(), encode(as_bytes(batch["text"]), end_id)):
                 ids = ids.astype("<u4")
@@ -100,9 +91,22 @@ def pieces(
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+        release()
 
+    return run
+
+
+def pieces(
+    docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False
+) -> DataFrame:
+    """Every document's ids and `end_id`, cut every `capacity` ids: doc_id, piece, start, length, ids_crc32.
+
+    A null text is empty and has the end id alone. Repeated rows are packed each on its own, a null
+    doc_id like any other. With `with_ids` also `ids`, little-endian unsigned 32-bit.
+    """
     out = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+        _cut(tokenizer or default_tokenizer(), capacity, end_id, with_ids),
+        "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary",
     )
     return out if with_ids else out.drop("ids")
 
