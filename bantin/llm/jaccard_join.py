@@ -6,12 +6,14 @@ pair lie in one band or in neighbouring ones, and a set takes part in the tiles
 of the next. A tile is (band, segment, the segment's content): sets that meet in none are not
 similar, whatever their words, and a common passage makes no hot tile, as its segments also hold the
 rest of each text. A first pass over the texts fills filters of tiles seen once and twice, of fixed size;
-most tiles are met once and are not sent.
+most tiles are met once and are not sent. What is sent is shuffled by tile once, in 16 bytes a tile and
+class; tiles with the same members then go on as one.
 
 Documents with equal sets are one class. Within a tile, each class is paired with the one that
 shares most tiles with others, of near copies their origin; pairs pass a bound from hashed bitmaps
 (the bits in which two parity bitmaps differ are at most the elements in which the sets do) and then
-the exact intersection of sorted arrays. Groups these links do not join, but that share a tile, are
+the exact intersection of sorted arrays. Only classes of pairs that pass the bound have their arrays
+made, by a pass that knows their texts by a hash. Groups these links do not join, but that share a tile, are
 compared by their bitmaps in blocks of at most BLOCK classes. Of what passes, the closest pairs of a
 class and another group are intersected first; what links leave apart then has its next closest, and
 at last all its other pairs. So no link between different groups is lost, and a large group of near
@@ -26,7 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bantin.llm.common import WORD_HASHES, as_bytes, claim, discard, mixed, query, release, small_parts, stored, table, whole_text, window_hashes
@@ -144,59 +147,87 @@ def _all_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, same long, block int, once binary, twice binary")
 
 
-def _tile_rows(docs: DataFrame, n: int, percent: int, known: SeenTwice) -> DataFrame:
-    """tile and same, once per class and task, of tiles that the filter may have seen twice; stored."""
+def _keys(texts: list[bytes]) -> np.ndarray:
+    """Hashes that tell texts apart."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts))
+
+
+def _class_rows(docs: DataFrame, n: int, percent: int, known: SeenTwice) -> DataFrame:
+    """Classes with tiles that the filter may have seen twice, once per class and task; stored.
+
+    same, n, bits (bitmap), key (of one of its texts) and these tiles.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met = Bands(percent), set()
         for batch in small_parts(batches):
-            tiles, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            rows, texts, tiles = [], [], []
             for text in as_bytes(batch["text"]):
                 hashes = shingles(text, n)
                 same = _content(hashes) if len(hashes) else None
                 if same is not None and same not in met:
                     met.add(same)
                     own = bands.tiles(hashes)
-                    tiles.append(own[shared.value.has(own)])
-                    classes.append(np.full(len(tiles[-1]), same, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tiles).view(np.int64)), pa.array(np.concatenate(classes))], ["tile", "same"])
+                    own = own[shared.value.has(own)]
+                    if len(own):
+                        rows.append((same, len(hashes), bitmap(hashes)))
+                        texts.append(text)
+                        tiles.append(own)
+            if rows:
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
+                ends = pa.array(np.cumsum([0, *map(len, tiles)]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tiles).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(_keys(texts).view(np.int64)), lists], ["same", "n", "bits", "key", "tiles"])
         release()
 
-    out = stored(docs.select("text").mapInArrow(run, "tile long, same long"))
+    out = stored(docs.select("text").mapInArrow(run, "same long, n long, bits binary, key long, tiles array<long>"))
     shared.destroy()
     return out
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """same, n, bits (bitmap) and hashes (sorted, 64-bit) of the given classes, once each, stored."""
-    known = seen_twice(classes, lambda b: np.repeat(mixed(b["same"].to_numpy().view(np.uint64)), 2))
+def _shared_tiles(rows: DataFrame) -> DataFrame:
+    """tile, same and how many tiles they stand for, of tiles with several classes; stored.
+
+    Near copies share many tiles: those with the same members are one, named by a hash of the members.
+    Members whose hashes collide would be one larger tile, which only has more pairs to compare.
+    """
+    by_tile = Window.partitionBy("tile")
+    # Dealt by tile once: distinct, count and hash of the members need no other shuffle.
+    dealt = rows.select(F.explode("tiles").alias("tile"), "same").repartition("tile").distinct()
+    met = dealt.select("same", F.count("*").over(by_tile).alias("m"), F.bit_xor(F.xxhash64("same")).over(by_tile).alias("members")).where("m > 1")
+    return stored(met.groupBy(F.col("members").alias("tile"), "same").agg(F.count("*").alias("n_shared")))
+
+
+def _hashes_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """same and hashes (sorted, 64-bit) of the given classes (same, key), once each, stored."""
+    known = seen_twice(classes.select("key"), lambda b: np.repeat(mixed(b["key"].to_numpy().view(np.uint64)), 2))
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in small_parts(batches):
-            sets = [s for s in (shingles(t, n) for t in as_bytes(batch["text"])) if len(s)]
-            names = np.array([_content(s) for s in sets], np.int64)
+            texts = as_bytes(batch["text"])
+            sets = [shingles(texts[i], n) for i in np.flatnonzero(shared.value.has(mixed(_keys(texts))))]
             rows = []
-            for i in np.flatnonzero(shared.value.has(mixed(names.view(np.uint64)))):
-                if int(names[i]) not in met:
-                    met.add(int(names[i]))
-                    rows.append((int(names[i]), len(sets[i]), bitmap(sets[i]), sets[i].tobytes()))
+            for hashes in sets:
+                same = _content(hashes) if len(hashes) else None
+                if same is not None and same not in met:
+                    met.add(same)
+                    rows.append((same, hashes.tobytes()))
             if rows:
-                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["same", "n", "bits", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary()))], ["same", "hashes"])
         release()
 
-    found = docs.select("text").mapInArrow(run, "same long, n long, bits binary, hashes binary")
+    found = docs.select("text").mapInArrow(run, "same long, hashes binary")
     out = stored(found.dropDuplicates(["same"]).join(classes, "same", "left_semi"))
     shared.destroy()
     return out
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar: bitmaps first, then the sets of what they leave."""
-    side = lambda name, *columns: sets.select(F.col("same").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar: bitmaps first, then the sets of what they leave; stored."""
+    side = lambda frame, name, *columns: frame.select(F.col("same").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("none")
@@ -220,12 +251,18 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
         release()
 
-    # A pair is work for Python, so a task has a hundredth of the rows of other small tables.
-    light = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    left = stored(light.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long"), 100 * pairs.count())
-    heavy = left.join(side("a", "hashes"), "a").join(side("b", "hashes"), "b")
-    out = stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"), 100 * left.count())
-    discard(left)
+    # A pair is work for Python, so a task has a hundredth of the rows of other small tables. Few pairs still meet all bitmaps.
+    light = pairs.join(side(sets, "a", "n", "bits"), "a").join(side(sets, "b", "n", "bits"), "b")
+    left = stored(light.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long"), max(100 * pairs.count(), sets.count()))
+    n_left = left.count()
+    if not n_left:
+        return left
+    ends = left.select(F.explode(F.array("a", "b")).alias("same")).distinct()
+    classes = stored(sets.select("same", "key").join(ends, "same", "left_semi"), sets.count())
+    hashes = _hashes_of(docs, classes, n)
+    heavy = left.join(side(hashes, "a", "hashes"), "a").join(side(hashes, "b", "hashes"), "b")
+    out = stored(heavy.select("a", "b", "hashes_a", "hashes_b").mapInArrow(exact, "a long, b long"), 100 * n_left)
+    discard(left, classes, hashes)
     return out
 
 
@@ -236,13 +273,13 @@ def _unjoined_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame, percent
     never moves forward when groups are joined, so all places in turn miss no pair.
     """
     n = tiles.count()
-    rooted = tiles.join(roots.select(F.col("node").alias("same"), "root"), "same", "left").withColumn("root", F.coalesce("root", "same"))
-    rooted = stored(rooted, n)
-    # Near copies share many tiles: of those with the same members (told by 128 bits) one is enough.
-    members = [F.bit_xor(F.xxhash64(F.lit(k), "same")).alias(f"_m{k}") for k in (0, 1)]
-    open_ = rooted.groupBy("tile").agg((F.min("root") != F.max("root")).alias("open"), F.count("*").alias("m"), *members)
-    chosen = stored(open_.where("open").groupBy("m", "_m0", "_m1").agg(F.min("tile").alias("tile")), n)
-    open_ = rooted.join(chosen.select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "tile").select("tile", "same", "root", "blocks")
+    rooted = tiles.select("tile", "same").join(roots.select(F.col("node").alias("same"), "root"), "same", "left")
+    rooted = stored(rooted.withColumn("root", F.coalesce("root", "same")), n)
+    groups = rooted.groupBy("tile", "root").agg(F.count("*").alias("m"))
+    # A pair can only have a later place where a group has that many more classes in the tile.
+    open_ = groups.groupBy("tile").agg(F.sum("m").alias("m"), F.count("*").alias("groups"), F.max("m").alias("largest")).where(f"groups > 1 AND largest > {closest[0]}")
+    chosen = stored(open_.select("tile", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), n)
+    open_ = rooted.join(chosen, "tile").select("tile", "same", "root", "blocks")
     own = F.pmod(F.xxhash64("same"), F.col("blocks")).cast("int")
     # Each block meets every block once: as the first of a pair of blocks, or as the second.
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
@@ -303,29 +340,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     first = stored(_all_sets(texts, words, percent))
-    all_sets = first.where("block IS NULL").select("doc_id", "n_shingles", "same")
     known = merged_pairs(first.where("block IS NOT NULL").select("block", "once", "twice"), TILE_BITS)
-    rows = _tile_rows(texts, words, percent, known)
-    # Grouped, not windowed: a tile that very many sets share is counted in parts, and its join is split.
-    met = stored(rows.groupBy("tile").agg((F.min("same") != F.max("same")).alias("met")).where("met").select("tile"))
-    tiles = stored(rows.join(met, "tile").distinct())
-    discard(rows, met)
+    all_sets = stored(first.where("block IS NULL").select("doc_id", "n_shingles", "same"))
+    discard(first)
+    rows = _class_rows(texts, words, percent, known)
+    tiles = _shared_tiles(rows)
     n = tiles.count()
-    shared = stored(tiles.groupBy("same").agg(F.count("*").alias("n_tiles")), n)
-    sets = _sets_of(texts, shared.select("same"), words)
-    counted = stored(tiles.join(shared, "same"), n)
+    shared = stored(tiles.groupBy("same").agg(F.sum("n_shared").alias("n_tiles")), n)
+    sets = stored(rows.select("same", "n", "bits", "key").join(shared, "same", "left_semi").dropDuplicates(["same"]))
+    discard(rows)
+    counted = stored(tiles.select("tile", "same").join(shared, "same"), n)
     leaders = stored(counted.groupBy("tile").agg(F.max(F.struct("n_tiles", "same"))["same"].alias("leader")), n)
     stars = counted.join(leaders, "tile").where("same <> leader")
     stars = stored(stars.select(F.least("leader", "same").alias("a"), F.greatest("leader", "same").alias("b")).distinct(), n)
     discard(shared, counted, leaders)
-    links = _links(stars, sets, percent)
+    links = _links(stars, sets, texts, words, percent)
     roots = stored(connected_components(links), n)
     discard(stars, links)
     for closest in _ROUNDS:
         pairs = _unjoined_pairs(tiles, sets, roots, percent, closest)
         if pairs.isEmpty():
             break
-        more = _links(pairs, sets, percent)
+        more = _links(pairs, sets, texts, words, percent)
         if not more.isEmpty():
             nodes = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots, old = stored(connected_components(nodes.unionByName(more)), n), roots

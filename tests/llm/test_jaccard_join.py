@@ -78,6 +78,37 @@ def test_large_group_in_blocks(spark, rows, monkeypatch):
     assert rows(J.near_duplicates(frame)) == brute(docs, 3, 90)
 
 
+def test_few_rows_and_arrays(spark, rows, monkeypatch):
+    rng = random.Random(11)
+    text = lambda k: ["".join(rng.choices("abcdefgh", k=4)) for _ in range(k)]
+    docs, close = [], []
+    for g in range(12):  # two near copies; two texts that share half their words, so some tiles, and are not similar
+        base, half = text(400), text(200)
+        close += [(10 * g, " ".join(base)), (10 * g + 1, " ".join([*base, "more"]))]
+        docs += [(10 * g + 2, " ".join(half + text(200))), (10 * g + 3, " ".join(half + text(200)))]
+    kept, plain = [], J.stored
+
+    def stored(df, *args):
+        out = plain(df, *args)
+        kept.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(J, "stored", stored)
+    frame = spark.createDataFrame(close + docs, "doc_id long, text string").repartition(4)
+    assert rows(J.near_duplicates(frame)) == brute(close + docs, 3, 90)
+    # Tiles of the same members are one, and only texts that bitmaps do not part have their arrays stored.
+    assert max(n for columns, n in kept if "tile" in columns) <= 2 * len(close + docs)
+    assert sum(n for columns, n in kept if "hashes" in columns) == len(close)
+
+
+@pytest.mark.parametrize("bits", [10, 28])
+def test_full_filter(spark, rows, monkeypatch, bits):
+    monkeypatch.setattr(J, "TILE_BITS", bits)
+    docs = near_copies(12, 40, 7) + ODD
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows(J.near_duplicates(frame, 5, 80)) == brute(docs, 5, 80)
+
+
 def test_segments_leave_one_equal():
     rng = np.random.default_rng(0)
     for percent in (80, 90, 95):
