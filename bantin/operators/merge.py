@@ -56,10 +56,13 @@ def _given(c: str) -> Column:
 
 
 def _join_updates(
-    target: DataFrame, updates: DataFrame, keys: list[str], merged: dict[str, Column], rewrite: bool
+    target: DataFrame, updates: DataFrame, keys: list[str], merged: dict[str, Column], rewrite: bool, places: dict[str, Column] | None = None
 ) -> DataFrame:
     """`merged` per stored row (left join), plus the updates whose key is not stored yet.
 
+    With `places`, columns made of the key, both sides meet in one shuffle by these and the result is left
+    there, with them: rows that are written by place need no shuffle of their own.
+
     A left join, not a full outer join: Spark can broadcast small updates and leave the
     stored table where it is. Only the key columns of the stored table are read twice, but
     the updates three times; `rewrite` shuffles both sides and reads each once.
@@ -70,6 +73,8 @@ def _join_updates(
     stored = target.select(*keys, *[F.col(f"`{c}`").alias(f"_t_{c}") for c in t_cols])
     columns = [*target.columns, *[c for c in u_cols if c not in t_cols and c != CLEARED]]
     result = [F.col(c) if c in keys else merged[c].alias(c) for c in columns]
+    if places:
+        return _met(stored, given, keys, places).select(*result, *places)
     if rewrite:
         return stored.join(given, keys, "full_outer").select(*result)
     both = stored.join(given, keys, "left")
@@ -79,6 +84,23 @@ def _join_updates(
     return both.unionByName(new).select(*result)
 
 
+def _met(stored: DataFrame, given: DataFrame, keys: list[str], places: dict[str, Column]) -> DataFrame:
+    """A full outer join by the key, of sides that have each key once, dealt by `places`.
+
+    Spark would shuffle both sides of a join again by the whole key, so this is a grouping. Rows
+    with a NULL in the key may be many and meet no row, as in a join.
+    """
+    sides = []
+    no_key = F.expr(" or ".join(f"`{k}` is null" for k in keys))
+    for name, side in (("_t", stored), ("_u", given)):
+        rest = F.struct(*[F.col(f"`{c}`") for c in side.columns if c not in keys])
+        alone = F.when(no_key, F.concat(F.lit(name), F.monotonically_increasing_id().cast("string")))
+        sides.append(side.select(*keys, alone.alias("_alone"), rest.alias(name)))
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True).withColumns(places).repartition(*places)
+    found = both.groupBy(*places, *keys, "_alone").agg(F.first("_t", True).alias("_t"), F.first("_u", True).alias("_u"))
+    return found.select(*places, *keys, "_t.*", "_u.*")
+
+
 def upsert_merge(
     target: DataFrame,
     updates: DataFrame,
@@ -86,6 +108,7 @@ def upsert_merge(
     unset_nulls: bool = True,
     rewrite: bool = True,
     replace: Sequence[str] = (),
+    places: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Merge updates into the table: scalars are set, lists gain new items, NULLs unset.
 
@@ -94,7 +117,7 @@ def upsert_merge(
     A typed row cannot tell NULL from missing; with `unset_nulls=False` a NULL means missing
     and leaves the stored value. New keys are inserted, new columns are added. Each side is read
     once and shuffled. `rewrite=False` is for small, cheap updates of a large table: it reads them three
-    times, but can broadcast them and leave the table where it is.
+    times, but can broadcast them and leave the table where it is. `places` as in `_join_updates`.
     """
     keys = _keys(key)
     types = {f.name: f.dataType for f in [*updates.schema.fields, *target.schema.fields]}
@@ -122,7 +145,7 @@ def upsert_merge(
         else:
             value = F.when(new.isNull(), on_null).otherwise(new)
         merged[c] = F.when(given, value).otherwise(stored)
-    return _join_updates(target, updates, keys, merged, rewrite)
+    return _join_updates(target, updates, keys, merged, rewrite, places)
 
 
 def upsert_replace(
@@ -177,6 +200,17 @@ def keep_last(rows: DataFrame, key: str | Sequence[str], order: Sequence[str]) -
     )
 
 
+def fold_alone(updates: DataFrame, key: str | Sequence[str], order: Sequence[str], unset_nulls: bool = True, replace: Sequence[str] = ()) -> DataFrame:
+    """`fold_updates` for updates that have each key once: every row is folded where it is."""
+    keys = _keys(key)
+    lists = [f.name for f in updates.schema.fields if isinstance(f.dataType, T.ArrayType) and f.name not in (*keys, *order, *replace)]
+    gone = {c: F.col(c).isNull() if unset_nulls else F.lit(False) for c in lists}
+    cleared = F.array(*[F.when(gone[c], F.lit(c)) for c in lists]).cast("array<string>")
+    nothing = {c: F.lit(None) if unset_nulls else F.array() for c in lists}
+    folded = {c: F.coalesce(F.array_distinct(c), nothing[c].cast(updates.schema[c].dataType)) for c in lists}
+    return updates.select(*[folded[c].alias(c) if c in folded else F.col(c) for c in updates.columns], F.array_compact(cleared).alias(CLEARED))
+
+
 def fold_updates(
     updates: DataFrame,
     key: str | Sequence[str],

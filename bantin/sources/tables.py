@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bantin.operators.envelope import encode_messages
-from bantin.operators.merge import CLEARED, fold_updates, keep_last, upsert_merge, upsert_replace
+from bantin.operators.merge import CLEARED, fold_alone, fold_updates, keep_last, upsert_merge, upsert_replace
 from bantin.sources.connectors import KAFKA, kafka_sink_options
 from bantin.sources.workspace import materialise
 
@@ -61,7 +61,7 @@ class State(NamedTuple):
 
 
 _COMMIT = "version long, buckets int, held array<struct<bucket:int,version:long>>, schema string, note string"
-_BUCKETS, _BUCKET, _VERSION = "store_buckets", "store_bucket", "store_version"
+_BUCKETS, _BUCKET, _VERSION, _PART = "store_buckets", "store_bucket", "store_version", "store_part"
 
 
 class DocumentTable:
@@ -131,10 +131,17 @@ class DocumentTable:
         keys = [self.key] if isinstance(self.key, str) else self.key
         return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
+    def _places(self, buckets: int, touched: int) -> dict[str, Column]:
+        """The bucket of a row and its part of the bucket, so that a large bucket is the work of many tasks."""
+        keys = [self.key] if isinstance(self.key, str) else self.key
+        parts = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // max(touched, 1))
+        return {_BUCKET: self._bucket(buckets), _PART: F.pmod(F.hash(*keys), F.lit(parts))}
+
     def _write(self, rows: DataFrame, buckets: int, version: int) -> None:
+        """Rows to their buckets; with a column of parts they are dealt by bucket already."""
         placed = rows.withColumns({_BUCKETS: F.lit(buckets), _BUCKET: self._bucket(buckets), _VERSION: F.lit(version)})
         # Few files a bucket; a bucket that is too large for one task is shared out by Spark.
-        dealt = placed.hint("rebalance", _BUCKET)
+        dealt = placed.drop(_PART) if _PART in rows.columns else placed.hint("rebalance", _BUCKET)
         dealt.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKETS, _BUCKET, _VERSION).parquet(f"{self.path}/rows")
 
     def _commit(self, state: State) -> int:
@@ -147,7 +154,9 @@ class DocumentTable:
         """Merge a batch and return the version it made. `note` is kept with the state.
 
         With `folded` the caller vouches that each key stands once in the changes and that reading
-        them again gives the same rows; a table of whole documents then takes them as they are.
+        them again gives the same rows: they are not shuffled for the fold nor stored again. The table must
+        have each key once as well, as all batches leave it; stored and new documents then meet in the
+        shuffle that writes them, by parts of buckets, as many in all as the session has shuffle partitions.
 
         `epoch`, the batch's number in its stream, does not matter: a new stream starts again from 0,
         and a repeated batch is merged to no effect.
@@ -156,6 +165,8 @@ class DocumentTable:
         buckets = before.buckets if before else self.buckets
         if self.whole:
             updates = changes if folded else materialise(keep_last(changes, self.key, self.order))
+        elif folded:
+            updates = fold_alone(changes, self.key, self.order, self.unset_nulls, self.replace)
         else:
             updates = materialise(fold_updates(changes, self.key, self.order, self.unset_nulls, self.replace))
         touched = sorted(r[0] for r in updates.select(self._bucket(buckets)).distinct().collect())
@@ -163,10 +174,12 @@ class DocumentTable:
         if self.whole:
             merged = upsert_replace(stored, updates, self.key, rewrite=True)
         else:
-            merged = upsert_merge(stored, updates, self.key, self.unset_nulls, rewrite=True, replace=self.replace)
+            places = self._places(buckets, len(touched)) if folded and before else None
+            merged = upsert_merge(stored, updates, self.key, self.unset_nulls, rewrite=True, replace=self.replace, places=places)
         version = before.version + 1 if before else 0
         if touched:
             self._write(merged, buckets, version)
+        merged = merged.drop(_BUCKET, _PART)
         held = {**(before.held if before else {}), **dict.fromkeys(touched, version)}
         return self._commit(State(version, buckets, held, merged.schema, note))
 

@@ -1,4 +1,4 @@
-"""Updates folded in the stream: the current document of each key is kept as state."""
+"""Updates folded in the stream: what later updates of a key build on is kept as state."""
 
 from __future__ import annotations
 
@@ -42,12 +42,13 @@ class _Fold(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         names = [name for name, _ in self.fields]
-        known = self.document.get() if self.document.exists() else None
-        document = dict(zip([*names, *self.order], known)) if known is not None else dict.fromkeys([*names, *self.order])
+        document = dict.fromkeys([*names, *self.order])
+        if self.document.exists():
+            document.update(zip(self.state.names, self.document.get()))
         for update in sorted(rows, key=lambda r: tuple(r[o] for o in self.order)):
             self._applied(document, update)
             document.update({o: update[o] for o in self.order})
-        self.document.update(tuple(document[n] for n in [*names, *self.order]))
+        self.document.update(tuple(document[n] for n in self.state.names))
         if self.idle_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
@@ -70,15 +71,19 @@ def fold_stream(
     The documents are those that `fold_updates` makes of all updates up to then, merged into an empty
     table: scalars and the lists in `replace` are set, other lists gain items, NULLs unset. `order` columns
     put the updates of a key in order; what one micro-batch has of a key is sorted in memory, so the
-    trigger bounds it. State outlives a restart, as it is part of the checkpoint. A key without updates
+    trigger bounds it. State outlives a restart, as it is part of the checkpoint. It holds what an update may
+    leave as it was: with `unset_nulls` only the lists that gain items, for every update sets all else, with a NULL
+    too; the document handed on is whole either way. A key without updates
     for `idle_ms` is forgotten: its next document holds only what comes from then on, which a document
     table downstream merges into what it has. The session's state store must be RocksDB
     (`spark.sql.streaming.stateStore.providerClass` = STATE_STORE). Use output mode `update`.
     """
     rest = [f for f in updates.schema.fields if f.name != key and f.name not in order]
     fields = [(f.name, isinstance(f.dataType, T.ArrayType) and f.name not in replace) for f in rest]
-    kept = T.StructType([T.StructField(f.name, f.dataType) for f in [*rest, *(updates.schema[o] for o in order)]])
-    out = T.StructType([T.StructField(key, updates.schema[key].dataType), *kept.fields])
+    whole = T.StructType([T.StructField(f.name, f.dataType) for f in [*rest, *(updates.schema[o] for o in order)]])
+    set_whole = {name for name, is_set in fields if not is_set} if unset_nulls else set()
+    kept = T.StructType([f for f in whole.fields if f.name not in set_whole])
+    out = T.StructType([T.StructField(key, updates.schema[key].dataType), *whole.fields])
     processor = _Fold(key, fields, list(order), kept, unset_nulls, idle_ms)
-    rows = updates.select(key, *[f.name for f in kept.fields])
+    rows = updates.select(key, *whole.names)
     return rows.groupBy(key).transformWithState(processor, out, outputMode="Update", timeMode="None" if idle_ms is None else "ProcessingTime")

@@ -142,7 +142,7 @@ def start_folded_stream(
     folded = fold_stream(documents, table.key, table.order, table.unset_nulls, table.replace, idle_ms)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        table.upsert(materialise(batch), epoch)  # state is read once
+        table.upsert(materialise(batch), epoch, folded=True)  # state is read once, and has one document a key
 
     writer = folded.writeStream.queryName("folded").outputMode("update").option("checkpointLocation", checkpoint)
     return _trigger(writer.foreachBatch(write), every).start()

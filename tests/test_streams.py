@@ -130,6 +130,45 @@ def test_new_columns_and_whole_documents(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read().select("id", "at", "title", "lang").collect()) == [("1", 0, "a", None), ("2", 1, "c", "en")]
 
 
+@pytest.mark.parametrize("unset_nulls", [True, False])
+def test_folded_batches_are_the_plain_ones(spark, tmp_path, unset_nulls):
+    """Batches with each key once: folded where they are, met with the stored documents in one shuffle; documents without a key stay apart."""
+    batches = [
+        [("1", 0, "a", ["x", "", "x", None]), ("2", 0, "b", None), ("3", 0, None, []), (None, 0, "n", ["p"])],
+        [("1", 1, None, ["y", "x", "y"]), ("2", 1, "c", ["k", "k"]), ("4", 1, "d", ["z", "z"]), (None, 1, "m", ["q"])],
+        [("1", 2, "e", None), ("3", 2, "f", ["g"]), ("5", 2, None, None), (None, 2, "o", None)],
+    ]
+    plain = documents(spark, tmp_path / "plain", buckets=4, unset_nulls=unset_nulls)
+    folded = documents(spark, tmp_path / "folded", buckets=4, unset_nulls=unset_nulls)
+    shown = lambda table: sorted(map(repr, table.read().collect()))
+    for batch in batches:
+        plain.upsert(update(spark, *batch))
+        folded.upsert(update(spark, *batch), folded=True)
+        assert shown(folded) == shown(plain) and folded.state()[:3] == plain.state()[:3]
+        assert folded.read().columns == plain.read().columns
+    assert folded.upsert(update(spark).where("false"), folded=True) == 3 and shown(folded) == shown(plain)
+    wider = spark.createDataFrame([("1", 9, "de"), ("7", 9, "en")], "id string, at int, lang string")
+    for table in (plain, folded):
+        table.upsert(wider, folded=table is folded)
+    assert shown(folded) == shown(plain)
+
+
+def test_a_folded_batch_is_shuffled_once(spark, tmp_path, monkeypatch):
+    table, plans = documents(spark, tmp_path / "t"), []
+    table.upsert(update(spark, *[(str(i), 0, "t", ["a"]) for i in range(50)]))
+    wrote = tables.DocumentTable._write
+
+    def write(self, rows, buckets, version):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        wrote(self, rows, buckets, version)
+
+    monkeypatch.setattr(tables.DocumentTable, "_write", write)
+    monkeypatch.setattr(tables, "materialise", lambda rows: pytest.fail("stored again"))
+    table.upsert(update(spark, *[(str(i), 1, "u", ["b"]) for i in range(40, 90)]), folded=True)
+    assert plans[0].count("Exchange") == 1 and "Join" not in plans[0]
+    assert len(contents(table)) == 90 and contents(table)["45"] == ("u", ["a", "b"])
+
+
 def test_a_new_checkpoint_keeps_the_documents(spark, tmp_path):
     table = tables.DocumentTable(spark, str(tmp_path / "docs"), "id", ["crawled", jobs.ARRIVAL])
     for run, lines in enumerate([[message("1", tags=["a"]), json.dumps({"value": "{one", "topic": "vtc"})], [message("2"), message("1", tags=["b"]), json.dumps({"value": "{two", "topic": "vtc"})]]):
@@ -213,6 +252,25 @@ def test_fold_stream_is_the_batch_fold(spark, tmp_path, rocksdb):
     assert got["1"] == (7, "m", ["k"], ["u"]) and got["2"] == (8, "v", ["h"], None)
 
 
+@pytest.mark.parametrize("unset_nulls", [True, False])
+def test_state_holds_what_an_update_may_leave(spark, tmp_path, rocksdb, monkeypatch, unset_nulls):
+    schema, states, out = "id string, at int, title string, tags array<string>, body array<string>", [], {}
+    made = fold._Fold.__init__
+    monkeypatch.setattr(fold._Fold, "__init__", lambda self, *args: states.append(args[3].names) or made(self, *args))
+    ups = [("1", 0, "a", ["x"], ["p"]), ("2", 0, "b", ["y"], ["q"]), ("1", 1, None, ["z"], None), ("2", 1, "c", None, ["r"]), ("1", 2, "d", ["x", "w"], ["s"])]
+    for run in (ups[:2], ups[2:4], ups[4:]):
+        spark.createDataFrame(run, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        folded = fold.fold_stream(spark.readStream.schema(schema).json(str(tmp_path / "in")), "id", ["at"], unset_nulls, replace=("body",))
+        writer = folded.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+        writer.foreachBatch(lambda b, epoch: out.update({(r.id, r.at): (r.title, r.tags, r.body) for r in b.collect()})).start().awaitTermination()
+    assert states == [["tags", "at"] if unset_nulls else ["title", "tags", "body", "at"]] * 3
+    kept = unset_nulls is False
+    assert out == {
+        ("1", 0): ("a", ["x"], ["p"]), ("2", 0): ("b", ["y"], ["q"]), ("1", 1): ("a" if kept else None, ["x", "z"], ["p"] if kept else None),
+        ("2", 1): ("c", ["y"] if kept else None, ["r"]), ("1", 2): ("d", ["x", "z", "w"], ["s"]),
+    }
+
+
 def test_idle_keys_are_forgotten_and_merged_below(spark, tmp_path, rocksdb):
     schema = "id string, at int, tags array<string>"
     out, seen = tables.DocumentTable(spark, str(tmp_path / "docs"), "id", ["at"]), []
